@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,8 +23,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def python_strip(text: Column) -> Column:
-    """Remove Python whitespace from both ends; Spark's plain trim() knows only the space."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove Python whitespace from both ends; Spark's plain trim() knows only the space.
+
+    Trimming a set of characters on the right walks the whole text, so it is done only where
+    the last character asks for it.
+    """
+    opened = F.ltrim(text, F.lit(WHITESPACE))
+    padded = reduce(or_, (F.endswith(text, F.lit(c)) for c in WHITESPACE))
+    return F.when(padded, F.rtrim(opened, F.lit(WHITESPACE))).otherwise(opened)
 
 
 def variant_kind(value: Column) -> Column:
@@ -91,32 +99,47 @@ def _is_float(kind: Column) -> Column:
 
 def python_str(value: Column) -> Column:
     """str() of a JSON value. Lists and objects come out as JSON text."""
-    text = as_text(value)
-    return let(
-        variant_kind(value),
-        lambda kind: F.when(kind == "STRING", text)
-        .when(kind == "VOID", "None")
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when(_is_integer(kind), text)
-        .when(_is_float(kind), python_float(as_double(value)))
-        .otherwise(text),
-    )
+    return let(_typed(value), _str_of)
 
 
 def is_falsy(value: Column) -> Column:
     """Python's `not value` for a JSON value that is present."""
-    text = as_text(value)
-    return let(
-        variant_kind(value),
-        lambda kind: F.when(kind == "STRING", text == "")
-        .when(kind == "VOID", True)
-        .when(kind == "BOOLEAN", text == "false")
-        .when(_is_integer(kind) | _is_float(kind), as_double(value) == 0)
-        .otherwise(text.isin("[]", "{}")),
-    )
+    return let(_typed(value), _falsy_of)
 
 
 def clean_text(value: Column) -> Column:
     """Stripped str() of a JSON value, or the empty string where the value is falsy."""
-    other = F.when(is_falsy(value), "").otherwise(python_strip(python_str(value)))
-    return F.when(variant_kind(value) == "STRING", python_strip(as_text(value))).otherwise(other)
+
+    def clean(v: Column) -> Column:
+        other = F.when(_falsy_of(v), "").otherwise(let(_str_of(v), python_strip))
+        return F.when(v.kind == "STRING", python_strip(v.text)).otherwise(other)
+
+    return let(_typed(value), clean)
+
+
+def _typed(value: Column) -> Column:
+    # Reading a variant is the costly step, so kind and text are read once per value.
+    return F.struct(
+        value.alias("value"), variant_kind(value).alias("kind"), as_text(value).alias("text")
+    )
+
+
+def _str_of(v: Column) -> Column:
+    return (
+        F.when(v.kind == "STRING", v.text)
+        .when(v.kind == "VOID", "None")
+        .when(v.kind == "BOOLEAN", F.when(v.text == "true", "True").otherwise("False"))
+        .when(_is_integer(v.kind), v.text)
+        .when(_is_float(v.kind), python_float(as_double(v.value)))
+        .otherwise(v.text)
+    )
+
+
+def _falsy_of(v: Column) -> Column:
+    return (
+        F.when(v.kind == "STRING", v.text == "")
+        .when(v.kind == "VOID", True)
+        .when(v.kind == "BOOLEAN", v.text == "false")
+        .when(_is_integer(v.kind) | _is_float(v.kind), as_double(v.value) == 0)
+        .otherwise(v.text.isin("[]", "{}"))
+    )

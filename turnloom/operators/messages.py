@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.functions import clean_text
+from turnloom.functions import clean_text, let
 
 # Accepted role names, lower case, by the role they stand for.
 ROLE_NAMES = {
@@ -17,11 +17,14 @@ ROLE_NAMES = {
 
 def normalise_role(role: Column) -> Column:
     """Standard role of a role name in any case; NULL where the name is unknown. No trimming."""
-    name = F.lower(role)
-    standard = F
-    for target, names in ROLE_NAMES.items():
-        standard = standard.when(name.isin(*names), target)
-    return standard
+
+    def standard(name: Column) -> Column:
+        target = F
+        for role_name, names in ROLE_NAMES.items():
+            target = target.when(name.isin(*names), role_name)
+        return target
+
+    return let(F.lower(role), standard)
 
 
 def check_messages(raw_messages: Column) -> Column:
@@ -32,10 +35,18 @@ def check_messages(raw_messages: Column) -> Column:
             message.isNull().alias("foreign"),
             (message.role.isNull() | message.content.isNull()).alias("incomplete"),
             F.try_variant_get(message.role, "$", "string").alias("role_in"),
-            normalise_role(F.try_variant_get(message.role, "$", "string")).alias("role"),
             clean_text(message.content).alias("content"),
         )
 
+    def name(item: Column) -> Column:
+        return F.struct(
+            item.foreign.alias("foreign"),
+            item.incomplete.alias("incomplete"),
+            item.role_in.alias("role_in"),
+            normalise_role(item.role_in).alias("role"),
+            item.content.alias("content"),
+        )
+
     def judge(item: Column, position: Column) -> Column:
         reason = (
             F.when(item.foreign, "not_object")
@@ -46,12 +57,13 @@ def check_messages(raw_messages: Column) -> Column:
         return F.struct(
             reason.alias("reason"),
             (position + 1).alias("msg_index"),
-            F.when(reason == "bad_role", item.role_in).alias("detail"),
+            item.role_in.alias("role_in"),
             item.role.alias("role"),
             item.content.alias("content"),
         )
 
-    return F.transform(F.transform(raw_messages, read), judge)
+    named = F.transform(raw_messages, lambda message: let(read(message), name))
+    return F.transform(named, judge)
 
 
 def judge_samples(df: DataFrame, record: str = "record") -> DataFrame:
@@ -82,7 +94,7 @@ def judge_samples(df: DataFrame, record: str = "record") -> DataFrame:
         .alias("outcome"),
         F.coalesce(F.col("_failure"), bad.reason).alias("reason"),
         bad.msg_index.alias("msg_index"),
-        bad.detail.alias("detail"),
+        F.when(bad.reason == "bad_role", bad.role_in).alias("detail"),
         F.when(F.col("_failure").isNull() & bad.isNull(), clean).alias("messages"),
     )
     # The generator keeps later filters on the verdict above it, so that a record is parsed
