@@ -1,25 +1,32 @@
-"""Column expressions that reproduce Python's text and truth rules on the JVM side."""
+"""SQL expressions that reproduce Python's text and truth rules on the JVM side."""
 
-from turnloom.functions.records import parse_record, strict_json, variant_path
+from turnloom.functions.records import last_key_wins, parse_record, strict_json, variant_path
 from turnloom.functions.values import (
     clean_text,
+    column,
     is_falsy,
     let,
+    not_blank,
     python_float,
     python_str,
     python_strip,
-    variant_kind,
+    quoted,
+    typed,
 )
 
 __all__ = [
     "clean_text",
+    "column",
     "is_falsy",
+    "last_key_wins",
     "let",
+    "not_blank",
     "parse_record",
     "python_float",
     "python_str",
     "python_strip",
+    "quoted",
     "strict_json",
-    "variant_kind",
+    "typed",
     "variant_path",
 ]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.functions.values import let
+from turnloom.functions.values import column, let, quoted
 
 # Closes the parse wrapper below; a random value cannot occur in the data.
 _SEAL = uuid.uuid4().hex
@@ -19,18 +19,20 @@ _CONF_LOCK = threading.Lock()
 
 
 def variant_path(key: str) -> str:
-    """Path of one object key, quoted so that dots and blanks in the name are safe."""
+    """Path literal of one object key, quoted so that dots and blanks in the name are safe."""
     if '"' not in key:
-        return f'$["{key}"]'
+        return quoted(f'$["{key}"]')
     if "'" not in key:
-        return f"$['{key}']"
+        return quoted(f"$['{key}']")
     raise ValueError(f"field name mixes both quote characters: {key!r}")
 
 
 @contextmanager
-def _last_key_wins(spark: SparkSession):
-    # Spark reads this setting while the plan is built, so it is needed only around the
-    # select() and the caller's session keeps its own value.
+def last_key_wins(spark: SparkSession) -> Iterator[None]:
+    """Let the last of repeated keys win in parses whose plan is built inside the block.
+
+    Spark reads this setting while it builds the plan, so the caller's session keeps its own.
+    """
     with _CONF_LOCK:
         before = spark.conf.get(_DUPLICATES)
         spark.conf.set(_DUPLICATES, "true")
@@ -40,24 +42,20 @@ def _last_key_wins(spark: SparkSession):
             spark.conf.set(_DUPLICATES, before)
 
 
-def strict_json(line: Column) -> Column:
+def strict_json(line: str) -> str:
     """Variant of the line, NULL where it is not exactly one JSON value.
 
     try_parse_json ignores text after the first value. Parsing the line as the first item of
     a sealed two-item list makes such text visible.
     """
-    sealed = F.try_parse_json(F.concat(F.lit("["), line, F.lit(f',"{_SEAL}"]')))
-    return let(
-        F.try_variant_get(sealed, "$", "array<variant>"),
-        lambda pair: F.when(
-            (F.size(pair) == 2)
-            & (F.try_variant_get(F.get(pair, F.lit(1)), "$", "string") == _SEAL),
-            F.get(pair, F.lit(0)),
-        ),
+    sealed = f"""try_parse_json(concat('[', {line}, ',"{_SEAL}"]'))"""
+    checked = (
+        f"if(size(pair) = 2 AND try_variant_get(pair[1], '$', 'string') = '{_SEAL}', pair[0], NULL)"
     )
+    return let("pair", f"try_variant_get({sealed}, '$', 'array<variant>')", checked)
 
 
 def parse_record(df: DataFrame, line: str = "line", into: str = "record") -> DataFrame:
     """Add the parsed line as a VARIANT column; the last of repeated keys wins."""
-    with _last_key_wins(df.sparkSession):
-        return df.withColumn(into, strict_json(F.col(line)))
+    with last_key_wins(df.sparkSession):
+        return df.selectExpr("*", f"{strict_json(column(line))} AS {column(into)}")

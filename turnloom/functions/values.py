@@ -1,13 +1,11 @@
-"""Python's strip(), str() and truth test as Spark expressions over strings and variants."""
+"""Python's strip(), str() and truth test as Spark SQL expressions over strings and variants.
 
-from __future__ import annotations
-
-from collections.abc import Callable
-from functools import reduce
-from operator import or_
+Each function takes and returns SQL text, for F.expr or selectExpr. Nested as text, the whole
+normaliser is parsed once by Spark; built from Column objects it takes thousands of calls from
+the driver's Python and several seconds per plan.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # The characters Python's str.strip() removes.
 WHITESPACE = (
@@ -17,129 +15,108 @@ WHITESPACE = (
 )
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with the value computed once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
-def python_strip(text: Column) -> Column:
-    """Remove Python whitespace from both ends; Spark's plain trim() knows only the space.
-
-    Trimming a set of characters on the right walks the whole text, so it is done only where
-    the last character asks for it.
-    """
-    opened = F.ltrim(text, F.lit(WHITESPACE))
-    padded = reduce(or_, (F.endswith(text, F.lit(c)) for c in WHITESPACE))
-    return F.when(padded, F.rtrim(opened, F.lit(WHITESPACE))).otherwise(opened)
-
-
-def variant_kind(value: Column) -> Column:
-    """Type name of a variant: STRING, VOID, BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE, ARRAY.., OBJECT.."""
-    return F.schema_of_variant(value)
-
-
-def as_text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
-
+def quoted(text: str) -> str:
+    """SQL string literal of the text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def as_double(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "double")
 
+def column(name: str) -> str:
+    """SQL reference to a column or struct field of this exact name."""
+    return "`" + name.replace("`", "``") + "`"
 
-def python_float(number: Column) -> Column:
-    """repr() of a double: positional between 1e-4 and 1e16, else like 1e+22."""
 
-    def layout(p: Column) -> Column:
-        width = F.abs(p.exponent).cast("string")
-        scientific = F.concat(
-            p.mantissa,
-            F.when(p.exponent < 0, "e-").otherwise("e+"),
-            F.when(F.length(width) < 2, F.concat(F.lit("0"), width)).otherwise(width),
-        )
-        whole = p.exponent + 1
-        positional = F.when(
-            F.length(p.digits) <= whole,
-            F.concat(F.rpad(p.digits, whole, F.lit("0")), F.lit(".0")),
-        ).otherwise(
-            F.concat(
-                F.substring(p.digits, F.lit(1), whole),
-                F.lit("."),
-                F.substring(p.digits, whole + 1, F.length(p.digits)),
-            )
-        )
-        return (
-            F.when(p.exponent.isNull(), p.java)
-            .when(p.exponent == -4, F.concat(F.lit("0.000"), p.digits))
-            .when(p.exponent.between(7, 15), positional)
-            .otherwise(scientific)
-        )
-
-    def parts(java: Column) -> Column:
-        mantissa = F.regexp_replace(F.split_part(java, F.lit("E"), F.lit(1)), r"\.0$", "")
-        return F.struct(
-            java.alias("java"),
-            mantissa.alias("mantissa"),
-            F.replace(mantissa, F.lit("."), F.lit("")).alias("digits"),
-            F.split_part(java, F.lit("E"), F.lit(2)).try_cast("int").alias("exponent"),
-        )
-
-    magnitude = let(let(F.abs(number).cast("string"), parts), layout)
-    return F.concat(F.when(number < 0, "-").otherwise(""), magnitude)
-
-
-def _is_integer(kind: Column) -> Column:
-    # Integers beyond 64 bits are held as DECIMAL(19..38, 0); shorter scale-0 decimals were
-    # written with a fraction such as 1.0.
-    return (kind == "BIGINT") | kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+def let(name: str, value: str, body: str) -> str:
+    """The body with `name` standing for the value, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _is_float(kind: Column) -> Column:
-    return kind.startswith("DECIMAL") | (kind == "DOUBLE")
+def python_strip(text: str) -> str:
+    """Remove Python whitespace from both ends; Spark's plain trim() knows only the space.
 
+    Trimming a set of characters on the right walks the whole text, so it is done only where
+    the last character asks for it. The text should be a column, field or let name.
+    """
+    padded = " OR ".join(f"endswith({text}, {quoted(c)})" for c in WHITESPACE)
+    opened = f"ltrim({quoted(WHITESPACE)}, {text})"
+    return f"CASE WHEN {padded} THEN rtrim({quoted(WHITESPACE)}, {opened}) ELSE {opened} END"
 
-def python_str(value: Column) -> Column:
-    """str() of a JSON value. Lists and objects come out as JSON text."""
-    return let(_typed(value), _str_of)
 
+def not_blank(text: str) -> str:
+    """True where the text has a character that python_strip would keep."""
+    return f"ltrim({quoted(WHITESPACE)}, {text}) <> ''"
 
-def is_falsy(value: Column) -> Column:
-    """Python's `not value` for a JSON value that is present."""
-    return let(_typed(value), _falsy_of)
 
+def typed(value: str) -> str:
+    """Struct of a variant, the name of its type and its text: what the rules below work on.
 
-def clean_text(value: Column) -> Column:
-    """Stripped str() of a JSON value, or the empty string where the value is falsy."""
+    Type names are STRING, VOID, BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE, ARRAY.. and OBJECT..
+    """
+    return (
+        f"struct({value} AS value, schema_of_variant({value}) AS kind,"
+        f" try_variant_get({value}, '$', 'string') AS text)"
+    )
 
-    def clean(v: Column) -> Column:
-        other = F.when(_falsy_of(v), "").otherwise(let(_str_of(v), python_strip))
-        return F.when(v.kind == "STRING", python_strip(v.text)).otherwise(other)
 
-    return let(_typed(value), clean)
+def _is_integer(v: str) -> str:
+    # Integers beyond 64 bits are held as DECIMAL(19..38,0); shorter scale-0 decimals were
+    # written with a fraction such as 1.0.
+    return rf"({v}.kind = 'BIGINT' OR regexp_like({v}.kind, '^DECIMAL[(](19|[23][0-9]),0[)]$'))"
 
 
-def _typed(value: Column) -> Column:
-    # Reading a variant is the costly step, so kind and text are read once per value.
-    return F.struct(
-        value.alias("value"), variant_kind(value).alias("kind"), as_text(value).alias("text")
-    )
+def _is_float(v: str) -> str:
+    return f"({v}.kind = 'DOUBLE' OR startswith({v}.kind, 'DECIMAL'))"
 
 
-def _str_of(v: Column) -> Column:
-    return (
-        F.when(v.kind == "STRING", v.text)
-        .when(v.kind == "VOID", "None")
-        .when(v.kind == "BOOLEAN", F.when(v.text == "true", "True").otherwise("False"))
-        .when(_is_integer(v.kind), v.text)
-        .when(_is_float(v.kind), python_float(as_double(v.value)))
-        .otherwise(v.text)
-    )
+def _double(v: str) -> str:
+    return f"try_variant_get({v}.value, '$', 'double')"
 
 
-def _falsy_of(v: Column) -> Column:
-    return (
-        F.when(v.kind == "STRING", v.text == "")
-        .when(v.kind == "VOID", True)
-        .when(v.kind == "BOOLEAN", v.text == "false")
-        .when(_is_integer(v.kind) | _is_float(v.kind), as_double(v.value) == 0)
-        .otherwise(v.text.isin("[]", "{}"))
+def python_float(number: str) -> str:
+    """repr() of a double: positional between 1e-4 and 1e16, else like 1e+22."""
+    exponent = "try_cast(split_part(java, 'E', 2) AS int)"
+    mantissa = "regexp_replace(split_part(java, 'E', 1), '[.]0$', '')"
+    parts = (
+        f"struct(java AS plain, {mantissa} AS mantissa,"
+        f" replace({mantissa}, '.', '') AS digits, {exponent} AS exponent)"
     )
+    layout = """CASE
+      WHEN p.exponent IS NULL THEN p.plain
+      WHEN p.exponent = -4 THEN concat('0.000', p.digits)
+      WHEN p.exponent BETWEEN 7 AND 15 AND length(p.digits) <= p.exponent + 1
+        THEN concat(rpad(p.digits, p.exponent + 1, '0'), '.0')
+      WHEN p.exponent BETWEEN 7 AND 15
+        THEN concat(left(p.digits, p.exponent + 1), '.', substr(p.digits, p.exponent + 2))
+      ELSE concat(p.mantissa, if(p.exponent < 0, 'e-', 'e+'),
+                  if(abs(p.exponent) < 10, '0', ''), abs(p.exponent)) END"""
+    magnitude = let("java", f"cast(abs({number}) AS string)", let("p", parts, layout))
+    return f"concat(if({number} < 0, '-', ''), {magnitude})"
+
+
+def python_str(v: str) -> str:
+    """str() of a JSON value given as a typed() struct. Lists and objects become JSON text."""
+    return f"""CASE
+      WHEN {v}.kind = 'STRING' THEN {v}.text
+      WHEN {v}.kind = 'VOID' THEN 'None'
+      WHEN {v}.kind = 'BOOLEAN' THEN if({v}.text = 'true', 'True', 'False')
+      WHEN {_is_integer(v)} THEN {v}.text
+      WHEN {_is_float(v)} THEN {let("number", _double(v), python_float("number"))}
+      ELSE {v}.text END"""
+
+
+def is_falsy(v: str) -> str:
+    """Python's `not value` for a JSON value given as a typed() struct."""
+    return f"""CASE
+      WHEN {v}.kind = 'STRING' THEN {v}.text = ''
+      WHEN {v}.kind = 'VOID' THEN true
+      WHEN {v}.kind = 'BOOLEAN' THEN {v}.text = 'false'
+      WHEN {_is_integer(v)} OR {_is_float(v)} THEN {_double(v)} = 0
+      ELSE {v}.text IN ('[]', '{{}}') END"""
+
+
+def clean_text(v: str) -> str:
+    """Stripped str() of a typed() value, or the empty string where the value is falsy."""
+    shown = f"""CASE
+      WHEN {v}.kind = 'STRING' THEN {v}.text
+      WHEN {is_falsy(v)} THEN ''
+      ELSE {python_str(v)} END"""
+    return let("shown", shown, python_strip("shown"))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from turnloom.functions import clean_text, let
+from turnloom.functions import clean_text, let, quoted, typed
 
 # Accepted role names, lower case, by the role they stand for.
 ROLE_NAMES = {
@@ -15,90 +12,47 @@ ROLE_NAMES = {
 }
 
 
-def normalise_role(role: Column) -> Column:
+def normalise_role(role: str) -> str:
     """Standard role of a role name in any case; NULL where the name is unknown. No trimming."""
-
-    def standard(name: Column) -> Column:
-        target = F
-        for role_name, names in ROLE_NAMES.items():
-            target = target.when(name.isin(*names), role_name)
-        return target
-
-    return let(F.lower(role), standard)
+    entries = ", ".join(
+        f"{quoted(name)}, {quoted(target)}" for target, names in ROLE_NAMES.items() for name in names
+    )
+    return f"try_element_at(map({entries}), lower({role}))"
 
 
-def check_messages(raw_messages: Column) -> Column:
+def check_messages(raw: str) -> str:
     """Per message: the first rule it breaks (NULL if none), 1-based index, role and content."""
-
-    def read(message: Column) -> Column:
-        return F.struct(
-            message.isNull().alias("foreign"),
-            (message.role.isNull() | message.content.isNull()).alias("incomplete"),
-            F.try_variant_get(message.role, "$", "string").alias("role_in"),
-            clean_text(message.content).alias("content"),
-        )
-
-    def name(item: Column) -> Column:
-        return F.struct(
-            item.foreign.alias("foreign"),
-            item.incomplete.alias("incomplete"),
-            item.role_in.alias("role_in"),
-            normalise_role(item.role_in).alias("role"),
-            item.content.alias("content"),
-        )
-
-    def judge(item: Column, position: Column) -> Column:
-        reason = (
-            F.when(item.foreign, "not_object")
-            .when(item.incomplete, "missing_key")
-            .when(item.role.isNull(), "bad_role")
-            .when(item.content == "", "empty_content")
-        )
-        return F.struct(
-            reason.alias("reason"),
-            (position + 1).alias("msg_index"),
-            item.role_in.alias("role_in"),
-            item.role.alias("role"),
-            item.content.alias("content"),
-        )
-
-    named = F.transform(raw_messages, lambda message: let(read(message), name))
-    return F.transform(named, judge)
-
-
-def judge_samples(df: DataFrame, record: str = "record") -> DataFrame:
-    """Add shape, outcome, reason, msg_index, detail and messages; drop the working columns.
+    read = f"""struct(m IS NULL AS foreign, m.role IS NULL OR m.content IS NULL AS incomplete,
+      try_variant_get(m.role, '$', 'string') AS role_in, {typed("m.content")} AS body)"""
+    cleaned = f"""struct(r.foreign, r.incomplete, r.role_in,
+      {normalise_role("r.role_in")} AS role, {let("b", "r.body", clean_text("b"))} AS content)"""
+    judged = """struct(
+      CASE WHEN c.foreign THEN 'not_object'
+           WHEN c.incomplete THEN 'missing_key'
+           WHEN c.role IS NULL THEN 'bad_role'
+           WHEN c.content = '' THEN 'empty_content' END AS reason,
+      i + 1 AS msg_index, c.role_in, c.role, c.content)"""
+    steps = f"transform(transform({raw}, m -> {read}), r -> {cleaned})"
+    return f"transform({steps}, (c, i) -> {judged})"
+
+
+def verdict(record: str, env: str, picked: str, checked: str) -> str:
+    """Struct of shape, outcome, reason, msg_index, detail and messages for one line.
 
     outcome is `processed`, `error` (the line gave no messages) or `dropped` (the first bad
     message took the whole sample with it).
     """
-    rec, checked, bad = F.col(record), F.col("_checked"), F.col("_bad")
-    keep = [c for c in df.columns if c not in (record, "is_object", "shape", "raw_messages")]
-    judged = df.withColumn("_checked", check_messages(F.col("raw_messages"))).withColumn(
-        "_bad", F.get(F.filter(checked, lambda m: m.reason.isNotNull()), F.lit(0))
-    )
-    failure = (
-        F.when(rec.isNull(), "malformed")
-        .when(~F.col("is_object"), "not_object")
-        .when(F.coalesce(F.size(checked), F.lit(0)) == 0, "no_messages")
-    )
-    clean = F.transform(
-        checked, lambda m: F.struct(m.role.alias("role"), m.content.alias("content"))
-    )
-    judged = judged.withColumn("_failure", failure)
-    verdict = F.struct(
-        F.col("shape"),
-        F.when(F.col("_failure").isNotNull(), "error")
-        .when(bad.isNotNull(), "dropped")
-        .otherwise("processed")
-        .alias("outcome"),
-        F.coalesce(F.col("_failure"), bad.reason).alias("reason"),
-        bad.msg_index.alias("msg_index"),
-        F.when(bad.reason == "bad_role", bad.role_in).alias("detail"),
-        F.when(F.col("_failure").isNull() & bad.isNull(), clean).alias("messages"),
-    )
-    # The generator keeps later filters on the verdict above it, so that a record is parsed
-    # and judged once per line and not once more inside each pushed-down filter.
-    return judged.select(*keep, F.explode(F.array(verdict)).alias("_verdict")).select(
-        *keep, "_verdict.*"
-    )
+    failure = f"""CASE WHEN {record} IS NULL THEN 'malformed'
+      WHEN {env}.known IS NULL THEN 'not_object'
+      WHEN {picked}.messages IS NULL OR size({picked}.messages) = 0 THEN 'no_messages' END"""
+    first_bad = f"get(filter({checked}, m -> m.reason IS NOT NULL), 0)"
+    clean = f"transform({checked}, m -> struct(m.role, m.content))"
+    fields = f"""struct(
+      if({env}.known IS NULL, NULL, {picked}.shape) AS shape,
+      CASE WHEN failed.why IS NOT NULL THEN 'error'
+           WHEN failed.bad IS NOT NULL THEN 'dropped' ELSE 'processed' END AS outcome,
+      coalesce(failed.why, failed.bad.reason) AS reason,
+      failed.bad.msg_index AS msg_index,
+      if(failed.bad.reason = 'bad_role', failed.bad.role_in, NULL) AS detail,
+      if(failed.why IS NULL AND failed.bad IS NULL, {clean}, NULL) AS messages)"""
+    return let("failed", f"struct({failure} AS why, {first_bad} AS bad)", fields)

@@ -7,10 +7,7 @@ that is no JSON object is a NULL struct. The variant cast keeps all of this apar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from turnloom.functions import is_falsy, let, python_str, variant_path
+from turnloom.functions import is_falsy, let, python_str, typed, variant_path
 
 # Field names of the supported record shapes.
 INPUT_FIELD = "conversations"
@@ -21,9 +18,12 @@ PAIRS = (("prompt", "response"), ("question", "answer"))
 FALLBACK_FIELDS = ("conversation", "dialogue", "chat", "history", "context")
 ITEM_FORMS = (("role", "content"), ("from", "value"), ("speaker", "text"))
 
-MESSAGE = "struct<role:variant,content:variant>"
-MESSAGES = f"array<{MESSAGE}>"
-_ITEM = "struct<" + ",".join(f"`{name}`:variant" for form in ITEM_FORMS for name in form) + ">"
+MESSAGES = "array<struct<role:variant,content:variant>>"
+_ITEMS = (
+    "array<struct<"
+    + ",".join(f"`{name}`:variant" for form in ITEM_FORMS for name in form)
+    + ">>"
+)
 _ENVELOPE = (
     "struct<"
     + ",".join(
@@ -34,107 +34,98 @@ _ENVELOPE = (
 )
 
 
-def _message(role: Column, content: Column) -> Column:
-    return F.struct(role.alias("role"), content.alias("content"))
+def envelope(
+    record: str, input_field: str = INPUT_FIELD, output_field: str = OUTPUT_FIELD
+) -> str:
+    """Everything the adapters look at, read from the record once.
 
-
-def _spoken(role: str, content: Column) -> Column:
-    return _message(F.lit(role).cast("variant"), content)
+    Fields: known (the fixed fields, NULL where the record is no object), canonical (the list
+    under the output field or the standard field), listed (the items of the input field, NULL
+    where it is no list) and has_input.
+    """
+    inside = variant_path(input_field)
+    canonical = f"known.{STANDARD_FIELD}"
+    if output_field != STANDARD_FIELD:
+        own = f"try_variant_get({record}, {variant_path(output_field)}, '{MESSAGES}')"
+        canonical = f"coalesce({own}, {canonical})"
+    fields = f"""struct(known, {canonical} AS canonical,
+      try_variant_get({record}, {inside}, '{_ITEMS}') AS listed,
+      try_variant_get({record}, {inside}, 'variant') IS NOT NULL AS has_input)"""
+    return let("known", f"try_variant_get({record}, '$', '{_ENVELOPE}')", fields)
 
 
-def _both(item: Column, form: tuple[str, str]) -> Column:
-    return item[form[0]].isNotNull() & item[form[1]].isNotNull()
+def _has_both(item: str, form: tuple[str, str]) -> str:
+    return f"({item}.`{form[0]}` IS NOT NULL AND {item}.`{form[1]}` IS NOT NULL)"
 
 
-def conversation_messages(items: Column) -> Column:
+def conversation_messages(items: str) -> str:
     """Items in role/content, from/value or speaker/text form; any other item is left out."""
-    first, *others = ITEM_FORMS
-
-    def convert(item: Column) -> Column:
-        chosen = F.when(_both(item, first), _message(item[first[0]], item[first[1]]))
-        for form in others:
-            chosen = chosen.when(_both(item, form), _message(item[form[0]], item[form[1]]))
-        return chosen
-
-    return F.filter(F.transform(items, convert), lambda m: m.isNotNull())
+    forms = " ".join(
+        f"WHEN {_has_both('item', form)}"
+        f" THEN struct(item.`{form[0]}` AS role, item.`{form[1]}` AS content)"
+        for form in ITEM_FORMS
+    )
+    return f"filter(transform({items}, item -> CASE {forms} END), m -> m IS NOT NULL)"
 
 
-def fallback_messages(env: Column) -> Column:
+def fallback_messages(known: str) -> str:
     """The first fallback field whose list holds a role/content item; NULL if there is none."""
-
-    lists = (
-        F.filter(env[name], lambda item: _both(item, ITEM_FORMS[0])) for name in FALLBACK_FIELDS
+    lists = ", ".join(
+        f"filter({known}.{name}, item -> {_has_both('item', ITEM_FORMS[0])})"
+        for name in FALLBACK_FIELDS
     )
-    return F.get(F.filter(F.array(*lists), lambda kept: F.size(kept) > 0), F.lit(0))
+    return f"get(filter(array({lists}), kept -> size(kept) > 0), 0)"
 
 
-def _with_optional_reply(user: Column, reply: Column) -> Column:
-    opening = _spoken("user", user)
-    return F.when(reply.isNull(), F.array(opening)).otherwise(
-        F.array(opening, _spoken("assistant", reply))
-    )
+def _spoken(role: str, content: str) -> str:
+    return f"struct(cast('{role}' AS variant) AS role, {content} AS content)"
+
 
+def _with_optional_reply(user: str, reply: str) -> str:
+    opening, answer = _spoken("user", user), _spoken("assistant", reply)
+    return f"if({reply} IS NULL, array({opening}), array({opening}, {answer}))"
 
-def instruction_messages(env: Column) -> Column:
-    instruction, extra, reply = (env[name] for name in INSTRUCTION)
-    joined = F.concat(python_str(instruction), F.lit("\n"), python_str(extra)).cast("variant")
-    user = F.when(extra.isNull() | is_falsy(extra), instruction).otherwise(joined)
-    return _with_optional_reply(user, reply)
 
+def instruction_messages(known: str) -> str:
+    """User text is the instruction, with the input below it where that is truthy."""
+    instruction, extra, reply = (f"{known}.{name}" for name in INSTRUCTION)
+    head, more = let("v", typed(instruction), python_str("v")), python_str("x")
+    joined = f"cast(concat({head}, '\n', {more}) AS variant)"
+    user = let("x", typed(extra), f"if({is_falsy('x')}, {instruction}, {joined})")
+    return _with_optional_reply(f"if({extra} IS NULL, {instruction}, {user})", reply)
 
-def pair_messages(env: Column, pair: tuple[str, str]) -> Column:
-    return _with_optional_reply(env[pair[0]], env[pair[1]])
 
+def pair_messages(known: str, pair: tuple[str, str]) -> str:
+    """A question and its answer, where the record has one."""
+    return _with_optional_reply(f"{known}.{pair[0]}", f"{known}.{pair[1]}")
 
-def extract_messages(
-    df: DataFrame,
-    record: str = "record",
-    input_field: str = INPUT_FIELD,
-    output_field: str = OUTPUT_FIELD,
-) -> DataFrame:
-    """Add `is_object`, `shape` and `raw_messages` to a frame with a VARIANT record column.
 
-    Precedence: message list under output_field or the standard field; input_field; then
-    instruction, prompt and question, none of which is tried where input_field is present;
-    then the fallback fields.
+def extract_messages(env: str) -> str:
+    """Struct of shape and messages, by precedence.
+
+    A list under the output field or the standard field; the input field; then instruction,
+    prompt and question, none of which is tried where the input field is present; then the
+    fallback fields. The shape is `none` where nothing fits.
     """
-    rec = F.col(record)
-    own, listed, env = F.col("_own"), F.col("_listed"), F.col("_env")
-    wide = df.withColumns(
-        {
-            "_env": F.try_variant_get(rec, "$", _ENVELOPE),
-            "_listed": F.try_variant_get(rec, variant_path(input_field), f"array<{_ITEM}>"),
-        }
-    )
-    if output_field == STANDARD_FIELD:
-        canonical = env[STANDARD_FIELD]
-    else:
-        wide = wide.withColumn("_own", F.try_variant_get(rec, variant_path(output_field), MESSAGES))
-        canonical = F.coalesce(own, env[STANDARD_FIELD])
-    has_input = F.try_variant_get(rec, variant_path(input_field), "variant").isNotNull()
+    known = f"{env}.known"
 
-    def result(shape: str, messages: Column) -> Column:
-        return F.struct(F.lit(shape).alias("shape"), messages.alias("messages"))
+    def found(shape: str, messages: str) -> str:
+        return f"struct('{shape}' AS shape, {messages} AS messages)"
 
     searched = let(
-        fallback_messages(env),
-        lambda m: F.struct(
-            F.when(m.isNull(), "none").otherwise("fallback").alias("shape"), m.alias("messages")
-        ),
-    )
-    picked = (
-        F.when(canonical.isNotNull(), result("canonical", canonical))
-        .when(listed.isNotNull(), result("conversation", conversation_messages(listed)))
-        .when(has_input, searched)
-        .when(env[INSTRUCTION[0]].isNotNull(), result("instruction", instruction_messages(env)))
+        "m",
+        fallback_messages(known),
+        "struct(if(m IS NULL, 'none', 'fallback') AS shape, m AS messages)",
     )
-    for pair in PAIRS:
-        picked = picked.when(env[pair[0]].isNotNull(), result(pair[0], pair_messages(env, pair)))
-    picked = picked.otherwise(searched)
-    return (
-        wide.withColumn("_picked", picked)
-        .withColumn("is_object", env.isNotNull())
-        .withColumn("shape", F.when(env.isNotNull(), F.col("_picked.shape")))
-        .withColumn("raw_messages", F.col("_picked.messages"))
-        .drop("_env", "_listed", "_own", "_picked")
+    listed = found("conversation", conversation_messages(f"{env}.listed"))
+    fixed = [(INSTRUCTION[0], instruction_messages(known))]
+    fixed += [(pair[0], pair_messages(known, pair)) for pair in PAIRS]
+    later = " ".join(
+        f"WHEN {known}.{name} IS NOT NULL THEN {found(name, messages)}" for name, messages in fixed
     )
+    return f"""CASE
+      WHEN {env}.canonical IS NOT NULL THEN {found("canonical", f"{env}.canonical")}
+      WHEN {env}.listed IS NOT NULL THEN {listed}
+      WHEN {env}.has_input THEN {searched}
+      {later}
+      ELSE {searched} END"""

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from turnloom.functions import parse_record
-from turnloom.operators.messages import judge_samples
-from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD, extract_messages
+from turnloom.functions import column, last_key_wins, let, strict_json
+from turnloom.operators.messages import check_messages, verdict
+from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD, envelope, extract_messages
 
 OUTCOMES = ("processed", "error", "dropped")
 KEYS_SHOWN = 5
@@ -23,9 +23,18 @@ def normalise(
 
     `lines` holds stripped, non-blank text as read_lines gives it; its other columns stay. The
     plan is one narrow stage without a shuffle and serves batch and streaming frames alike.
+
+    The steps are nested lets in one expression, so a line is parsed once and the intermediate
+    values are never copied into rows. The generator around it keeps later filters above it;
+    they would otherwise bring their own copy of the parse along.
     """
-    parsed = parse_record(lines, line)
-    return judge_samples(extract_messages(parsed, "record", input_field, output_field))
+    checked = let("checked", check_messages("picked.messages"), verdict("rec", "env", "picked", "checked"))
+    picked = let("picked", extract_messages("env"), checked)
+    env = let("env", envelope("rec", input_field, output_field), picked)
+    judged = let("rec", strict_json(column(line)), env)
+    with last_key_wins(lines.sparkSession):
+        wide = lines.selectExpr("*", f"explode(array({judged})) AS verdict")
+    return wide.selectExpr(*map(column, lines.columns), "verdict.*")
 
 
 def accepted(judged: DataFrame) -> DataFrame:

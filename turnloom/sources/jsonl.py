@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnloom.functions import python_strip
+from turnloom.functions import not_blank, python_strip
 from turnloom.sources.scratch import pin
 
 MESSAGES_TYPE = T.ArrayType(
@@ -17,11 +17,8 @@ BROADCAST_BLOCKS = 100_000
 
 
 def _stripped(lines: DataFrame) -> DataFrame:
-    return (
-        lines.withColumn("line", python_strip(F.col("value")))
-        .drop("value")
-        .filter(F.col("line") != "")
-    )
+    kept = lines.filter(not_blank("value"))
+    return kept.withColumn("line", F.expr(python_strip("value"))).drop("value")
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
