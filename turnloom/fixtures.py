@@ -7,11 +7,11 @@ work grows with the table; no conversation is left out of any dialect.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.functions import quoted
+
 OUTER_LEFT = "\u3000\t"
 OUTER_RIGHT = "\xa0 \n"
 
@@ -32,257 +32,83 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
 
 
 def as_messages(turns: Column) -> Column:
-    return F.transform(
-        turns, lambda t: F.struct(t.role.alias("role"), t.text.alias("content"))
-    )
-
-
-def _renamed(role: Column, **names: str) -> Column:
-    chosen = F
-    for standard, name in names.items():
-        chosen = chosen.when(role == standard, name)
-    return chosen.otherwise(role)
-
-
-def _item(role_key: str, role: Column, text_key: str, text: Column) -> Column:
-    return F.struct(role.alias(role_key), text.alias(text_key))
-
-
-def _first_text(turns: Column, role: str) -> Column:
-    return F.get(F.filter(turns, lambda t: t.role == role), F.lit(0)).text
-
+    return F.transform(turns, lambda t: F.struct(t.role.alias("role"), t.text.alias("content")))
 
-def _last(position: Column, turns: Column) -> Column:
-    return position == F.size(turns) - 1
 
+def _record(**fields: str) -> str:
+    pairs = "".join(f", '{name}', {value}" for name, value in fields.items())
+    return f"to_json(named_struct('conv_id', conv_id, 'dialect', dialect{pairs}))"
 
-def _record(**fields: Column) -> Column:
-    known = [F.col("conv_id"), F.col("dialect")]
-    return F.to_json(F.struct(*known, *(value.alias(name) for name, value in fields.items())))
 
-
-def _canonical(turns: Column) -> Column:
-    return _record(messages=as_messages(turns))
-
-
-def _padded(turns: Column) -> Column:
-    return _record(
-        messages=F.transform(
-            turns,
-            lambda t: _item(
-                "role",
-                F.upper(t.role),
-                "content",
-                F.concat(F.lit(OUTER_LEFT), t.text, F.lit(OUTER_RIGHT)),
-            ),
-        )
-    )
-
-
-def _role_content(turns: Column) -> Column:
-    return _record(
-        conversations=F.transform(
-            turns,
-            lambda t: _item(
-                "role", _renamed(t.role, user="human", assistant="gpt"), "content", t.text
-            ),
-        )
-    )
-
-
-def _from_value(turns: Column) -> Column:
-    return _record(
-        conversations=F.transform(
-            turns,
-            lambda t: _item(
-                "from", _renamed(t.role, user="human", assistant="bot"), "value", t.text
-            ),
-        )
-    )
-
-
-def _speaker_text(turns: Column) -> Column:
-    return _record(
-        conversations=F.transform(
-            turns,
-            lambda t: _item(
-                "speaker", _renamed(t.role, user="Human", assistant="ChatGPT"), "text", t.text
-            ),
-        )
-    )
-
-
-def _mixed(turns: Column) -> Column:
-    """The three item forms in turn, then an item of no known form."""
-
-    def write(t: Column, position: Column) -> Column:
-        form = position % 3
-
-        def part(number: int, value: Column) -> Column:
-            return F.when(form == number, value)
-
-        return F.struct(
-            part(0, t.role).alias("role"),
-            part(0, t.text).alias("content"),
-            part(1, t.role).alias("from"),
-            part(1, t.text).alias("value"),
-            part(2, _renamed(t.role, assistant="AI")).alias("speaker"),
-            part(2, t.text).alias("text"),
-        )
-
-    stray = F.array(
-        F.struct(
-            F.lit("user").alias("role"),
-            *(F.lit(None).cast("string").alias(n) for n in ("content", "from", "value")),
-            *(F.lit(None).cast("string").alias(n) for n in ("speaker", "text")),
-        )
-    )
-    return _record(conversations=F.concat(F.transform(turns, write), stray))
-
-
-def _instruction(turns: Column) -> Column:
-    return _record(
-        instruction=_first_text(turns, "user"),
-        input=_first_text(turns, "system"),
-        output=_first_text(turns, "assistant"),
-    )
-
-
-def _prompt(turns: Column) -> Column:
-    return _record(
-        prompt=_first_text(turns, "user"), response=_first_text(turns, "assistant")
-    )
-
-
-def _question(turns: Column) -> Column:
-    return _record(
-        question=_first_text(turns, "user"), answer=_first_text(turns, "assistant")
-    )
-
-
-def _fallback(turns: Column) -> Column:
-    return _record(dialogue=F.array(), history=as_messages(turns))
-
-
-def _shadowed(turns: Column) -> Column:
-    """The input field holds text, so only the fallback fields count."""
-    return _record(conversations=_first_text(turns, "user"), chat=as_messages(turns))
-
-
-def _number_content(turns: Column) -> Column:
-    return _record(
-        messages=F.transform(
-            turns, lambda t: _item("role", t.role, "content", t.turn + F.lit(1000))
-        )
-    )
-
-
-def _repeated_key(turns: Column) -> Column:
-    return F.concat(
-        F.lit('{"prompt":"overwritten",'), F.substring(_prompt(turns), 2, 2**31 - 1)
-    )
-
-
-def _trailing_junk(turns: Column) -> Column:
-    return F.concat(_canonical(turns), F.lit(" junk"))
-
-
-def _truncated(turns: Column) -> Column:
-    whole = _canonical(turns)
-    return F.substring(whole, F.lit(1), F.length(whole) - 1)
-
-
-def _not_record(turns: Column) -> Column:
-    return F.to_json(F.transform(turns, lambda t: t.text))
-
-
-def _no_fields(turns: Column) -> Column:
-    return _record(note=_first_text(turns, "user"))
-
-
-def _empty_list(turns: Column) -> Column:
-    return _record(messages=F.array())
-
-
-def _blocked_prompt(turns: Column) -> Column:
-    user = _first_text(turns, "user")
-    return _record(conversations=user, prompt=user)
-
-
-def _null_item(turns: Column) -> Column:
-    nothing = F.array(F.lit(None).cast("struct<role:string,content:string>"))
-    return _record(messages=F.concat(as_messages(turns), nothing))
-
-
-def _missing_key(turns: Column) -> Column:
-    return _record(
-        messages=F.transform(
-            turns,
-            lambda t, i: _item("role", t.role, "content", F.when(~_last(i, turns), t.text)),
-        )
-    )
-
-
-def _bad_role(turns: Column) -> Column:
-    return _record(
-        messages=F.transform(
-            turns,
-            lambda t, i: _item(
-                "role", F.when(_last(i, turns), "Tool").otherwise(t.role), "content", t.text
-            ),
-        )
-    )
-
-
-def _null_output(turns: Column) -> Column:
-    whole = _record(instruction=_first_text(turns, "user"))
-    return F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), F.lit(',"output":null}'))
-
-
-def _blank_content(turns: Column) -> Column:
-    return _record(
-        messages=F.transform(
-            turns,
-            lambda t, i: _item(
-                "role",
-                t.role,
-                "content",
-                F.when(i == 0, OUTER_LEFT + OUTER_RIGHT).otherwise(t.text),
-            ),
-        )
+def _items(
+    role_key: str = "role", text_key: str = "content", role: str = "t.role", text: str = "t.text"
+) -> str:
+    return (
+        f"transform(turns, (t, i) -> named_struct('{role_key}', {role}, '{text_key}', {text}))"
     )
 
 
-def _blank_line(turns: Column) -> Column:
-    return F.lit(" \t ")
-
-
-DIALECTS: dict[str, Callable[[Column], Column]] = {
-    "canonical": _canonical,
-    "padded": _padded,
-    "role_content": _role_content,
-    "from_value": _from_value,
-    "speaker_text": _speaker_text,
-    "mixed": _mixed,
-    "instruction": _instruction,
-    "prompt": _prompt,
-    "question": _question,
-    "fallback": _fallback,
-    "shadowed": _shadowed,
-    "number_content": _number_content,
-    "repeated_key": _repeated_key,
-    "trailing_junk": _trailing_junk,
-    "truncated": _truncated,
-    "not_record": _not_record,
-    "no_fields": _no_fields,
-    "empty_list": _empty_list,
-    "blocked_prompt": _blocked_prompt,
-    "null_item": _null_item,
-    "missing_key": _missing_key,
-    "bad_role": _bad_role,
-    "null_output": _null_output,
-    "blank_content": _blank_content,
-    "blank_line": _blank_line,
+def _renamed(**names: str) -> str:
+    cases = " ".join(f"WHEN '{standard}' THEN '{name}'" for standard, name in names.items())
+    return f"CASE t.role {cases} ELSE t.role END"
+
+
+def _first(role: str) -> str:
+    return f"get(filter(turns, t -> t.role = '{role}'), 0).text"
+
+
+_LAST = "i = size(turns) - 1"
+_USER, _ASSISTANT, _SYSTEM = map(_first, ("user", "assistant", "system"))
+_CANONICAL = _record(messages=_items())
+_PROMPT = _record(prompt=_USER, response=_ASSISTANT)
+_OUTER = [quoted(side) for side in (OUTER_LEFT, OUTER_RIGHT)]
+
+# The three item forms in turn, then an item of no known form.
+_MIXED = f"""concat(transform(turns, (t, i) -> named_struct(
+    'role', if(i % 3 = 0, t.role, NULL), 'content', if(i % 3 = 0, t.text, NULL),
+    'from', if(i % 3 = 1, t.role, NULL), 'value', if(i % 3 = 1, t.text, NULL),
+    'speaker', if(i % 3 = 2, {_renamed(assistant="AI")}, NULL), 'text', if(i % 3 = 2, t.text, NULL))),
+  array(named_struct('role', 'user', 'content', string(NULL), 'from', string(NULL),
+    'value', string(NULL), 'speaker', string(NULL), 'text', string(NULL))))"""
+
+DIALECTS = {
+    "canonical": _CANONICAL,
+    "padded": _record(
+        messages=_items(role="upper(t.role)", text=f"concat({_OUTER[0]}, t.text, {_OUTER[1]})")
+    ),
+    "role_content": _record(conversations=_items(role=_renamed(user="human", assistant="gpt"))),
+    "from_value": _record(
+        conversations=_items("from", "value", _renamed(user="human", assistant="bot"))
+    ),
+    "speaker_text": _record(
+        conversations=_items("speaker", "text", _renamed(user="Human", assistant="ChatGPT"))
+    ),
+    "mixed": _record(conversations=_MIXED),
+    "instruction": _record(instruction=_USER, input=_SYSTEM, output=_ASSISTANT),
+    "prompt": _PROMPT,
+    "question": _record(question=_USER, answer=_ASSISTANT),
+    "fallback": _record(dialogue="array()", history=_items()),
+    # The input field holds text, so only the fallback fields count.
+    "shadowed": _record(conversations=_USER, chat=_items()),
+    "number_content": _record(messages=_items(text="t.turn + 1000")),
+    "repeated_key": f"""concat('{{"prompt":"overwritten",', substr({_PROMPT}, 2))""",
+    # From here on: lines that give no sample.
+    "trailing_junk": f"concat({_CANONICAL}, ' junk')",
+    "truncated": f"left({_CANONICAL}, length({_CANONICAL}) - 1)",
+    "not_record": "to_json(transform(turns, t -> t.text))",
+    "no_fields": _record(note=_USER),
+    "empty_list": _record(messages="array()"),
+    "blocked_prompt": _record(conversations=_USER, prompt=_USER),
+    "null_item": _record(
+        messages=f"concat({_items()}, array(cast(NULL AS struct<role:string,content:string>)))"
+    ),
+    "missing_key": _record(messages=_items(text=f"if({_LAST}, NULL, t.text)")),
+    "bad_role": _record(messages=_items(role=f"if({_LAST}, 'Tool', t.role)")),
+    "null_output": f"""concat(rtrim('}}', {_record(instruction=_USER)}), ',"output":null}}')""",
+    "blank_content": _record(
+        messages=_items(text=f"if(i = 0, concat({_OUTER[0]}, {_OUTER[1]}), t.text)")
+    ),
+    "blank_line": "' \t '",
 }
 
 
@@ -290,8 +116,8 @@ def raw_lines(spark: SparkSession, sf_dir: str, *dialects: str) -> DataFrame:
     """conv_id, dialect, line: all conversations in each of the named dialects (default: all)."""
     names = dialects or tuple(DIALECTS)
     grouped = ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    spread = grouped.withColumn("dialect", F.explode(F.array(*(F.lit(n) for n in names))))
-    line = F
-    for name in names:
-        line = line.when(F.col("dialect") == name, DIALECTS[name](F.col("turns")))
-    return spread.select("conv_id", "dialect", line.alias("line"))
+    each = ", ".join(map(quoted, names))
+    lines = " ".join(f"WHEN {quoted(name)} THEN {DIALECTS[name]}" for name in names)
+    return grouped.selectExpr("*", f"explode(array({each})) AS dialect").selectExpr(
+        "conv_id", "dialect", f"CASE dialect {lines} END AS line"
+    )

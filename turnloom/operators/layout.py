@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.operators.positions import running_starts, seeded_hash, shuffled_positions
+from turnloom.sources.scratch import pin
 
 # The blanks that separate words.
 BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
@@ -36,10 +37,12 @@ def pack_layout(
     """Where each sequence goes when all are joined in key order and cut every pack_size tokens.
 
     Gives pack_id, pack_offset, the key, src_offset and piece_len. Only keys and lengths are
-    sorted; the tokens stay where they are.
+    sorted; the tokens stay where they are. Lengths are written down first: they often come
+    from the text, which the later passes would otherwise read again and again.
     """
-    sized = df.select(key, F.col(length).cast("bigint").alias("_length")).filter("_length > 0")
-    placed = running_starts(sized, "_length", key, "_length", partitions=partitions)
+    sized = pin(df.select(key, F.col(length).cast("bigint").alias("_length")))
+    filled = sized.filter("_length > 0")
+    placed = running_starts(filled, "_length", key, "_length", partitions=partitions)
     first, last = F.col("start"), F.col("start") + F.col("_length") - 1
     size = F.lit(pack_size).cast("bigint")
 

@@ -17,7 +17,9 @@ def normalise_role(role: str) -> str:
     entries = ", ".join(
         f"{quoted(name)}, {quoted(target)}" for target, names in ROLE_NAMES.items() for name in names
     )
-    return f"try_element_at(map({entries}), lower({role}))"
+    table = f"map({entries})"
+    # Most names are lower case already, and folding case is the dearer step.
+    return f"coalesce(try_element_at({table}, {role}), try_element_at({table}, lower({role})))"
 
 
 def check_messages(raw: str) -> str:
