@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -123,6 +124,40 @@ def test_normalise_job_from_file_to_file(spark, folder):
     ]
 
 
+def test_normalise_job_in_one_pass_by_outcome(spark, folder):
+    path = write(
+        folder, "in.jsonl", '{"prompt":"q"}\n\n{"foo":1,"bar":2}\n{"messages":[{"role":"x","content":"y"}]}\n'
+    )
+    out = os.path.join(folder, "out")
+    counts = run_normalise(spark, path, out, by_outcome=True)
+    assert counts == {"processed": 1, "error": 1, "dropped": 1}
+
+    def only(outcome):
+        [line] = [r.value for r in spark.read.text(f"{out}/outcome={outcome}").collect()]
+        return json.loads(line)
+
+    assert only("processed") == {"messages": [{"role": "user", "content": "q"}]}
+    error, dropped = only("error"), only("dropped")
+    assert error.pop("file_path") == dropped.pop("file_path")
+    assert error == {"line_num": 3, "reason": "no_messages", "keys": ["foo", "bar"]}
+    assert dropped == {"line_num": 4, "reason": "bad_role", "msg_index": 1, "detail": "x"}
+    assert load_dataset(spark, f"{out}/outcome=processed").first().messages[0].content == "q"
+
+
+def test_normalise_job_keeps_the_order(spark, folder):
+    lines = [f'{{"prompt":"q{i}"}}' for i in range(400)]
+    path = write(folder, "in.jsonl", "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        run_normalise(spark, path, os.path.join(folder, "out"), keep_order=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    parts = sorted(n for n in os.listdir(f"{folder}/out") if n.startswith("part-"))
+    written = [json.loads(line) for n in parts for line in open(f"{folder}/out/{n}")]
+    assert [w["messages"][0]["content"] for w in written] == [f"q{i}" for i in range(400)]
+
+
 def test_command_line_jobs(spark, folder):
     path = write(folder, "in.jsonl", '{"prompt":"q","response":"r"}\n')
     norm, ready = os.path.join(folder, "norm"), os.path.join(folder, "ready")

@@ -62,7 +62,7 @@ def strict_json(line: str) -> str:
         f" from_json({text}, 'variant', {_LONG_OPTIONS}))"
     )
     checked = (
-        f"if(size(pair) = 2 AND try_variant_get(pair[1], '$', 'string') = '{_SEAL}', pair[0], NULL)"
+        f"if(size(pair) = 2 AND try_variant_get(get(pair, 1), '$', 'string') = '{_SEAL}', get(pair, 0), NULL)"
     )
     return let("pair", f"try_variant_get({sealed}, '$', 'array<variant>')", checked)
 

@@ -5,22 +5,17 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD
-from turnloom.plans.normalise import normalise, observe_outcomes, rejects
+from turnloom.plans.normalise import normalise, observe_outcomes, rejects, report_object
 from turnloom.plans.prepare import prepare_paths
-from turnloom.sources.jsonl import read_lines, read_numbered_lines, write_jsonl
+from turnloom.sources.jsonl import read_lines, read_numbered_lines, write_jsonl, write_jsonl_by
 
 logger = logging.getLogger(__name__)
 
 
-def _counted(judged: DataFrame) -> tuple[DataFrame, Observation]:
-    outcomes = Observation("outcomes")
-    return observe_outcomes(judged, outcomes), outcomes
-
-
 def run_normalise(
     spark: SparkSession,
     input_path: str,
@@ -28,20 +23,29 @@ def run_normalise(
     input_field: str = INPUT_FIELD,
     output_field: str = OUTPUT_FIELD,
     rejects_path: str | None = None,
+    by_outcome: bool = False,
+    keep_order: bool = False,
 ) -> dict[str, int]:
-    """Write the accepted samples, and the rejects where a path is given; return the counts.
+    """Write the accepted samples and return the count of each outcome.
 
-    Without rejects this is one pass without a shuffle. Rejects carry line numbers, which cost
-    a counting pass, and are a second write.
+    The plain job is one pass without a shuffle. `by_outcome` writes rejects too, in the same
+    pass, into folders outcome=processed, outcome=error and outcome=dropped. `rejects_path`
+    keeps them apart from the samples at the price of a second pass. `keep_order` sorts the
+    samples by file and line. All three number the lines, which takes a counting scan first.
     """
-    judged = normalise(read_lines(spark, input_path), "line", input_field, output_field)
-    counted, outcomes = _counted(judged)
+    numbered = bool(rejects_path) or by_outcome or keep_order
+    lines = (read_numbered_lines if numbered else read_lines)(spark, input_path)
+    judged = normalise(lines, "line", input_field, output_field)
+    outcomes = Observation("outcomes")
+    counted = observe_outcomes(judged, outcomes)
+    if by_outcome:
+        write_jsonl_by(counted, output_path, report_object(judged, "line", output_field), "outcome")
+        return dict(outcomes.get)
     kept = counted.filter(F.col("outcome") == "processed")
-    write_jsonl(kept, output_path, [F.col("messages").alias(output_field)])
+    order = ["file_path", "line_num"] if keep_order else None
+    write_jsonl(kept, output_path, [F.col("messages").alias(output_field)], order)
     if rejects_path:
-        numbered = read_numbered_lines(spark, input_path)
-        failed = rejects(normalise(numbered, "line", input_field, output_field)).drop("line")
-        write_jsonl(failed, rejects_path)
+        write_jsonl(rejects(judged).drop("line"), rejects_path)
     return dict(outcomes.get)
 
 
@@ -53,7 +57,9 @@ def _parser() -> argparse.ArgumentParser:
     norm.add_argument("--output", required=True)
     norm.add_argument("--input_field", default=INPUT_FIELD)
     norm.add_argument("--output_field", default=OUTPUT_FIELD)
-    norm.add_argument("--rejects", help="also write rejected lines with their numbers")
+    norm.add_argument("--rejects", help="also write rejected lines, in a second pass")
+    norm.add_argument("--by_outcome", action="store_true", help="one pass, a folder per outcome")
+    norm.add_argument("--keep_order", action="store_true", help="sort samples by file and line")
     prep = jobs.add_parser("prepare", help="messages or text to training text")
     prep.add_argument("--train", required=True)
     prep.add_argument("--eval")
@@ -74,7 +80,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"turnloom-{args.job}").getOrCreate()
     if args.job == "normalise":
         counts = run_normalise(
-            spark, args.input, args.output, args.input_field, args.output_field, args.rejects
+            spark,
+            args.input,
+            args.output,
+            args.input_field,
+            args.output_field,
+            rejects_path=args.rejects,
+            by_outcome=args.by_outcome,
+            keep_order=args.keep_order,
         )
         logger.info("outcomes: %s", counts)
         return

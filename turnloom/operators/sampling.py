@@ -15,7 +15,10 @@ MD5_DIGITS = 32
 
 
 def _cut(part: DataFrame, size: int, digits: int) -> tuple[str, int, int] | None:
-    """Prefix in which the running row count reaches size, the count before it and its own."""
+    """Prefix in which the running row count reaches size, the count before it and its own.
+
+    `part` shares all but the last HASH_DIGITS digits, so there are at most 4,096 counts.
+    """
     counts = part.groupBy(F.substring("_digest", 1, digits).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
     upto = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = counts.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") >= size)
@@ -24,7 +27,10 @@ def _cut(part: DataFrame, size: int, digits: int) -> tuple[str, int, int] | None
 
 
 def _any_rows(copies: DataFrame, size: int) -> DataFrame:
-    """Some `size` rows of rows that are equal in hash and key: whole tasks, then part of one."""
+    """Some `size` rows of rows that are equal in hash and key: whole tasks, then part of one.
+
+    The running count goes over one number per task, never over the rows.
+    """
     held = pin(copies.withColumn("_task", F.spark_partition_id()))
     counts = held.groupBy("_task").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from turnloom.functions import column, last_key_wins, let, strict_json
@@ -45,13 +45,25 @@ def accepted(judged: DataFrame) -> DataFrame:
     )
 
 
+def _first_keys(line: str) -> Column:
+    keys = F.slice(F.array_distinct(F.json_object_keys(F.col(line))), 1, KEYS_SHOWN)
+    return F.when(F.col("reason") == "no_messages", keys)
+
+
 def rejects(judged: DataFrame, line: str = "line") -> DataFrame:
     """Lines that gave no sample, with the reason and the first keys of a record without messages."""
-    keys = F.slice(F.array_distinct(F.json_object_keys(F.col(line))), 1, KEYS_SHOWN)
-    return (
-        judged.filter(F.col("outcome") != "processed")
-        .withColumn("keys", F.when(F.col("reason") == "no_messages", keys))
-        .drop("messages", "shape")
+    failed = judged.filter(F.col("outcome") != "processed")
+    return failed.withColumn("keys", _first_keys(line)).drop("messages", "shape")
+
+
+def report_object(judged: DataFrame, line: str = "line", output_field: str = OUTPUT_FIELD) -> Column:
+    """What is written about any line: the messages of a sample, else where and why it failed."""
+    failed = F.col("outcome") != "processed"
+    about = [c for c in judged.columns if c not in (line, "shape", "outcome", "messages")]
+    return F.struct(
+        F.col("messages").alias(output_field),
+        *(F.when(failed, F.col(c)).alias(c) for c in about),
+        _first_keys(line).alias("keys"),
     )
 
 

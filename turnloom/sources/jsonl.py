@@ -73,10 +73,25 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     return _stripped(numbered)
 
 
-def write_jsonl(df: DataFrame, path: str, columns: list[str | Column] | None = None) -> None:
-    """One JSON object per row into part files below path; replaces what is there."""
+def write_jsonl(
+    df: DataFrame,
+    path: str,
+    columns: list[str | Column] | None = None,
+    order_by: list[str] | None = None,
+) -> None:
+    """One JSON object per row into part files below path; replaces what is there.
+
+    With order_by the rows are range-sorted, so the part files in name order hold that order.
+    """
+    rows = df.orderBy(*order_by) if order_by else df
     fields = F.struct(*(columns or df.columns))
-    df.select(F.to_json(fields).alias("value")).write.mode("overwrite").text(path)
+    rows.select(F.to_json(fields).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_jsonl_by(df: DataFrame, path: str, value: Column, by: str) -> None:
+    """One JSON object per row, one folder per value of `by`, all in a single pass."""
+    rows = df.select(F.to_json(value).alias("value"), by)
+    rows.write.mode("overwrite").partitionBy(by).text(path)
 
 
 def load_dataset(
