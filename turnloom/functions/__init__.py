@@ -12,6 +12,7 @@ from turnloom.functions.values import (
     python_strip,
     quoted,
     typed,
+    typed_fields,
 )
 
 __all__ = [
@@ -28,5 +29,6 @@ __all__ = [
     "quoted",
     "strict_json",
     "typed",
+    "typed_fields",
     "variant_path",
 ]

@@ -34,11 +34,13 @@ def python_strip(text: str) -> str:
     """Remove Python whitespace from both ends; Spark's plain trim() knows only the space.
 
     Trimming a set of characters on the right walks the whole text, so it is done only where
-    the last character asks for it. The text should be a column, field or let name.
+    the last byte can belong to one of them. The text should be a column, field or let name.
     """
-    padded = " OR ".join(f"endswith({text}, {quoted(c)})" for c in WHITESPACE)
+    last_byte = f"substr(cast({text} AS binary), -1, 1)"
+    endings = ", ".join(f"X'{b:02X}'" for b in sorted({c.encode()[-1] for c in WHITESPACE}))
     opened = f"ltrim({quoted(WHITESPACE)}, {text})"
-    return f"CASE WHEN {padded} THEN rtrim({quoted(WHITESPACE)}, {opened}) ELSE {opened} END"
+    trimmed = f"rtrim({quoted(WHITESPACE)}, {opened})"
+    return f"CASE WHEN {last_byte} IN ({endings}) THEN {trimmed} ELSE {opened} END"
 
 
 def not_blank(text: str) -> str:
@@ -46,17 +48,22 @@ def not_blank(text: str) -> str:
     return f"ltrim({quoted(WHITESPACE)}, {text}) <> ''"
 
 
-def typed(value: str) -> str:
-    """Struct of a variant, the name of its type and its text: what the rules below work on.
+def typed_fields(value: str) -> str:
+    """A variant, the name of its type and its text: the fields the rules below work on.
 
     Type names are STRING, VOID, BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE, ARRAY.. and OBJECT..
     """
     return (
-        f"struct({value} AS value, schema_of_variant({value}) AS kind,"
-        f" try_variant_get({value}, '$', 'string') AS text)"
+        f"{value} AS value, schema_of_variant({value}) AS kind,"
+        f" try_variant_get({value}, '$', 'string') AS text"
     )
 
 
+def typed(value: str) -> str:
+    """Struct of the typed_fields."""
+    return f"struct({typed_fields(value)})"
+
+
 def _is_integer(v: str) -> str:
     # Integers beyond 64 bits are held as DECIMAL(19..38,0); shorter scale-0 decimals were
     # written with a fraction such as 1.0.
@@ -115,8 +122,7 @@ def is_falsy(v: str) -> str:
 
 def clean_text(v: str) -> str:
     """Stripped str() of a typed() value, or the empty string where the value is falsy."""
-    shown = f"""CASE
-      WHEN {v}.kind = 'STRING' THEN {v}.text
-      WHEN {is_falsy(v)} THEN ''
-      ELSE {python_str(v)} END"""
-    return let("shown", shown, python_strip("shown"))
+    shown = f"CASE WHEN {is_falsy(v)} THEN '' ELSE {python_str(v)} END"
+    return f"""CASE
+      WHEN {v}.kind = 'STRING' THEN {python_strip(f"{v}.text")}
+      ELSE {let("shown", shown, python_strip("shown"))} END"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnloom.functions import clean_text, let, quoted, typed
+from turnloom.functions import clean_text, let, quoted, typed_fields
 
 # Accepted role names, lower case, by the role they stand for.
 ROLE_NAMES = {
@@ -25,9 +25,9 @@ def normalise_role(role: str) -> str:
 def check_messages(raw: str) -> str:
     """Per message: the first rule it breaks (NULL if none), 1-based index, role and content."""
     read = f"""struct(m IS NULL AS foreign, m.role IS NULL OR m.content IS NULL AS incomplete,
-      try_variant_get(m.role, '$', 'string') AS role_in, {typed("m.content")} AS body)"""
+      try_variant_get(m.role, '$', 'string') AS role_in, {typed_fields("m.content")})"""
     cleaned = f"""struct(r.foreign, r.incomplete, r.role_in,
-      {normalise_role("r.role_in")} AS role, {let("b", "r.body", clean_text("b"))} AS content)"""
+      {normalise_role("r.role_in")} AS role, {clean_text("r")} AS content)"""
     judged = """struct(
       CASE WHEN c.foreign THEN 'not_object'
            WHEN c.incomplete THEN 'missing_key'
