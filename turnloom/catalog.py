@@ -201,6 +201,19 @@ def normalise_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.groupBy("idx", "role", "content").agg(F.count(F.lit(1)).alias("n"))
 
 
+def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-pass job: every line's fate from the folder of its outcome."""
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    target = scratch_path(spark, "outcomes")
+    run_normalise(spark, source, target, by_outcome=True)
+    schema = "outcome string, reason string, msg_index bigint, messages array<struct<role:string>>"
+    written = load_dataset(spark, target, schema)
+    n_messages = F.coalesce(F.size("messages"), F.lit(0)).cast("bigint")
+    return written.groupBy("outcome", "reason", "msg_index", n_messages.alias("n_messages")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
     target = scratch_path(spark, "stream")
@@ -334,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "rejects_numbered": rejected_lines_numbered,
     "outcome_counts": outcomes,
     "normalise_files": normalise_files,
+    "normalise_by_outcome": normalise_by_outcome,
     "stream_normalise": stream_normalise,
     "strict_violations": strict_violations,
     "render_chatml": render_strict,

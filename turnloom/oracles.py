@@ -208,6 +208,13 @@ SELECT outcome, count(*) AS n FROM (
 ) GROUP BY outcome""",
     "normalise_files": f"""{_GOOD}
 SELECT idx, role, content, count(*) AS n FROM good GROUP BY idx, role, content""",
+    "normalise_by_outcome": f"""{_BAD}, sized AS (
+  SELECT conv_id, dialect, count(*) AS n_messages FROM good GROUP BY conv_id, dialect
+)
+SELECT 'processed' AS outcome, NULL AS reason, CAST(NULL AS BIGINT) AS msg_index, n_messages, count(*) AS n
+FROM sized GROUP BY n_messages
+UNION ALL
+SELECT outcome, reason, msg_index, 0, count(*) FROM bad GROUP BY outcome, reason, msg_index""",
     "stream_normalise": f"{_GOOD} SELECT conv_id, dialect, idx, role, content FROM good",
     "strict_violations": f"{_GOOD} "
     + " UNION ALL ".join(
