@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm.common import Work, table
+from turnloom.llm.ngram_join import link_documents
 from turnloom.llm.packing import pack_documents, tokenizer_path
 from turnloom.llm.sharding import shard_documents
 from turnloom.llm.url_filter import judge_urls
@@ -41,10 +42,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules, Work(spark)).drop("url")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return link_documents(documents, "doc_id", "text", Work(spark), n=3, part=90, whole=100)
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
     "op8_url_filter": op8_url_filter,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
