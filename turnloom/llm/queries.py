@@ -11,6 +11,7 @@ from turnloom.llm.common import Work, table
 from turnloom.llm.ngram_join import link_documents
 from turnloom.llm.packing import pack_documents, tokenizer_path
 from turnloom.llm.sharding import shard_documents
+from turnloom.llm.suffix_dedup import remove_repeats
 from turnloom.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,20 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", Work(spark))
+    removed = F.aggregate(
+        "removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]
+    )
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8, Work(spark))
 
@@ -49,6 +64,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_sharding": op4_sharding,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
