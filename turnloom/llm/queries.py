@@ -13,6 +13,7 @@ from turnloom.llm.packing import pack_documents, tokenizer_path
 from turnloom.llm.sharding import shard_documents
 from turnloom.llm.suffix_dedup import remove_repeats
 from turnloom.llm.url_filter import judge_urls
+from turnloom.llm.vptree import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8, Work(spark))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asks = F.col("vec_id") % 50 == 0
+    return nearest(vectors, "vec_id", "embedding", asks, Work(spark), k=5)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
@@ -66,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_sharding": op4_sharding,
+    "op6_nearest": op6_nearest,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
 }
