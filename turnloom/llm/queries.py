@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm.common import Work, table
+from turnloom.llm.license_scan import scan_licenses
 from turnloom.llm.ngram_join import link_documents
 from turnloom.llm.packing import pack_documents, tokenizer_path
 from turnloom.llm.sharding import shard_documents
 from turnloom.llm.suffix_dedup import remove_repeats
+from turnloom.llm.toxicity import held_out, score_documents
 from turnloom.llm.url_filter import judge_urls
 from turnloom.llm.vptree import nearest
 
@@ -25,6 +27,10 @@ URL_RULES = [
 ]
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(
         table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path(), Work(spark)
@@ -52,6 +58,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8, Work(spark))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(documents, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     asks = F.col("vec_id") % 50 == 0
@@ -70,9 +82,11 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_sharding": op4_sharding,
+    "op5_toxicity": op5_toxicity,
     "op6_nearest": op6_nearest,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
