@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm.common import Work, table
+from turnloom.llm.html_blocks import extract_main_text
 from turnloom.llm.license_scan import scan_licenses
 from turnloom.llm.ngram_join import link_documents
 from turnloom.llm.packing import pack_documents, tokenizer_path
@@ -81,6 +82,10 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(documents, "doc_id", "text", Work(spark), n=3, part=90, whole=100)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op6_nearest": op6_nearest,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
+    "op10_main_text": op10_main_text,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
