@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm.common import Work, table
+from turnloom.llm.decontaminate import find_benchmark_items
 from turnloom.llm.html_blocks import extract_main_text
 from turnloom.llm.license_scan import scan_licenses
 from turnloom.llm.ngram_join import link_documents
@@ -62,7 +63,9 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_documents(documents, table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +74,11 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, "vec_id", "embedding", asks, Work(spark), k=5)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return find_benchmark_items(documents, benchmark, Work(spark))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
@@ -93,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_nearest": op6_nearest,
+    "op7_decontamination": op7_decontamination,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_main_text": op10_main_text,

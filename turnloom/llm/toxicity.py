@@ -215,12 +215,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
         model = train(toxic, ordinary)
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in text_chunks(batches, "_text"):
-                yield batch.drop_columns(["_text"]).append_column(
-                    "score", pa.array(model.score(texts))
-                )
+            for batch, texts in text_chunks(batches, text):
+                yield batch.append_column("score", pa.array(model.score(texts)))
 
-        narrow = docs.select(*kept, text_or_empty(text).alias("_text"))
         schema = docs.select(*kept, F.lit(0.0).alias("score")).schema
-        scored = narrow.mapInArrow(score, schema)
+        scored = docs.select(*kept).mapInArrow(score, schema)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
