@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from turnloom.sources.scratch import scratch_path
 
-CHUNK_BYTES = 4 << 20
+# Just below a power of two, which sizes the tables of the rolling hash.
+CHUNK_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

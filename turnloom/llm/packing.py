@@ -32,6 +32,8 @@ from turnloom.llm.words import split_words
 CAPACITY = 4096
 CLOSING_ID = 1
 MEMO_ENTRIES = 600_000
+# More text at a time repeats more words, which are looked up once each.
+TOKENIZED_BYTES = 4_000_000
 
 # Characters for which splitting and lower-casing below agree with the tokenizer file's rules.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
@@ -133,7 +135,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(path)
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "_text", TOKENIZED_BYTES):
             ids, sizes = words.encode(texts)
             counts = -(-sizes // capacity)
             row = np.repeat(np.arange(len(texts)), counts)
