@@ -14,7 +14,6 @@ that their names cannot clash. A length below 1 or above the capacity stops the
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,89 +26,143 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.llm.common import Work, spread, text_chunks
-from turnloom.llm.words import split_words
+from turnloom.llm.words import LOWER, join_texts, prefix_hash, range_hash
 
 CAPACITY = 4096
 CLOSING_ID = 1
-MEMO_ENTRIES = 600_000
-# More text at a time repeats more words, which are looked up once each.
+MEMO_ENTRIES = 1_000_000
+# More text at a time repeats more pieces, which are looked up once each.
 TOKENIZED_BYTES = 4_000_000
 
-# Characters for which splitting and lower-casing below agree with the tokenizer file's rules.
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+# Classes of bytes in plain text: white space, letters, digits, other signs.
+SPACES, LETTER, DIGIT, SIGN, ODD = range(5)
+CLASS = np.full(128, SIGN, np.uint8)
+CLASS[:33] = ODD
+CLASS[[9, 10, 13, 32]] = SPACES
+CLASS[127] = ODD
+CLASS[48:58] = DIGIT
+CLASS[65:91] = CLASS[97:123] = LETTER
 
 
-class WordIds:
-    """Token ids of words between white space, remembered up to a fixed number of words.
+def plain_classes(data: np.ndarray) -> np.ndarray:
+    """The class of each byte; two-byte Latin letters count, any other character is ODD."""
+    kind = np.full(len(data), ODD, np.uint8)
+    low = data < 128
+    kind[low] = CLASS[data[low]]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    after = data[lead + 1]
+    lead = lead[(after >= 0x80) & (after != 0x97) & (after != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    return kind
 
-    The tokenizer drops white space and never joins across it, so a text's ids are the ids of
-    its words in order. Plain words are cut into the tokenizer's own pieces, which share more
-    entries; any other word goes to the tokenizer as it is.
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    data = LOWER[data]
+    capital = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1
+    data[capital] += 0x20
+    return data
+
+
+def piece_bounds(data: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokenizer's pieces start and end in lower-cased plain text.
+
+    Pieces are runs of letters, runs of signs and single digits; an apostrophe that does not
+    follow a sign takes the ending s, t, m, d, re, ve or ll with it.
+    """
+    start = np.ones(len(data), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    quote = np.flatnonzero((data == 39) & start)
+    one = data[np.minimum(quote + 1, len(data) - 1)]
+    two = data[np.minimum(quote + 2, len(data) - 1)]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)
+    for ending, size in ((short, 2), (long & ~short, 3)):
+        at = quote[ending]
+        start[at + 1] = False
+        start[at + size] = True
+    first = np.flatnonzero(start)
+    end = np.append(first[1:], len(data))
+    inside = kind[first] != SPACES
+    return first[inside], end[inside]
+
+
+class PieceIds:
+    """Token ids of pieces, remembered up to a fixed number of pieces.
+
+    The tokenizer cuts text into pieces before it merges anything, so a text's ids are the ids of
+    its pieces in order. In plain text (ASCII and Latin letters, no special token) the pieces
+    are found for all texts at once; any other text goes to the tokenizer as it is.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[int, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        self.known: dict[int, bytes] = {}
 
-    def _learn_pieces(self, new: list[str]) -> None:
+    def _learn(self, new: list[tuple[int, str]]) -> None:
+        if len(self.known) > MEMO_ENTRIES:
+            self.known.clear()
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            text = " ".join(piece for _, piece in some)
+            found = self.tokenizer.encode(text, add_special_tokens=False)
             raw = np.array(found.ids, "<u4").tobytes()
-            cuts = 4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))
-            for piece, first, end in zip(some, cuts, cuts[1:]):
-                self.pieces[piece] = raw[first:end]
-
-    def _learn_words(self, new: list[tuple[int, str]]) -> None:
-        if len(self.words) > MEMO_ENTRIES:
-            self.words.clear()
-        if len(self.pieces) > MEMO_ENTRIES:
-            self.pieces.clear()
-        split = []
-        for key, word in new:
-            if PLAIN.fullmatch(word) and "<|" not in word:
-                split.append((key, PIECE.findall(word.lower())))
-            else:
-                self.words[key] = self._ids(word)
-        pieces = self.pieces
-        self._learn_pieces(list({p for _, cut in split for p in cut if p not in pieces}))
-        for key, cut in split:
-            self.words[key] = b"".join([pieces[p] for p in cut])
+            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))).tolist()
+            for (key, _), first, end in zip(some, cuts, cuts[1:]):
+                self.known[key] = raw[first:end]
+
+    def _plain_ids(self, data: np.ndarray, kind: np.ndarray, offset: np.ndarray) -> tuple:
+        first, end = piece_bounds(data, kind)
+        hashes = range_hash(prefix_hash(data), first, end)
+        keys, sample, each = np.unique(hashes, return_index=True, return_inverse=True)
+        names, known = keys.tolist(), self.known
+        if any(k not in known for k in names):
+            raw, a, b = data.tobytes(), first[sample].tolist(), end[sample].tolist()
+            if len(known) > MEMO_ENTRIES:
+                known.clear()
+            self._learn([(k, raw[x:y].decode()) for k, x, y in zip(names, a, b) if k not in known])
+        values = [known[k] for k in names]
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        pool = np.frombuffer(b"".join(values), "<u4")
+        of_piece = lengths[each]
+        ids = pool[spread((np.cumsum(lengths) - lengths)[each], of_piece)]
+        text = np.searchsorted(offset, first, "right") - 1
+        return ids, np.bincount(text, of_piece, len(offset) - 1).astype(np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each with the closing id, and each one's length."""
-        words = split_words(texts, lower=False)
-        keys, sample, each = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        known = self.words
-        new = [
-            (key, words.data[words.first[i] : words.end[i]].tobytes().decode())
-            for key, i in zip(keys.tolist(), sample)
-            if key not in known
-        ]
-        if new:
-            self._learn_words(new)
-        values = [known[key] for key in keys.tolist()]
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        pool = np.frombuffer(b"".join(values), "<u4")
-        of_word = lengths[each]
-        ids = pool[spread((np.cumsum(lengths) - lengths)[each], of_word)]
-        sizes = np.bincount(words.text, of_word, len(texts)).astype(np.int64)
+        data, offset = join_texts(texts)
+        kind = plain_classes(data)
+        odd = np.add.reduceat(kind == ODD, offset[:-1]) > 0
+        special = np.fromiter((b"<|" in t for t in texts), bool, len(texts))
+        plain = ~(odd | special)
+        some = [t for t, p in zip(texts, plain) if p]
+        if len(some) < len(texts):
+            data, offset = join_texts(some)
+            kind = plain_classes(data)
+        ids, sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        if some:
+            ids, sizes = self._plain_ids(lowered(data), kind, offset)
+        if len(some) < len(texts):
+            parts = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(some) else [])
+            lists = [
+                next(parts)
+                if p
+                else np.array(
+                    self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u4"
+                )
+                for t, p in zip(texts, plain)
+            ]
+            ids, sizes = np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
         closed = np.full(len(ids) + len(texts), CLOSING_ID, "<u4")
         closed[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), sizes)] = ids
         return closed, sizes + 1
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def tokenizer_path() -> str:
@@ -134,9 +187,9 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(path)
+        encoder = piece_ids(path)
         for batch, texts in text_chunks(batches, "_text", TOKENIZED_BYTES):
-            ids, sizes = words.encode(texts)
+            ids, sizes = encoder.encode(texts)
             counts = -(-sizes // capacity)
             row = np.repeat(np.arange(len(texts)), counts)
             piece = spread(np.zeros(len(texts), np.int64), counts)
