@@ -33,8 +33,13 @@ def run_normalise(
     keeps them apart from the samples at the price of a second pass. `keep_order` sorts the
     samples by file and line. All three number the lines, which takes a counting scan first.
     """
+    if by_outcome and (rejects_path or keep_order):
+        raise ValueError("by_outcome writes rejects itself and keeps no order; drop the other option")
     numbered = bool(rejects_path) or by_outcome or keep_order
     lines = (read_numbered_lines if numbered else read_lines)(spark, input_path)
+    if keep_order:
+        # The raw lines are sorted, so that parsing and counting happen once, above the sort.
+        lines = lines.orderBy("file_path", "line_num")
     judged = normalise(lines, "line", input_field, output_field)
     outcomes = Observation("outcomes")
     counted = observe_outcomes(judged, outcomes)
@@ -42,13 +47,17 @@ def run_normalise(
         write_jsonl_by(counted, output_path, report_object(judged, "line", output_field), "outcome")
         return dict(outcomes.get)
     kept = counted.filter(F.col("outcome") == "processed")
-    order = ["file_path", "line_num"] if keep_order else None
-    write_jsonl(kept, output_path, [F.col("messages").alias(output_field)], order)
+    write_jsonl(kept, output_path, [F.col("messages").alias(output_field)])
     if rejects_path:
         write_jsonl(rejects(judged).drop("line"), rejects_path)
     return dict(outcomes.get)
 
 
+def truth(text: str) -> bool:
+    """A flag's value: empty, false, no, off, none, null and 0 are false."""
+    return text.strip().lower() not in ("", "false", "no", "off", "none", "null", "0")
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="turnloom")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -64,7 +73,7 @@ def _parser() -> argparse.ArgumentParser:
     prep.add_argument("--train", required=True)
     prep.add_argument("--eval")
     prep.add_argument("--output", required=True, help="folder for train and eval")
-    prep.add_argument("--use_chat_template", default="")
+    prep.add_argument("--use_chat_template", type=truth, default=False)
     prep.add_argument("--chat_template_name")
     prep.add_argument("--messages_field", default="messages")
     prep.add_argument("--text_field", default="text")

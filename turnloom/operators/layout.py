@@ -18,15 +18,20 @@ def _div(value: Column, size: Column | int) -> Column:
 
 def words(text: Column) -> Column:
     """Blank-separated pieces, the stand-in where no token column is given."""
-    return F.split(text, BLANKS)
+    return F.array_remove(F.split(text, BLANKS), "")
 
 
 def truncate(df: DataFrame, tokens: str, max_length: int) -> DataFrame:
-    """Cut the token list to max_length; add n_tokens (after the cut) and was_truncated."""
-    whole = F.size(tokens)
+    """Cut the token list to max_length; add n_tokens (after the cut) and was_truncated.
+
+    A NULL list stays NULL, and so do both numbers.
+    """
+    if max_length < 1:
+        raise ValueError("max_length must be 1 or more")
+    whole = F.when(F.col(tokens).isNotNull(), F.size(tokens))
     return (
         df.withColumn("was_truncated", whole > max_length)
-        .withColumn("n_tokens", F.least(whole, F.lit(max_length)))
+        .withColumn("n_tokens", F.when(whole.isNotNull(), F.least(whole, F.lit(max_length))))
         .withColumn(tokens, F.slice(tokens, 1, max_length))
     )
 
@@ -40,7 +45,12 @@ def pack_layout(
     sorted; the tokens stay where they are. Lengths are written down first: they often come
     from the text, which the later passes would otherwise read again and again.
     """
-    sized = pin(df.select(key, F.col(length).cast("bigint").alias("_length")))
+    if pack_size < 1:
+        raise ValueError("pack_size must be 1 or more")
+    known = F.col(length).cast("bigint")
+    wrong = F.raise_error(F.lit(f"{length} is NULL or negative")).cast("bigint")
+    checked = F.when(known >= 0, known).otherwise(wrong)
+    sized = pin(df.select(key, checked.alias("_length")))
     filled = sized.filter("_length > 0")
     placed = running_starts(filled, "_length", key, "_length", partitions=partitions)
     first, last = F.col("start"), F.col("start") + F.col("_length") - 1
@@ -67,7 +77,8 @@ def packed_tokens(
     The tokens move twice, to meet their layout and to meet their pack. A pack is at most
     pack_size tokens long.
     """
-    lengths = df.select(key, F.size(tokens).alias("_size"))
+    size = F.when(F.col(tokens).isNotNull(), F.size(tokens))
+    lengths = df.select(key, size.alias("_size"))
     layout = pack_layout(lengths, key, "_size", pack_size, partitions)
     piece = F.slice(
         F.col(tokens), (F.col("src_offset") + 1).cast("int"), F.col("piece_len").cast("int")
@@ -100,6 +111,8 @@ def assign_batches(
 
     Only the key is ordered; join the result to the samples where their text is needed.
     """
+    if min(epochs, batch_size, accumulation, devices) < 1:
+        raise ValueError("epochs, batch_size, accumulation and devices must be 1 or more")
     numbers = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")
     spread = df.select(key, numbers)
     seeded = F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"))

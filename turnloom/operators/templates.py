@@ -66,7 +66,11 @@ def _fold_system(messages: Column, glue: str) -> Column:
     opening = F.get(messages, F.lit(0))
 
     def joined(message: Column, position: Column) -> Column:
-        text = F.concat(opening.content, F.lit(glue), message.content)
+        text = F.concat(
+            F.coalesce(opening.content, F.lit("")),
+            F.lit(glue),
+            F.coalesce(message.content, F.lit("")),
+        )
         return F.struct(
             message.role.alias("role"),
             F.when(position == 0, text).otherwise(message.content).alias("content"),
@@ -80,7 +84,10 @@ def _fold_system(messages: Column, glue: str) -> Column:
 def render_chat(
     messages: Column, template: Template | str | None = None, trailing_newline: bool = False
 ) -> Column:
-    """Text of a message list, without a generation prompt."""
+    """Text of a message list, without a generation prompt.
+
+    A NULL role or content is written as empty text, so that no turn is lost.
+    """
     chosen = template if isinstance(template, Template) else choose_template(template)
 
     def role_name(role: Column) -> Column:
@@ -92,9 +99,9 @@ def render_chat(
     def turn(message: Column) -> Column:
         return F.concat(
             F.lit(chosen.prefix),
-            role_name(message.role),
+            F.coalesce(role_name(message.role), F.lit("")),
             F.lit(chosen.infix),
-            message.content,
+            F.coalesce(message.content, F.lit("")),
             F.lit(chosen.suffix),
         )
 

@@ -94,7 +94,9 @@ _ALL_DIALECTS = _values(
 # A document's tokens; the blanks are those of the library's word splitter.
 _TOKENS = r"""
 WITH docs AS (
-  SELECT doc_id, string_split_regex(text, '[ \t\n\x0B\f\r]+') AS tokens FROM documents
+  SELECT doc_id,
+         list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS tokens
+  FROM documents
 )"""
 _STARTS = f"""{_TOKENS}, sized AS (
   SELECT doc_id, tokens, len(tokens) AS n FROM docs

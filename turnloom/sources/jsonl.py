@@ -12,6 +12,8 @@ from turnloom.sources.scratch import pin
 MESSAGES_TYPE = T.ArrayType(
     T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 )
+# The JSON reader stops at 20 million characters by default.
+LONGEST_TEXT = str((1 << 31) - 1)
 # Offsets have one row per scanned block; above this they are joined by shuffle.
 BROADCAST_BLOCKS = 100_000
 
@@ -108,4 +110,5 @@ def load_dataset(
         schema = T.StructType(
             [T.StructField("messages", MESSAGES_TYPE), T.StructField("text", T.StringType())]
         )
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    return reader.option("maxStringLen", LONGEST_TEXT).json(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def checkpoint_base(spark: SparkSession) -> str:
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if base is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     if context.getCheckpointDir() is None:
