@@ -3,7 +3,6 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.operators import sampling
 from turnloom.operators.layout import (
     assign_batches,
     pack_layout,
@@ -98,13 +97,14 @@ def test_batches_match_brute_force_and_do_not_depend_on_partitions(spark):
     assert results == [sorted(expected)] * 2
 
 
-def test_batches_refuse_repeated_keys(spark):
-    frame = spark.range(100).selectExpr("id % 60 AS id")
-    with pytest.raises(Exception, match="row keys repeat"):
-        assign_batches(frame, "id", 1, batch_size=4).collect()
-    hot = spark.range(20_000).selectExpr("if(id % 3 = 0, 5, id) AS id")
-    with pytest.raises(Exception, match="row keys repeat"):
-        assign_batches(hot, "id", 1, batch_size=4).collect()
+def test_batches_give_repeated_keys_a_place_each(spark):
+    hot = spark.range(3000).selectExpr("if(id % 3 = 0, 5, id) AS id")
+    rows = assign_batches(hot, "id", 1, batch_size=4, epochs=2).collect()
+    keys = [5 if i % 3 == 0 else i for i in range(3000)]
+    for epoch in range(2):
+        placed = sorted((r.pos, r.id) for r in rows if r.epoch == epoch)
+        assert [p for p, _ in placed] == list(range(3000))
+        assert [k for _, k in placed] == sorted(keys, key=lambda k: (digest(1, epoch, k), k))
 
 
 def test_batches_keep_a_null_key(spark):
@@ -134,17 +134,14 @@ def expected_sample(keys, size, seed):
 
 
 @pytest.mark.parametrize("size", [1, 7, 250, 999, 1000, 5000])
-def test_both_sample_plans_match_brute_force(spark, monkeypatch, size):
+def test_samples_match_brute_force(spark, size):
     frame = spark.range(1000).withColumn("text", F.col("id").cast("string"))
-    expected = expected_sample(range(1000), size, 5)
-    assert sorted(r.id for r in seeded_sample(frame, size, 5, "id").collect()) == expected
-    monkeypatch.setattr(sampling, "TOP_ROWS", 0)
-    assert sorted(r.id for r in seeded_sample(frame, size, 5, "id").collect()) == expected
+    got = sorted(r.id for r in seeded_sample(frame, size, 5, "id").collect())
+    assert got == expected_sample(range(1000), size, 5)
 
 
-def test_sample_of_many_copies(spark, monkeypatch):
+def test_sample_of_many_copies(spark):
     """One key holds most rows: any of its copies may be taken, but exactly enough of them."""
-    monkeypatch.setattr(sampling, "TOP_ROWS", 10)
     frame = spark.range(3000).selectExpr("if(id % 3 = 0, id, -1) AS id").repartition(6)
     keys = [i if i % 3 == 0 else -1 for i in range(3000)]
     for size in (40, 700, 1500, 2900):
@@ -152,10 +149,9 @@ def test_sample_of_many_copies(spark, monkeypatch):
         assert got == expected_sample(keys, size, 5), size
 
 
-def test_small_sample_is_a_top_k(spark):
-    frame = spark.range(1000)
-    plan = seeded_sample(frame, 10, 1, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+def test_a_sample_sorts_and_moves_no_rows(spark):
+    plan = seeded_sample(spark.range(1000), 10, 1, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Exchange" not in plan and "Sort" not in plan
 
 
 def test_unset_sample_size_keeps_all(spark):

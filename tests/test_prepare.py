@@ -124,9 +124,12 @@ def test_only_the_training_split_is_sampled(spark):
 def test_sampled_rows_are_the_ones_rendered(spark):
     many = frame(spark, *([CHAT] * 30))
     ready = prepare(many, "id", use_chat_template=True, max_samples=5)
-    top_k, *below = ready._jdf.queryExecution().sparkPlan().toString().split("\n")
-    assert top_k.startswith("TakeOrderedAndProject")
-    assert not any("im_start" in step for step in below)
+    steps = ready._jdf.queryExecution().sparkPlan().toString().split("\n")
+    assert not any(word in step for step in steps for word in ("Exchange", "Sort", "TakeOrdered"))
+    rendered = [i for i, step in enumerate(steps) if "im_start" in step]
+    chosen = [i for i, step in enumerate(steps) if "Filter" in step]
+    assert rendered and chosen and min(rendered) < min(chosen)
+    assert ready.count() == 5
 
 
 def test_paths_and_profile(spark, folder):

@@ -55,16 +55,20 @@ def test_line_numbers_match_python(spark, folder, split):
         assert got == python_lines(path), name
 
 
-def test_line_numbers_without_broadcast(spark, folder, monkeypatch):
+def test_numbering_never_moves_the_text(spark, folder, monkeypatch):
     path = write(folder, "a.jsonl", sample_text("\n", 500))
-    monkeypatch.setattr(jsonl, "BROADCAST_BLOCKS", 0)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
-        got = {(r.line_num, r.line) for r in read_numbered_lines(spark, path).collect()}
+        lines = read_numbered_lines(spark, path)
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Sort" not in plan
+        assert {(r.line_num, r.line) for r in lines.collect()} == python_lines(path)
+        monkeypatch.setattr(jsonl, "BROADCAST_BLOCKS", 3)
+        with pytest.raises(ValueError, match="too many blocks"):
+            read_numbered_lines(spark, path)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert got == python_lines(path)
 
 
 def test_changed_splits_fail_instead_of_giving_wrong_numbers(spark, folder):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.operators.positions import running_starts, seeded_hash, shuffled_positions
+from turnloom.operators.positions import running_starts, seeded_hash
 from turnloom.sources.scratch import pin
 
 # The blanks that separate words.
@@ -109,7 +109,8 @@ def assign_batches(
 ) -> DataFrame:
     """Seeded order per epoch: epoch, the key, pos, batch and optimiser step, all from 0.
 
-    Only the key is ordered; join the result to the samples where their text is needed.
+    Only the key is ordered; join the result to the samples where their text is needed. Rows of
+    one key have a place each and stand next to each other.
     """
     if min(epochs, batch_size, accumulation, devices) < 1:
         raise ValueError("epochs, batch_size, accumulation and devices must be 1 or more")
@@ -117,7 +118,8 @@ def assign_batches(
     spread = df.select(key, numbers)
     seeded = F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"))
     hashed = spread.withColumn("_digest", seeded_hash(seeded, key))
-    placed = shuffled_positions(hashed, "_digest", key, group="epoch", groups=epochs)
+    counted = hashed.withColumn("_one", F.lit(1).cast("bigint"))
+    placed = running_starts(counted, "_one", "_digest", key, group="epoch").withColumnRenamed("start", "pos")
     per_step = batch_size * accumulation * devices
     return placed.select(
         "epoch",

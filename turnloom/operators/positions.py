@@ -1,8 +1,7 @@
 """Global positions without a window over the whole table.
 
-Both ways split the rows into ordered buckets, take one small total per bucket, and number the
-rows inside each bucket. The totals have one row per bucket, so their number is set by a
-parameter and never by the data.
+The rows are split into ordered ranges, one small total is taken per range, and the rows are
+numbered inside each range. The number of ranges is a parameter and never set by the data.
 """
 
 from __future__ import annotations
@@ -12,9 +11,9 @@ from pyspark.sql import functions as F
 
 from turnloom.sources.scratch import pin
 
+# A hash prefix grows by so many hex digits at a time.
 HASH_DIGITS = 3
-BUCKETS = 16**HASH_DIGITS
-# Bucket totals are broadcast up to this many rows (a few MB), joined by shuffle beyond.
+# Range totals are broadcast up to this many rows (a few MB), joined by shuffle beyond.
 BROADCAST_TOTALS = 1 << 18
 
 
@@ -29,11 +28,6 @@ def seeded_hash(seed: Column | str | int, *keys: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def hash_bucket(digest: Column) -> Column:
-    """Leading digits of a hash as an int from 0 to BUCKETS - 1; ordered like the hash."""
-    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("int")
-
-
 def _starts(totals: DataFrame, group: list[str], bucket: str) -> DataFrame:
     before = (
         Window.partitionBy(*group)
@@ -43,66 +37,42 @@ def _starts(totals: DataFrame, group: list[str], bucket: str) -> DataFrame:
     return totals.withColumn("_start", F.coalesce(F.sum("_total").over(before), F.lit(0)))
 
 
-def shuffled_positions(
-    df: DataFrame, digest: str, *keys: str, group: str | None = None, groups: int = 1
+def running_starts(
+    df: DataFrame,
+    value: str,
+    *order: str,
+    group: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Add `pos`, the 0-based position by (digest, keys), within each value of `group`.
-
-    The keys name one row each. A repeated key stops the job: at once where a bucket holds
-    more rows than distinct hashes ever put there, else when the equal rows meet.
-    """
-    by = [group] if group else []
-    marked = df.withColumn("_bucket", hash_bucket(F.col(digest)))
-    totals = marked.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_total"))
-    expected = F.sum("_total").over(Window.partitionBy(*by)) / BUCKETS
-    crowded = F.col("_total") > 8 * expected + 1000
-    repeated = F.raise_error(
-        F.concat(F.lit("row keys repeat: "), F.concat_ws(", ", F.array(*map(F.lit, keys))))
-    ).cast("bigint")
-    totals = totals.withColumn("_total", F.when(crowded, repeated).otherwise(F.col("_total")))
-    starts = _starts(totals, by, "_bucket")
-    if groups * BUCKETS <= BROADCAST_TOTALS:
-        starts = F.broadcast(starts.drop("_total"))
-    inside = Window.partitionBy(*by, "_bucket").orderBy(digest, *keys)
-    this, previous = F.struct(*keys), F.lag(F.struct(*keys)).over(inside)
-    number = F.when(previous.eqNullSafe(this) & previous.isNotNull(), repeated).otherwise(
-        F.row_number().over(inside).cast("bigint")
-    )
-    return (
-        marked.withColumn("_rank", number)
-        .join(starts, [*by, "_bucket"])
-        .withColumn("pos", F.col("_start") + F.col("_rank") - 1)
-        .select(*df.columns, "pos")
-    )
-
-
-def running_starts(df: DataFrame, value: str, *order: str, partitions: int | None = None) -> DataFrame:
-    """Add `start`, the exclusive running sum of `value` in the given order.
+    """Add `start`, the exclusive running sum of `value` in the given order, per `group`.
 
     Ranges of the order columns are split by a sample, so the ranged rows are written to the
     checkpoint folder once and every later step reads the same ranges. Ties are spread by row
     id: equal rows may land in several ranges, and any order among them is right.
     """
     spark = df.sparkSession
+    by = [group] if group else []
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = [*order, "_tie"]
+    ordered = [*by, *order, "_tie"]
     ranged = pin(
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(parts, *ordered)
         .withColumn("_range", F.spark_partition_id())
     )
-    totals = ranged.groupBy("_range").agg(F.sum(value).alias("_total"))
-    starts = _starts(totals, [], "_range").drop("_total")
-    if parts <= BROADCAST_TOTALS:
+    # One row per range, and one more for each group that begins inside a range.
+    totals = pin(ranged.groupBy("_range", *by).agg(F.sum(value).alias("_total")))
+    starts = _starts(totals, by, "_range").drop("_total")
+    if totals.count() <= BROADCAST_TOTALS:
         starts = F.broadcast(starts)
     inside = (
-        Window.partitionBy("_range")
-        .orderBy(*ordered)
+        Window.partitionBy("_range", *by)
+        .orderBy(*order, "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        ranged.withColumn("_upto", F.sum(value).over(inside))
-        .join(starts, "_range")
+        ranged.repartitionById(parts, "_range")
+        .withColumn("_upto", F.sum(value).over(inside))
+        .join(starts, ["_range", *by])
         .withColumn("start", F.col("_start") + F.col("_upto") - F.col(value))
         .select(*df.columns, "start")
     )

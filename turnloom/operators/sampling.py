@@ -8,26 +8,24 @@ from pyspark.sql import functions as F
 from turnloom.operators.positions import HASH_DIGITS, seeded_hash
 from turnloom.sources.scratch import pin
 
-# Up to here each task keeps its best rows and one task merges them; beyond it the sample is
-# cut by hash prefix, which sorts and moves no rows.
-TOP_ROWS = 10_000
-MD5_DIGITS = 32
 
-
-def _cut(part: DataFrame, size: int, digits: int) -> tuple[str, int, int] | None:
+def _cut(part: DataFrame, size: int, digits: int) -> tuple[str, int, int, bool] | None:
     """Prefix in which the running row count reaches size, the count before it and its own.
 
-    `part` shares all but the last HASH_DIGITS digits, so there are at most 4,096 counts.
+    The last value says whether all its rows have one hash. `part` shares all but the last
+    HASH_DIGITS digits, so there are at most 4,096 counts.
     """
-    counts = part.groupBy(F.substring("_digest", 1, digits).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    counts = part.groupBy(F.substring("_digest", 1, digits).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n"), (F.min("_digest") == F.max("_digest")).alias("alike")
+    )
     upto = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = counts.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") >= size)
-    row = reached.orderBy("prefix").select("prefix", F.col("upto") - F.col("n"), "n").first()
+    row = reached.orderBy("prefix").select("prefix", F.col("upto") - F.col("n"), "n", "alike").first()
     return tuple(row) if row else None
 
 
 def _any_rows(copies: DataFrame, size: int) -> DataFrame:
-    """Some `size` rows of rows that are equal in hash and key: whole tasks, then part of one.
+    """Some `size` rows of rows that are equal in hash: whole tasks, then part of one.
 
     The running count goes over one number per task, never over the rows.
     """
@@ -47,26 +45,27 @@ def _any_rows(copies: DataFrame, size: int) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, size: int | None, seed: int, *keys: str) -> DataFrame:
-    """The first `size` rows in seeded order of the keys; all rows where size is None or 0."""
+    """The first `size` rows in seeded order of the keys; all rows where size is None or 0.
+
+    Rows are counted per hash prefix, and the prefix where the sample ends is split further
+    until it ends between two hashes. Each pass reads the keys alone and takes out a factor of
+    4,096; the sample itself is then a filter, so that no row is sorted or moved.
+    """
     if not size:
         return df
     hashed = df.withColumn("_digest", seeded_hash(seed, *keys))
-    if size <= TOP_ROWS:
-        return hashed.orderBy("_digest", *keys).limit(size).drop("_digest")
     part, left, digits = hashed, size, 0
     while True:
         digits += HASH_DIGITS
         found = _cut(part, left, digits)
         if found is None:
             return df
-        bound, before, held = found
+        bound, before, held, alike = found
         left -= before
         part = hashed.filter(F.startswith("_digest", F.lit(bound)))
         if left == held:
             edge = part
-        elif left <= TOP_ROWS:
-            edge = part.orderBy("_digest", *keys).limit(left)
-        elif digits >= MD5_DIGITS:
+        elif alike:
             edge = _any_rows(part, left)
         else:
             continue

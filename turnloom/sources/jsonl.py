@@ -14,8 +14,9 @@ MESSAGES_TYPE = T.ArrayType(
 )
 # The JSON reader stops at 20 million characters by default.
 LONGEST_TEXT = str((1 << 31) - 1)
-# Offsets have one row per scanned block; above this they are joined by shuffle.
-BROADCAST_BLOCKS = 100_000
+# Offsets have one row of about 100 bytes per scanned block and are broadcast up to this many,
+# 250 TB in blocks of 128 MiB.
+BROADCAST_BLOCKS = 2_000_000
 
 
 def _stripped(lines: DataFrame) -> DataFrame:
@@ -39,37 +40,39 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     """Non-blank lines with their 1-based number in the file, blank lines counted.
 
     A first pass counts the lines of each scanned block and notes the row id of its first
-    line. The second pass turns its own row ids into numbers with a join on the block, so the
-    text is never sorted, and not shuffled either while the block table is small. A block is at
-    most one split, however large the file is.
+    line. The second pass turns its own row ids into numbers with a broadcast join on the block,
+    so the text is never sorted or shuffled. A block is at most one split, however large the file
+    is. With more blocks than may be broadcast the job stops and asks for larger ones.
     """
-    block = ["file_path", "block_start", "block_length"]
+    # Files are told apart by a hash: blocks of one task only, and checked by the row ids below.
+    block = ["task", "file_id", "block_start"]
     rows = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("_metadata.file_block_length").alias("block_length"),
         F.monotonically_increasing_id().alias("row_id"),
         "value",
     )
+    rows = rows.withColumn("task", F.shiftright("row_id", 33)).withColumn("file_id", F.xxhash64("file_path"))
     earlier = (
         Window.partitionBy("file_path")
         .orderBy("block_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     blocks = pin(
-        rows.groupBy(*block)
+        rows.groupBy("file_path", *block)
         .agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("n_lines"))
         .withColumn("lines_before", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)))
+        .drop("file_path")
     )
-    if blocks.count() <= BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
+    if blocks.count() > BROADCAST_BLOCKS:
+        raise ValueError("too many blocks to number; raise spark.sql.files.maxPartitionBytes or merge files")
     step = F.col("row_id") - F.col("first_id")
     same_scan = (step >= 0) & (step < F.col("n_lines"))
     moved = F.raise_error(
         F.lit("the files were split differently in the two passes; fix spark.sql.files settings")
     )
     number = F.when(same_scan, F.col("lines_before") + step + 1).otherwise(moved.cast("bigint"))
-    numbered = rows.join(blocks, block, "left").select(
+    numbered = rows.join(F.broadcast(blocks), block, "left").select(
         "file_path", number.alias("line_num"), "value"
     )
     return _stripped(numbered)
