@@ -77,6 +77,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", CPUS)
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

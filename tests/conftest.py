@@ -18,6 +18,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )

@@ -78,7 +78,9 @@ GOLDEN = [
     ("null", ("error", "not_object", None)),
     ('{"a":1} junk', ("error", "malformed", None)),
     ('{"prompt":"x","prompt":"q"}', [Q]),
-    ('{"prompt":NaN}', ("error", "malformed", None)),
+    ('{"prompt":NaN}', ["u:nan"]),
+    ('{"score":-Infinity,"prompt":"q"}', [Q]),
+    ('{"score":+Infinity,"prompt":"q"}', ("error", "malformed", None)),
 ]
 
 
@@ -130,7 +132,7 @@ def test_long_message_text_and_many_turns(spark):
     assert rows[1].messages[0].content == text
 
 
-def test_text_beyond_the_short_parser_is_kept_whole(spark):
+def test_a_text_over_twenty_million_characters_is_kept_whole(spark):
     size = 21_000_000
     lines = spark.range(2).selectExpr(
         "id AS n",
@@ -185,7 +187,7 @@ def plan_of(df):
 def test_a_line_is_parsed_once_without_python(spark, pick):
     lines = spark.range(10).selectExpr("id", "concat('{\"prompt\":\"', id, '\"}') AS line")
     plan = plan_of(pick(normalise(lines)))
-    assert plan.count("parseJson") == 1
+    assert plan.count("maxStringLen") == 1
     assert "Python" not in plan
 
 

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from turnloom.jobs import main
 from turnloom.operators.templates import Template, render_chat, strict_render, text_mode, violations
 from turnloom.plans.prepare import prepare, prepare_paths, prepare_splits, profile
 from turnloom.sources.jsonl import load_dataset, write_jsonl
@@ -145,6 +146,41 @@ def test_paths_and_profile(spark, folder):
         text_only.collect()
 
 
+def test_null_is_present_and_an_absent_key_is_not(spark, folder):
+    path = os.path.join(folder, "a.jsonl")
+    with open(path, "w") as f:
+        f.write('{"messages":[{"role":"user","content":null},{"role":"user","content":"q"}]}\n')
+    ready, _ = prepare_paths(spark, path, use_chat_template=True, template=Template("[", ":", "]"))
+    assert ready.first().text == "[user:][user:q]"
+    with open(path, "a") as f:
+        f.write('{"messages":[{"role":"user"}]}\n')
+    with pytest.raises(Exception, match="missing_key"):
+        prepare_paths(spark, path, use_chat_template=True)[0].collect()
+
+
+def test_whole_preparation_from_the_command_line(spark, folder):
+    chats, out = os.path.join(folder, "chats"), os.path.join(folder, "out")
+    write_jsonl(frame(spark, *([CHAT] * 6)), chats)
+    options = {
+        "train": chats, "eval": chats, "output": out, "use_chat_template": "true", "column": "id bigint",
+        "key": "id", "template": '{"prefix": " ", "infix": " ", "suffix": " "}', "check_all": "true",
+        "max_seq_length": "4", "packing": "true", "batch_size": "2", "epochs": "2",
+    }
+    main(["prepare", *(f"--{name}={value}" for name, value in options.items())])
+    written = load_dataset(spark, os.path.join(out, "train"), "id bigint, text string").orderBy("id").collect()
+    assert [r.id for r in written] == list(range(6))
+    assert written[0].text == " system s  user q  assistant r "
+    packs = spark.read.parquet(os.path.join(out, "train_tokens")).orderBy("pack_id").collect()
+    assert [len(p.tokens) for p in packs] == [4] * 9
+    assert packs[0].tokens == ["system", "s", "user", "q"]
+    batches = spark.read.parquet(os.path.join(out, "batches"))
+    assert {(r.epoch, r.batch): r["count"] for r in batches.groupBy("epoch", "batch").count().collect()} == {
+        (e, b): 2 for e in (0, 1) for b in (0, 1, 2)
+    }
+    with pytest.raises(ValueError, match="need a key"):
+        main(["prepare", f"--train={chats}", f"--output={out}", "--packing=true", "--max_seq_length=4"])
+
+
 def test_variant_field_from_a_file(spark, folder):
     path = os.path.join(folder, "a.jsonl")
     with open(path, "w") as f:

@@ -2,15 +2,17 @@ import json
 import math
 import struct
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from turnloom.functions import clean_text, is_falsy, let, parse_record, python_str, python_strip, typed
+from turnloom.functions import clean_text, is_falsy, last_key_wins, let, parse_record, python_str
+from turnloom.functions import python_strip, typed
 from turnloom.functions.values import WHITESPACE
 
 VALUES = """1 0 1.0 1.5 1e22 1e-5 0.0001 0.00012 123456789.125 1e7 1e15 1e16 12345678901234567
 12345678901234567890123 true false null "" "x" [] [1] 1.5e300 -2.5 0.001 1234567.0 100000000.0 -7
-0.0 2.50 1e0 123456789012.5""".split()
+0.0 2.50 1e0 123456789012.5 NaN Infinity -Infinity 1e400 -1e400""".split()
 
 
 def judged(spark, texts):
@@ -67,9 +69,9 @@ def test_float_text_reads_back_as_the_same_number(spark, numbers):
 
 
 def test_strict_json_accepts_exactly_one_value(spark):
-    good = ['{"a":1}', "[1,2]", '"x"', "5", "null", ' {"a":1}', '{"a":"\\u00e9"}', "true"]
+    good = ['{"a":1}', "[1,2]", '"x"', "5", "null", ' {"a":1}', "NaN", "-Infinity", '{"a":"+Infinity -INF"}', '{"a":"\\u00e9"}', "true"]
     bad = [
-        '{"a":1} junk', '{"a":1},{"b":2}', "1],[2", '{"a":1', "{'a':1}", "NaN", '{"a":1}}', "[1,]",
+        '{"a":1} junk', '{"a":1},{"b":2}', "1],[2", '{"a":1', "{'a':1}", "+Infinity", "-INF", "+INF", '{"a":+Infinity}', "-NaN", "+1", '{"a":1}}', "[1,]",
         "01", '"a', "nul", "1 2", '{"a":"\t"}', '{"a" 1}', ",", '{"a":1}]', '{"a":1},"x"] ',
     ]
     lines = spark.createDataFrame([(t,) for t in good + bad], "line string")
@@ -77,10 +79,22 @@ def test_strict_json_accepts_exactly_one_value(spark):
     assert parsed == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False)}
 
 
-def test_last_of_repeated_keys_wins_and_session_keeps_its_setting(spark):
-    name = "spark.sql.variant.allowDuplicateKeys"
-    before = spark.conf.get(name)
+def test_last_of_repeated_keys_wins_and_the_setting_is_asked_for(spark):
     lines = spark.createDataFrame([('{"a":1,"b":{"c":1,"c":2},"a":3}',)], "line string")
-    record = parse_record(lines)
-    assert spark.conf.get(name) == before
-    assert record.first().record.toPython() == {"a": 3, "b": {"c": 2}}
+    assert parse_record(lines).first().record.toPython() == {"a": 3, "b": {"c": 2}}
+    other = spark.newSession()
+    other.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    with pytest.raises(ValueError, match="allowDuplicateKeys"):
+        parse_record(other.sql("SELECT '{}' AS line"))
+    last_key_wins(other)
+    assert parse_record(other.sql("SELECT '{}' AS line")).count() == 1
+
+
+def test_a_line_is_judged_alike_at_any_length(spark):
+    lines = spark.range(4).selectExpr(
+        "id",
+        """concat('{"meta":{"a":1,"a":2},"score":', if(id < 2, '', '+'), 'Infinity,"text":"',
+            repeat('x', if(id % 2 = 0, 9, 20500000)), '"}') AS line""",
+    )
+    rows = parse_record(lines).selectExpr("id", "try_variant_get(record, '$.meta.a', 'int') AS a").collect()
+    assert sorted(map(tuple, rows)) == [(0, 2), (1, 2), (2, None), (3, None)]

@@ -8,17 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.fixtures import DIALECTS, as_messages, ordered_turns, raw_lines
-from turnloom.functions import not_blank, parse_record, python_strip
+from turnloom.functions import last_key_wins, not_blank, parse_record, python_strip
 from turnloom.functions.values import WHITESPACE
-from turnloom.jobs import run_normalise
+from turnloom.jobs import run_normalise, run_prepare
 from turnloom.operators.layout import assign_batches, pack_layout, packed_tokens, train_plan
-from turnloom.operators.layout import truncate, words
+from turnloom.operators.layout import truncate, words, write_batches
 from turnloom.operators.messages import normalise_role
 from turnloom.operators.sampling import seeded_sample
 from turnloom.operators.templates import TEMPLATES, render_chat, strict_render, text_mode
 from turnloom.operators.templates import violations
 from turnloom.plans.normalise import accepted, normalise, outcome_counts, rejects
-from turnloom.plans.prepare import prepare_splits
+from turnloom.plans.prepare import prepare_splits, profile
 from turnloom.sources.jsonl import load_dataset, read_lines, read_numbered_lines, write_jsonl
 from turnloom.sources.scratch import scratch_path
 from turnloom.streaming.normalise import normalise_stream, write_stream
@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SEED = 3407
 PACK_SIZE = 512
 MAX_WORDS = 128
-CONVERSATIONS_PER_FILE = 32
+SHARDS = 16
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +58,9 @@ def _exploded(samples: DataFrame, *keys: str) -> DataFrame:
 
 
 def _write_files(lines: DataFrame, *order: str) -> str:
-    """Write lines of neighbouring conversations to one folder each, in the given order."""
+    """Write the lines to a fixed number of folders, each in the given order."""
     path = scratch_path(lines.sparkSession, "lines")
-    shard = F.call_function("div", F.col("conv_id"), F.lit(CONVERSATIONS_PER_FILE))
+    shard = F.pmod("conv_id", F.lit(SHARDS))
     (
         lines.withColumn("shard", shard)
         .repartition("shard")
@@ -214,6 +214,23 @@ def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def normalise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome counts that the job returns, however it is run."""
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    modes = {
+        "plain": {},
+        "keep_order": {"keep_order": True},
+        "rejects": {"rejects_path": scratch_path(spark, "rejects")},
+        "by_outcome": {"by_outcome": True},
+    }
+    rows = [
+        (mode, outcome, n)
+        for mode, options in modes.items()
+        for outcome, n in run_normalise(spark, source, scratch_path(spark, mode), **options).items()
+    ]
+    return spark.createDataFrame(rows, "mode string, outcome string, n bigint")
+
+
 def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
     target = scratch_path(spark, "stream")
@@ -263,6 +280,20 @@ def render_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversations(spark, sf_dir).select("conv_id", F.inline(texts))
 
 
+def render_null_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third turn has a null content: it stays, as empty text, in typed and VARIANT lists."""
+
+    def emptied(message: Column, position: Column) -> Column:
+        content = F.when(position % 3 != 1, message.content)
+        return F.struct(message.role.alias("role"), content.alias("content"))
+
+    lists = _conversations(spark, sf_dir).withColumn("messages", F.transform("messages", emptied))
+    plain = lists.select("conv_id", F.lit("typed").alias("form"), render_chat(F.col("messages")).alias("text"))
+    text = F.to_json("messages", {"ignoreNullFields": "false"})
+    loose = strict_render(lists.withColumn("messages", F.parse_json(text)))
+    return plain.unionByName(loose.select("conv_id", F.lit("variant").alias("form"), "text"))
+
+
 def text_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_mode(_table(spark, sf_dir, "documents")).select("doc_id", "text")
 
@@ -293,6 +324,31 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(train, "train").unionByName(summary(evaluation, "eval"))
 
 
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    source, target = scratch_path(spark, "chats"), scratch_path(spark, "prepared")
+    write_jsonl(_conversations(spark, sf_dir), source)
+    report = run_prepare(
+        spark, source, None, target, "conv_id", ["conv_id bigint"], use_chat_template=True, check_all=True
+    )
+    return load_dataset(spark, f"{target}/train", "conv_id bigint, text string"), report
+
+
+def prepare_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole preparation from files to files, row by row."""
+    return _prepared(spark, sf_dir)[0]
+
+
+def profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job reports, and the profile of what it wrote; the example is one of its rows."""
+    written, report = _prepared(spark, sf_dir)
+    seen = {"job": report["train"], "written": profile(written)}
+    rows = [
+        (name, n, written.filter(F.col("text") == example["text"]).count() > 0)
+        for name, (n, example) in seen.items()
+    ]
+    return spark.createDataFrame(rows, "source string, n_rows bigint, example_found boolean")
+
+
 # --- layout --------------------------------------------------------------------------------
 
 
@@ -324,6 +380,12 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_batches(documents, "doc_id", SEED, batch_size=8, epochs=2, accumulation=4)
 
 
+def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "batches")
+    write_batches(batches(spark, sf_dir), path)
+    return spark.read.schema("doc_id bigint, pos bigint, batch bigint, step bigint, epoch int").parquet(path)
+
+
 def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return train_plan(documents, batch_size=8, epochs=3, accumulation=55)
@@ -331,7 +393,18 @@ def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NORM_DIALECTS = tuple(DIALECTS)[: tuple(DIALECTS).index("trailing_junk")]
 
-QUERIES: dict[str, Query] = {
+
+def _in_session(query: Query) -> Query:
+    """The query with the parser's setting made in the session that runs it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        last_key_wins(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "render_conversations": render_conversations,
     "read_lines": lines_read,
     "read_lines_numbered": lines_numbered,
@@ -348,17 +421,23 @@ QUERIES: dict[str, Query] = {
     "outcome_counts": outcomes,
     "normalise_files": normalise_files,
     "normalise_by_outcome": normalise_by_outcome,
+    "normalise_counts": normalise_counts,
     "stream_normalise": stream_normalise,
     "strict_violations": strict_violations,
     "render_chatml": render_strict,
     "render_named": render_named,
+    "render_null_content": render_null_content,
     "text_mode": text_field,
     "sample_train": sample_train,
     "sample_train_large": sample_train_large,
     "prepare_splits": splits,
+    "prepare_job": prepare_job,
+    "profile": profile_query,
     "truncate": truncated,
     "pack": pack,
     "pack_tokens": pack_tokens,
     "assign_batches": batches,
+    "write_batches": batch_files,
     "train_plan": plan_summary,
 }
+QUERIES = {name: _in_session(query) for name, query in _QUERIES.items()}

@@ -92,7 +92,10 @@ DIALECTS = {
     "shadowed": _record(conversations=_USER, chat=_items()),
     "number_content": _record(messages=_items(text="t.turn + 1000")),
     "repeated_key": f"""concat('{{"prompt":"overwritten",', substr({_PROMPT}, 2))""",
+    "not_a_number": f"""concat('{{"score":NaN,"low":-Infinity,"sign":"+Infinity",', substr({_CANONICAL}, 2))""",
+    "nested_repeat": f"""concat('{{"meta":{{"a":1,"a":2}},', substr({_CANONICAL}, 2))""",
     # From here on: lines that give no sample.
+    "plus_infinity": f"""concat('{{"score":+Infinity,', substr({_CANONICAL}, 2))""",
     "trailing_junk": f"concat({_CANONICAL}, ' junk')",
     "truncated": f"left({_CANONICAL}, length({_CANONICAL}) - 1)",
     "not_record": "to_json(transform(turns, t -> t.text))",

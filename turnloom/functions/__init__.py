@@ -1,6 +1,12 @@
 """SQL expressions that reproduce Python's text and truth rules on the JVM side."""
 
-from turnloom.functions.records import last_key_wins, parse_record, strict_json, variant_path
+from turnloom.functions.records import (
+    last_key_wins,
+    parse_record,
+    require_last_key_wins,
+    strict_json,
+    variant_path,
+)
 from turnloom.functions.values import (
     clean_text,
     column,
@@ -27,6 +33,7 @@ __all__ = [
     "python_str",
     "python_strip",
     "quoted",
+    "require_last_key_wins",
     "strict_json",
     "typed",
     "typed_fields",

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import threading
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,15 +11,14 @@ from turnloom.functions.values import column, let, quoted
 # Closes the parse wrapper below; a random value cannot occur in the data.
 _SEAL = uuid.uuid4().hex
 
-# The parser of try_parse_json takes no text value beyond 20,000,000 characters.
-LONG_LINE = 20_000_000
-_LONG_OPTIONS = (
-    "map('maxStringLen', '2147483647', 'allowSingleQuotes', 'false',"
-    " 'allowNonNumericNumbers', 'false')"
+# One reader for lines of every length: texts and numbers without a bound, Python's NaN and Infinity.
+_OPTIONS = (
+    "map('maxStringLen', '2147483647', 'maxNumLen', '2147483647', 'allowSingleQuotes', 'false',"
+    " 'allowNonNumericNumbers', 'true')"
 )
+_ESCAPE, _TEXT, _FOREIGN = quoted(r"(?s)\\."), quoted('"[^"]*"'), quoted("[+]I|-INF")
 
-_DUPLICATES = "spark.sql.variant.allowDuplicateKeys"
-_CONF_LOCK = threading.Lock()
+DUPLICATES = "spark.sql.variant.allowDuplicateKeys"
 
 
 def variant_path(key: str) -> str:
@@ -34,40 +30,39 @@ def variant_path(key: str) -> str:
     raise ValueError(f"field name mixes both quote characters: {key!r}")
 
 
-@contextmanager
-def last_key_wins(spark: SparkSession) -> Iterator[None]:
-    """Let the last of repeated keys win in parses whose plan is built inside the block.
+def last_key_wins(spark: SparkSession) -> None:
+    """Let the last of repeated keys win in this session's parses.
 
-    Spark reads this setting while it builds the plan, so the caller's session keeps its own.
+    Spark reads the setting while a parse runs, so it has to stay set.
     """
-    with _CONF_LOCK:
-        before = spark.conf.get(_DUPLICATES)
-        spark.conf.set(_DUPLICATES, "true")
-        try:
-            yield
-        finally:
-            spark.conf.set(_DUPLICATES, before)
+    spark.conf.set(DUPLICATES, "true")
+
+
+def require_last_key_wins(spark: SparkSession) -> None:
+    if str(spark.conf.get(DUPLICATES)).lower() != "true":
+        raise ValueError(f"set {DUPLICATES} to true in the session: the last of repeated keys wins")
+
+
+def _foreign_number(line: str) -> str:
+    """Whether +Infinity, +INF or -INF stands outside of texts; Python does not read these."""
+    bare = f"regexp_replace(regexp_replace({line}, {_ESCAPE}, ''), {_TEXT}, '')"
+    seen = f"(contains({line}, '+I') OR contains({line}, '-INF'))"
+    return f"{seen} AND regexp_like({bare}, {_FOREIGN})"
 
 
 def strict_json(line: str) -> str:
     """Variant of the line, NULL where it is not exactly one JSON value.
 
-    try_parse_json ignores text after the first value. Parsing the line as the first item of
-    a sealed two-item list makes such text visible. Lines that may hold a longer text value
-    than that parser takes go through from_json, which can be told to take it.
+    The parser ignores text after the first value. Parsing the line as the first item of a
+    sealed two-item list makes such text visible.
     """
-    text = f"""concat('[', {line}, ',"{_SEAL}"]')"""
-    sealed = (
-        f"if(octet_length({line}) < {LONG_LINE}, try_parse_json({text}),"
-        f" from_json({text}, 'variant', {_LONG_OPTIONS}))"
-    )
-    checked = (
-        f"if(size(pair) = 2 AND try_variant_get(get(pair, 1), '$', 'string') = '{_SEAL}', get(pair, 0), NULL)"
-    )
+    sealed = f"""from_json(concat('[', {line}, ',"{_SEAL}"]'), 'variant', {_OPTIONS})"""
+    whole = f"size(pair) = 2 AND try_variant_get(get(pair, 1), '$', 'string') = '{_SEAL}'"
+    checked = f"if({whole} AND NOT ({_foreign_number(line)}), get(pair, 0), NULL)"
     return let("pair", f"try_variant_get({sealed}, '$', 'array<variant>')", checked)
 
 
 def parse_record(df: DataFrame, line: str = "line", into: str = "record") -> DataFrame:
     """Add the parsed line as a VARIANT column; the last of repeated keys wins."""
-    with last_key_wins(df.sparkSession):
-        return df.selectExpr("*", f"{strict_json(column(line))} AS {column(into)}")
+    require_last_key_wins(df.sparkSession)
+    return df.selectExpr("*", f"{strict_json(column(line))} AS {column(into)}")

@@ -79,7 +79,7 @@ def _double(v: str) -> str:
 
 
 def python_float(number: str) -> str:
-    """repr() of a double: positional between 1e-4 and 1e16, else like 1e+22."""
+    """repr() of a double: positional between 1e-4 and 1e16, else like 1e+22; nan, inf, -inf."""
     exponent = "try_cast(split_part(java, 'E', 2) AS int)"
     mantissa = "regexp_replace(split_part(java, 'E', 1), '[.]0$', '')"
     parts = (
@@ -96,7 +96,8 @@ def python_float(number: str) -> str:
       ELSE concat(p.mantissa, if(p.exponent < 0, 'e-', 'e+'),
                   if(abs(p.exponent) < 10, '0', ''), abs(p.exponent)) END"""
     magnitude = let("java", f"cast(abs({number}) AS string)", let("p", parts, layout))
-    return f"concat(if({number} < 0, '-', ''), {magnitude})"
+    shown = f"if(isnan({number}), 'nan', if(abs({number}) = double('Infinity'), 'inf', {magnitude}))"
+    return f"concat(if({number} < 0, '-', ''), {shown})"
 
 
 def python_str(v: str) -> str:

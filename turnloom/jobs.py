@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
+from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.functions import last_key_wins
+from turnloom.operators.layout import assign_batches, packed_tokens, truncate, words, write_batches
 from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD
+from turnloom.operators.templates import Template
 from turnloom.plans.normalise import normalise, observe_outcomes, rejects, report_object
-from turnloom.plans.prepare import prepare_paths
-from turnloom.sources.jsonl import read_lines, read_numbered_lines, write_jsonl, write_jsonl_by
+from turnloom.plans.prepare import prepare_paths, profile
+from turnloom.sources.jsonl import load_dataset, read_lines, read_numbered_lines, write_jsonl
+from turnloom.sources.jsonl import write_jsonl_by
 
 logger = logging.getLogger(__name__)
 
@@ -35,6 +42,7 @@ def run_normalise(
     """
     if by_outcome and (rejects_path or keep_order):
         raise ValueError("by_outcome writes rejects itself and keeps no order; drop the other option")
+    last_key_wins(spark)
     numbered = bool(rejects_path) or by_outcome or keep_order
     lines = (read_numbered_lines if numbered else read_lines)(spark, input_path)
     if keep_order:
@@ -53,6 +61,60 @@ def run_normalise(
     return dict(outcomes.get)
 
 
+def run_prepare(
+    spark: SparkSession,
+    train_path: str,
+    eval_path: str | None,
+    output_path: str,
+    key: str | None = None,
+    columns: Sequence[str] = (),
+    text_field: str = "text",
+    max_seq_length: int | None = None,
+    packing: bool = False,
+    batch_size: int | None = None,
+    accumulation: int = 1,
+    epochs: int = 1,
+    seed: int = 3407,
+    **options: Any,
+) -> dict[str, tuple[int, dict | None]]:
+    """Write train and eval text and return the row count and an example of each split.
+
+    Declared columns are written too. With max_seq_length the words of each text are cut, or with
+    `packing` joined and cut, into `train_tokens` and `eval_tokens`; with batch_size the seeded
+    order of the training split is written to `batches`. These three need the key, which names
+    one row. All of them start from the text as it was written.
+    """
+    if (packing or batch_size) and not key:
+        raise ValueError("packing and batches need a key")
+    if packing and not max_seq_length:
+        raise ValueError("packing needs max_seq_length")
+    keys = [key] if key else []
+    splits = prepare_paths(
+        spark, train_path, eval_path, *keys, columns=columns, text_field=text_field, seed=seed, **options
+    )
+    kept = [name for name in splits[0].columns if name not in (options.get("messages_field", "messages"), text_field)]
+    report = {}
+    for name, split in zip(("train", "eval"), splits):
+        if split is None:
+            continue
+        path = f"{output_path.rstrip('/')}/{name}"
+        write_jsonl(split, path, [*kept, text_field])
+        written = load_dataset(spark, path, split.select(*kept, text_field).schema)
+        report[name] = profile(written)
+        if max_seq_length:
+            tokens = written.withColumn("tokens", words(F.col(text_field))).drop(text_field)
+            if packing:
+                laid = packed_tokens(tokens, key, "tokens", max_seq_length)
+            else:
+                laid = truncate(tokens, "tokens", max_seq_length)
+            laid.write.mode("overwrite").parquet(f"{path}_tokens")
+        if batch_size and name == "train":
+            order = options.get("shuffle_seed") or seed
+            batches = assign_batches(written, key, order, batch_size, epochs, accumulation)
+            write_batches(batches, f"{output_path.rstrip('/')}/batches")
+    return report
+
+
 def truth(text: str) -> bool:
     """A flag's value: empty, false, no, off, none, null and 0 are false."""
     return text.strip().lower() not in ("", "false", "no", "off", "none", "null", "0")
@@ -75,6 +137,19 @@ def _parser() -> argparse.ArgumentParser:
     prep.add_argument("--output", required=True, help="folder for train and eval")
     prep.add_argument("--use_chat_template", type=truth, default=False)
     prep.add_argument("--chat_template_name")
+    prep.add_argument(
+        "--template",
+        type=lambda text: Template(**json.loads(text)),
+        help='own template as JSON, like {"prefix": "<", "infix": ":", "suffix": ">"}',
+    )
+    prep.add_argument("--column", action="append", default=[], help='column to keep, like "id bigint"')
+    prep.add_argument("--key", help="kept column that names a row and orders samples and packs")
+    prep.add_argument("--check_all", type=truth, default=False, help="check rows outside the sample too")
+    prep.add_argument("--max_seq_length", type=int)
+    prep.add_argument("--packing", type=truth, default=False)
+    prep.add_argument("--batch_size", type=int)
+    prep.add_argument("--accumulation", type=int, default=1)
+    prep.add_argument("--epochs", type=int, default=1)
     prep.add_argument("--messages_field", default="messages")
     prep.add_argument("--text_field", default="text")
     prep.add_argument("--max_samples", type=int)
@@ -100,21 +175,29 @@ def main(argv: list[str] | None = None) -> None:
         )
         logger.info("outcomes: %s", counts)
         return
-    splits = prepare_paths(
+    report = run_prepare(
         spark,
         args.train,
         args.eval,
+        args.output,
+        key=args.key,
+        columns=args.column,
+        max_seq_length=args.max_seq_length,
+        packing=args.packing,
+        batch_size=args.batch_size,
+        accumulation=args.accumulation,
+        epochs=args.epochs,
+        check_all=args.check_all,
         use_chat_template=args.use_chat_template,
-        template=args.chat_template_name,
+        template=args.template or args.chat_template_name,
         messages_field=args.messages_field,
         text_field=args.text_field,
         max_samples=args.max_samples,
         seed=args.seed,
         shuffle_seed=args.shuffle_seed,
     )
-    for name, split in zip(("train", "eval"), splits):
-        if split is not None:
-            write_jsonl(split, f"{args.output.rstrip('/')}/{name}", [args.text_field])
+    for name, (rows, example) in report.items():
+        logger.info("%s: %d rows, for example %s", name, rows, example)
 
 
 if __name__ == "__main__":

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from turnloom.catalog import (
-    CONVERSATIONS_PER_FILE,
     MAX_WORDS,
     NORM_DIALECTS,
     PACK_SIZE,
     QUERIES,
     SEED,
+    SHARDS,
 )
 
 LIST_DIALECTS = (
     "canonical padded role_content from_value speaker_text mixed fallback shadowed number_content"
+    " not_a_number nested_repeat"
 ).split()
 PAIR_DIALECTS = "instruction prompt question repeated_key".split()
 
 # What each defective dialect leads to: outcome, reason, shape, keys of a record without messages.
 DEFECTS = {
+    "plus_infinity": ("error", "malformed", None, None),
     "trailing_junk": ("error", "malformed", None, None),
     "truncated": ("error", "malformed", None, None),
     "not_record": ("error", "not_object", None, None),
@@ -31,7 +33,9 @@ DEFECTS = {
     "blank_content": ("dropped", "empty_content", "canonical", None),
 }
 SHAPES = {
-    **dict.fromkeys(("canonical", "padded", "number_content"), "canonical"),
+    **dict.fromkeys(
+        ("canonical", "padded", "number_content", "not_a_number", "nested_repeat"), "canonical"
+    ),
     **dict.fromkeys(("role_content", "from_value", "speaker_text", "mixed"), "conversation"),
     **dict.fromkeys(("fallback", "shadowed"), "fallback"),
     "instruction": "instruction",
@@ -142,7 +146,7 @@ UNION ALL SELECT 'llama-3', conv_id, '<|begin_of_text|>' || string_agg({_LLAMA},
 UNION ALL SELECT 'gemma-3', conv_id, '<bos>' || string_agg({_GEMMA}, chr(10) ORDER BY turn) || chr(10)
   FROM folded GROUP BY conv_id"""
 
-_SHARD = f"conv_id // {CONVERSATIONS_PER_FILE}"
+_SHARD = f"conv_id % {SHARDS}"
 
 
 def _plan(rows: str, batch: int, accumulation: int, epochs: int) -> str:
@@ -158,6 +162,20 @@ FROM (SELECT count(*) AS n_rows FROM {rows})"""
 _STRICT = {"null_item": "n_turns + 1", "missing_key": "n_turns", "no_fields": "NULL"}
 _STRICT_REASON = {"null_item": "not_object", "missing_key": "missing_key", "no_fields": "not_list"}
 
+_COUNTS = f"""{_BAD}, counts AS (
+  SELECT outcome, count(*) AS n FROM (
+    SELECT DISTINCT conv_id, dialect, 'processed' AS outcome FROM good
+    UNION ALL SELECT conv_id, dialect, outcome FROM bad
+  ) GROUP BY outcome
+)"""
+
+_BATCHES = f"""
+SELECT epoch, doc_id, pos, pos // 8 AS batch, pos // 32 AS step FROM (
+  SELECT epoch, doc_id,
+         row_number() OVER (PARTITION BY epoch ORDER BY md5('{SEED}:' || epoch || ':' || doc_id), doc_id)
+         - 1 AS pos
+  FROM documents, (VALUES (0), (1)) AS e(epoch))"""
+
 ORACLES: dict[str, str] = {
     "render_conversations": _RENDERED,
     "read_lines": "SELECT conv_id, turn, text FROM conversations",
@@ -168,7 +186,7 @@ SELECT shard, line_num, conv_id, turn FROM (
               OVER (PARTITION BY {_SHARD} ORDER BY conv_id, turn) AS BIGINT) AS line_num
   FROM conversations)""",
     "parse_outcomes": f"""
-SELECT conv_id, dialect, dialect NOT IN ('trailing_junk', 'truncated') AS ok
+SELECT conv_id, dialect, dialect NOT IN ('trailing_junk', 'truncated', 'plus_infinity') AS ok
 FROM (SELECT DISTINCT conv_id FROM conversations), {_ALL_DIALECTS} WHERE dialect <> 'blank_line'""",
     "jsonl_roundtrip": f"{_GOOD} SELECT conv_id, idx, role, text AS content FROM turns",
     "detect_shape": f"""{_BAD}
@@ -203,11 +221,10 @@ GROUP BY role_in, role_out""",
 )
 SELECT shard, line_num, outcome, reason, msg_index, detail, keys
 FROM bad JOIN lines USING (conv_id, dialect)""",
-    "outcome_counts": f"""{_BAD}
-SELECT outcome, count(*) AS n FROM (
-  SELECT DISTINCT conv_id, dialect, 'processed' AS outcome FROM good
-  UNION ALL SELECT conv_id, dialect, outcome FROM bad
-) GROUP BY outcome""",
+    "outcome_counts": f"{_COUNTS} SELECT outcome, n FROM counts",
+    "normalise_counts": f"""{_COUNTS}
+SELECT mode, outcome, n
+FROM counts, (VALUES ('plain'), ('keep_order'), ('rejects'), ('by_outcome')) AS m(mode)""",
     "normalise_files": f"""{_GOOD}
 SELECT idx, role, content, count(*) AS n FROM good GROUP BY idx, role, content""",
     "normalise_by_outcome": f"""{_BAD}, sized AS (
@@ -226,6 +243,20 @@ SELECT outcome, reason, msg_index, 0, count(*) FROM bad GROUP BY outcome, reason
     ),
     "render_chatml": f"SELECT conv_id, text FROM ({_RENDERED})",
     "render_named": _NAMED,
+    "render_null_content": f"""
+WITH holed AS (
+  SELECT conv_id, turn, role,
+         CASE WHEN row_number() OVER (PARTITION BY conv_id ORDER BY turn) % 3 = 2 THEN '' ELSE text END AS text
+  FROM conversations
+), texts AS (
+  SELECT conv_id, string_agg({_CHATML}, chr(10) ORDER BY turn) AS text FROM holed GROUP BY conv_id
+)
+SELECT conv_id, form, text FROM texts, (VALUES ('typed'), ('variant')) AS f(form)""",
+    "prepare_job": f"SELECT conv_id, text FROM ({_RENDERED})",
+    "profile": """
+SELECT source, n_rows, true AS example_found
+FROM (SELECT count(DISTINCT conv_id) AS n_rows FROM conversations),
+     (VALUES ('job'), ('written')) AS s(source)""",
     "text_mode": "SELECT doc_id, text FROM documents",
     "sample_train": f"""
 SELECT doc_id, text FROM documents ORDER BY md5('{SEED}:' || doc_id), doc_id LIMIT 150""",
@@ -255,12 +286,8 @@ FROM pieces""",
 )
 SELECT place // {PACK_SIZE} AS pack_id, count(*) AS n_tokens, string_agg(token, ' ' ORDER BY place) AS text
 FROM flat GROUP BY place // {PACK_SIZE}""",
-    "assign_batches": f"""
-SELECT epoch, doc_id, pos, pos // 8 AS batch, pos // 32 AS step FROM (
-  SELECT epoch, doc_id,
-         row_number() OVER (PARTITION BY epoch ORDER BY md5('{SEED}:' || epoch || ':' || doc_id), doc_id)
-         - 1 AS pos
-  FROM documents, (VALUES (0), (1)) AS e(epoch))""",
+    "assign_batches": _BATCHES,
+    "write_batches": _BATCHES,
     "train_plan": _plan("documents", 8, 55, 3),
 }
 

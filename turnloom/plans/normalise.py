@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from turnloom.functions import column, last_key_wins, let, strict_json
+from turnloom.functions import column, let, require_last_key_wins, strict_json
 from turnloom.operators.messages import check_messages, verdict
 from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD, envelope, extract_messages
 
@@ -33,8 +33,8 @@ def normalise(
     picked = let("picked", extract_messages("env"), checked)
     env = let("env", envelope("rec", input_field, output_field), picked)
     judged = let("rec", strict_json(column(line)), env)
-    with last_key_wins(lines.sparkSession):
-        wide = lines.selectExpr("*", f"explode(array({judged})) AS verdict")
+    require_last_key_wins(lines.sparkSession)
+    wide = lines.selectExpr("*", f"explode(array({judged})) AS verdict")
     return wide.selectExpr(*map(column, lines.columns), "verdict.*")
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.operators.sampling import seeded_sample
-from turnloom.operators.templates import require_field, strict_render, text_mode, violations
+from turnloom.operators.templates import Template, require_field, strict_render, text_mode
+from turnloom.operators.templates import violations
 from turnloom.sources.jsonl import load_dataset
 
 
@@ -17,7 +18,7 @@ def prepare(
     df: DataFrame,
     *keys: str,
     use_chat_template: Any = False,
-    template: str | None = None,
+    template: Template | str | None = None,
     formatter: Callable[[Column], Column] | None = None,
     messages_field: str = "messages",
     text_field: str = "text",
@@ -60,19 +61,28 @@ def prepare_splits(
 
 
 def prepare_paths(
-    spark: SparkSession, train_path: str, eval_path: str | None = None, **options: Any
+    spark: SparkSession,
+    train_path: str,
+    eval_path: str | None = None,
+    *keys: str,
+    columns: Sequence[str] = (),
+    **options: Any,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """prepare_splits over JSONL paths."""
+    """prepare_splits over JSONL paths.
+
+    `columns` declares further columns to keep, like "id bigint"; keys have to be among them. The
+    messages are read as VARIANT, which tells a null from an absent key.
+    """
     fields = {
         options.get("text_field", "text"): "string",
-        options.get("messages_field", "messages"): "array<struct<role:string,content:string>>",
+        options.get("messages_field", "messages"): "variant",
     }
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
+    schema = ", ".join([*columns, *(f"`{name}` {kind}" for name, kind in fields.items())])
     train, evaluation = (load_dataset(spark, p, schema) for p in (train_path, eval_path))
-    return prepare_splits(train, evaluation, **options)
+    return prepare_splits(train, evaluation, *keys, **options)
 
 
 def profile(df: DataFrame) -> tuple[int, dict | None]:
-    """Row count and one example row."""
-    example = df.limit(1).first()
-    return df.count(), example.asDict(recursive=True) if example else None
+    """Row count and one example row, in one pass."""
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("*")).alias("example")).first()
+    return seen["n"], seen["example"].asDict(recursive=True) if seen["example"] else None
