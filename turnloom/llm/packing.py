@@ -30,9 +30,11 @@ from turnloom.llm.words import LOWER, join_texts, prefix_hash, range_hash
 
 CAPACITY = 4096
 CLOSING_ID = 1
-MEMO_ENTRIES = 1_000_000
-# More text at a time repeats more pieces, which are looked up once each.
-TOKENIZED_BYTES = 4_000_000
+# Remembered pieces per worker; an entry takes about ENTRY_BYTES beside its ids.
+MEMO_BYTES, ENTRY_BYTES = 24 << 20, 160
+# More text at a time repeats more pieces, which are looked up once each; the arrays over the
+# pieces take some 60 bytes per byte of text.
+TOKENIZED_BYTES = 1_000_000
 
 # Classes of bytes in plain text: white space, letters, digits, other signs.
 SPACES, LETTER, DIGIT, SIGN, ODD = range(5)
@@ -87,7 +89,7 @@ def piece_bounds(data: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class PieceIds:
-    """Token ids of pieces, remembered up to a fixed number of pieces.
+    """Token ids of pieces, remembered up to a fixed number of bytes.
 
     The tokenizer cuts text into pieces before it merges anything, so a text's ids are the ids of
     its pieces in order. In plain text (ASCII and Latin letters, no special token) the pieces
@@ -99,10 +101,14 @@ class PieceIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[int, bytes] = {}
+        self.size = 0
+
+    def _forget(self) -> None:
+        """Before the ids of a chunk are looked up: all of its pieces have to stay known."""
+        if self.size > MEMO_BYTES:
+            self.known, self.size = {}, 0
 
     def _learn(self, new: list[tuple[int, str]]) -> None:
-        if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
             text = " ".join(piece for _, piece in some)
@@ -111,16 +117,16 @@ class PieceIds:
             cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))).tolist()
             for (key, _), first, end in zip(some, cuts, cuts[1:]):
                 self.known[key] = raw[first:end]
+                self.size += ENTRY_BYTES + end - first
 
     def _plain_ids(self, data: np.ndarray, kind: np.ndarray, offset: np.ndarray) -> tuple:
         first, end = piece_bounds(data, kind)
         hashes = range_hash(prefix_hash(data), first, end)
         keys, sample, each = np.unique(hashes, return_index=True, return_inverse=True)
+        self._forget()
         names, known = keys.tolist(), self.known
         if any(k not in known for k in names):
             raw, a, b = data.tobytes(), first[sample].tolist(), end[sample].tolist()
-            if len(known) > MEMO_ENTRIES:
-                known.clear()
             self._learn([(k, raw[x:y].decode()) for k, x, y in zip(names, a, b) if k not in known])
         values = [known[k] for k in names]
         lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
