@@ -5,6 +5,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from turnloom.catalog import QUERIES
+from turnloom.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +19,16 @@ def database(sf_dir):
 
 
 def test_every_query_has_a_statement():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_duckdb(spark, sf_dir, database, name):
-    frame = registered.queries()[name](spark, sf_dir)
+    frame = QUERIES[name](spark, sf_dir)
     columns = sorted(frame.columns)
-    cursor = database.execute(registered.oracle_sql()[name])
+    cursor = database.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     picked = [names.index(c) for c in columns]

@@ -131,6 +131,12 @@ def _norm(dialect: str) -> Query:
     return query
 
 
+def plus_infinity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number that Python does not read makes the line malformed."""
+    judged = normalise(_lines(spark, sf_dir, "plus_infinity"))
+    return judged.select("conv_id", "shape", "outcome", "reason")
+
+
 def output_field_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The output field already holds a list: it is taken as it is, whatever its items are."""
     lines = _lines(spark, sf_dir, "role_content", "from_value")
@@ -391,7 +397,7 @@ def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_plan(documents, batch_size=8, epochs=3, accumulation=55)
 
 
-NORM_DIALECTS = tuple(DIALECTS)[: tuple(DIALECTS).index("trailing_junk")]
+NORM_DIALECTS = tuple(DIALECTS)[: tuple(DIALECTS).index("plus_infinity")]
 
 
 def _in_session(query: Query) -> Query:
@@ -412,6 +418,7 @@ _QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "detect_shape": detect_shape,
     **{f"norm_{dialect}": _norm(dialect) for dialect in NORM_DIALECTS},
+    "norm_plus_infinity": plus_infinity,
     "output_field_list": output_field_list,
     "role_normalise": role_normalise,
     "content_strip": content_strip,

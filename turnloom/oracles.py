@@ -197,6 +197,8 @@ UNION ALL SELECT conv_id, dialect, shape FROM bad""",
         f"norm_{dialect}": f"{_GOOD} SELECT conv_id, idx, role, content FROM good WHERE dialect = '{dialect}'"
         for dialect in NORM_DIALECTS
     },
+    "norm_plus_infinity": f"""{_BAD}
+SELECT conv_id, shape, outcome, reason FROM bad WHERE dialect = 'plus_infinity'""",
     "output_field_list": f"""{_GOOD}
 SELECT conv_id, 'role_content' AS dialect, 'canonical' AS shape, 'processed' AS outcome,
        CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS msg_index FROM firsts
