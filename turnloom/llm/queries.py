@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnloom.llm.common import Work, table
 from turnloom.llm.decontaminate import find_benchmark_items
+from turnloom.llm.filter_audit import audit_filters
 from turnloom.llm.html_blocks import extract_main_text
 from turnloom.llm.license_scan import scan_licenses
 from turnloom.llm.ngram_join import link_documents
@@ -94,6 +95,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return audit_filters(documents, labels, Work(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -105,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_main_text": op10_main_text,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
@@ -128,5 +135,57 @@ SELECT page_id, host, path,
     arg_max(rule, length(rule)) AS rule,
     coalesce(arg_max(action, length(rule)), 'allow') AS verdict
 FROM fits GROUP BY page_id, host, path
+""",
+    "op12_filter_audit": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+        doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS copied
+    FROM documents
+),
+flags AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+    FROM labels GROUP BY doc_id
+),
+masks AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text)
+            THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN copied THEN 'E' ELSE '' END AS fails
+    FROM words LEFT JOIN flags USING (doc_id)
+),
+alike AS (SELECT part, good, toxic, fails, count(*) AS n FROM masks GROUP BY ALL),
+orders AS (
+    SELECT '' AS filter_order
+    UNION ALL
+    SELECT filter_order || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS l(f)
+    WHERE NOT contains(filter_order, f)
+),
+steps AS (
+    SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS f,
+        filter_order[1:step - 1] AS before
+    FROM orders, range(1, 6) AS r(step) WHERE length(filter_order) = 5
+),
+outcomes AS (
+    SELECT part, filter_order, step, f, n, good, toxic, fails,
+        contains(fails, f) AS now, length(translate(fails, before, '')) < length(fails) AS gone
+    FROM alike, steps
+),
+counts AS (
+    SELECT part, filter_order, step, f,
+        CAST(coalesce(sum(n) FILTER (WHERE NOT now AND NOT gone), 0) AS BIGINT) AS kept,
+        CAST(coalesce(sum(n) FILTER (WHERE now AND NOT gone), 0) AS BIGINT) AS removed,
+        CAST(coalesce(sum(n) FILTER (WHERE now AND gone), 0) AS BIGINT) AS redundant,
+        CAST(coalesce(sum(n) FILTER (WHERE fails = f), 0) AS BIGINT) AS unique_fails,
+        CAST(coalesce(sum(n) FILTER (WHERE now AND NOT gone AND good), 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(sum(n) FILTER (WHERE now AND NOT gone AND toxic), 0) AS BIGINT) AS toxic_lost
+    FROM outcomes GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counts
 """,
 }
