@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.common import Work, table
 from turnloom.llm.decontaminate import find_benchmark_items
 from turnloom.llm.filter_audit import audit_filters
+from turnloom.llm.hard_negatives import mine
 from turnloom.llm.html_blocks import extract_main_text
 from turnloom.llm.license_scan import scan_licenses
 from turnloom.llm.ngram_join import link_documents
@@ -95,6 +96,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchors = F.col("vec_id") % 100 == 0
+    return mine(vectors, "vec_id", "embedding", moved, anchors, Work(spark))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return audit_filters(documents, labels, Work(spark))
@@ -111,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_main_text": op10_main_text,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
 }
 
@@ -135,6 +144,31 @@ SELECT page_id, host, path,
     arg_max(rule, length(rule)) AS rule,
     coalesce(arg_max(action, length(rule)), 'allow') AS verdict
 FROM fits GROUP BY page_id, host, path
+""",
+    "op11_hard_negatives": """
+WITH sound AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+        CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM sound a, sound b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER)
+        AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
 """,
     "op12_filter_audit": r"""
 WITH RECURSIVE words AS (
