@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from turnloom.llm.common import Work
 
+HEAVY_SHARE = 0.001
+
 
 def _around(pairs: DataFrame) -> DataFrame:
     """Pairs (u, v) with the smallest of u and all its partners as m."""
@@ -52,3 +54,35 @@ def components(edges: DataFrame, work: Work) -> DataFrame:
             break
     members = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return members.union(now.select("b", "b").distinct())
+
+
+def skew_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
+    """left.join(right, on, how) with the heavy keys of the left side joined by broadcast.
+
+    A key is heavy if it has more than a HEAVY_SHARE of the rows, so fewer than 1 / HEAVY_SHARE
+    rows are broadcast. Both sides should be written tables, as they are read twice; the key is
+    unique on the right and never NULL on the left.
+    """
+    rows = left.count()
+    counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.filter(F.col("_n") > rows * HEAVY_SHARE).select(on)
+    few = left.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    known = right.join(F.broadcast(few), on, "left_semi")
+    hot = left.join(F.broadcast(few), on, "left_semi").join(F.broadcast(known), on, how)
+    rest = left.join(F.broadcast(few), on, "left_anti").join(right, on, how)
+    return hot.unionByName(rest)
+
+
+def smallest_keys(nodes: DataFrame, roots: DataFrame, key: str, work: Work) -> DataFrame:
+    """key, n_shingles and component_id, the smallest key of the component, of every row of nodes.
+
+    A row whose node is NULL is its own component. Copies of one set and members of one component
+    may be any share of the table: neither node nor root is joined without care for heavy keys.
+    """
+    own = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.min(key).alias("own"))
+    placed = work.put(own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    least = work.put(placed.groupBy("root").agg(F.min("own").alias("component_id")), "least")
+    known = work.put(skew_join(placed, least, "root", "inner").select("node", "component_id"), "known")
+    found = skew_join(nodes.filter("node IS NOT NULL"), known, "node", "inner")
+    alone = nodes.filter("node IS NULL").select(key, "n_shingles", F.col(key).alias("component_id"))
+    return found.select(key, "n_shingles", F.coalesce("component_id", key).alias("component_id")).unionByName(alone)

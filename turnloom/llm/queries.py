@@ -13,6 +13,7 @@ from turnloom.llm.filter_audit import audit_filters
 from turnloom.llm.hard_negatives import mine
 from turnloom.llm.html_blocks import extract_main_text
 from turnloom.llm.license_scan import scan_licenses
+from turnloom.llm.lsh_forest import near_duplicates
 from turnloom.llm.ngram_join import link_documents
 from turnloom.llm.packing import pack_documents, tokenizer_path
 from turnloom.llm.sharding import shard_documents
@@ -108,6 +109,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(documents, labels, Work(spark))
 
 
+def op13_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return near_duplicates(documents, "doc_id", "text", Work(spark), n=4, part=80, whole=100)
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -121,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op10_main_text": op10_main_text,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
+    "op13_minhash_forest": op13_minhash_forest,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
