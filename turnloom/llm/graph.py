@@ -2,8 +2,9 @@
 
 Every round hangs each node's larger neighbours to its smallest one and then its smaller ones,
 until all edges are stars around the smallest node. Rounds grow with the logarithm of the
-longest path. Edges are written to the shared folder after each round; a hub with very many
-edges is a skewed join key, which adaptive execution splits, and never a group in one task.
+longest path. Edges are written to the shared folder after each round. A hub, a node with more
+than a HEAVY_SHARE of all edges, is joined by broadcast: there are few of them, and their edges
+stay where they are.
 """
 
 from __future__ import annotations
@@ -16,11 +17,23 @@ from turnloom.llm.common import Work
 HEAVY_SHARE = 0.001
 
 
-def _around(pairs: DataFrame) -> DataFrame:
-    """Pairs (u, v) with the smallest of u and all its partners as m."""
-    smallest = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    smallest = smallest.select("u", F.least("u", "m").alias("m"))
-    return pairs.join(smallest, "u")
+def _heavy(counts: DataFrame) -> DataFrame:
+    """The rows of counts (`n` rows each) that hold more than a HEAVY_SHARE of all rows.
+
+    They are fewer than 1 / HEAVY_SHARE, so they may be broadcast.
+    """
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    some = counts.filter(F.col("n") > rows * HEAVY_SHARE)
+    return F.broadcast(counts.sparkSession.createDataFrame(some.collect(), counts.schema))
+
+
+def _around(pairs: DataFrame, work: Work) -> DataFrame:
+    """Pairs (u, v) of a written table with the smallest of u and all its partners as m."""
+    smallest = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    smallest = work.put(smallest.select("u", F.least("u", "m").alias("m"), "n"), "smallest")
+    hubs = _heavy(smallest)
+    hot = pairs.join(hubs, "u")
+    return hot.unionByName(pairs.join(hubs, "u", "left_anti").join(smallest, "u"))
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -42,9 +55,8 @@ def components(edges: DataFrame, work: Work) -> DataFrame:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             now.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        large = _around(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.distinct()
-        near = _around(down)
+        large = _around(both, work).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = _around(work.put(large.distinct(), "pairs"), work)
         small = near.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
             near.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
@@ -56,21 +68,16 @@ def components(edges: DataFrame, work: Work) -> DataFrame:
     return members.union(now.select("b", "b").distinct())
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
-    """left.join(right, on, how) with the heavy keys of the left side joined by broadcast.
+def skew_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Inner join with the heavy keys of the left side joined by broadcast.
 
-    A key is heavy if it has more than a HEAVY_SHARE of the rows, so fewer than 1 / HEAVY_SHARE
-    rows are broadcast. Both sides should be written tables, as they are read twice; the key is
-    unique on the right and never NULL on the left.
+    Both sides should be written tables, as they are read twice; keys are unique on the right and
+    never NULL on the left.
     """
-    rows = left.count()
-    counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.filter(F.col("_n") > rows * HEAVY_SHARE).select(on)
-    few = left.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
-    known = right.join(F.broadcast(few), on, "left_semi")
-    hot = left.join(F.broadcast(few), on, "left_semi").join(F.broadcast(known), on, how)
-    rest = left.join(F.broadcast(few), on, "left_anti").join(right, on, how)
-    return hot.unionByName(rest)
+    keys = _heavy(left.groupBy(on).agg(F.count(F.lit(1)).alias("n"))).drop("n")
+    known = right.join(F.broadcast(keys), on, "left_semi")
+    hot = left.join(F.broadcast(known), on)
+    return hot.unionByName(left.join(F.broadcast(keys), on, "left_anti").join(right, on))
 
 
 def smallest_keys(nodes: DataFrame, roots: DataFrame, key: str, work: Work) -> DataFrame:
@@ -82,7 +89,7 @@ def smallest_keys(nodes: DataFrame, roots: DataFrame, key: str, work: Work) -> D
     own = nodes.filter("node IS NOT NULL").groupBy("node").agg(F.min(key).alias("own"))
     placed = work.put(own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     least = work.put(placed.groupBy("root").agg(F.min("own").alias("component_id")), "least")
-    known = work.put(skew_join(placed, least, "root", "inner").select("node", "component_id"), "known")
-    found = skew_join(nodes.filter("node IS NOT NULL"), known, "node", "inner")
+    known = work.put(skew_join(placed, least, "root").select("node", "component_id"), "known")
+    found = skew_join(nodes.filter("node IS NOT NULL"), known, "node")
     alone = nodes.filter("node IS NULL").select(key, "n_shingles", F.col(key).alias("component_id"))
     return found.select(key, "n_shingles", F.coalesce("component_id", key).alias("component_id")).unionByName(alone)

@@ -51,7 +51,7 @@ from turnloom.llm.common import (
     text_or_empty,
     unpack_arrays,
 )
-from turnloom.llm.graph import components
+from turnloom.llm.graph import components, smallest_keys
 from turnloom.llm.words import split_words
 
 SIGNATURES_PER_ROW = 1 << 22
@@ -360,14 +360,7 @@ def link_documents(
     groups = components(own.union(met), work)
 
     links = verified_links(docs, key, text, n, nodes, groups, part, whole, work)
-    roots = components(links, work)
-    placed = nodes.join(roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
-    smallest = (
-        placed.filter("_root IS NOT NULL").groupBy("_root").agg(F.min(key).alias("component_id"))
-    )
-    return placed.join(smallest, "_root", "left").select(
-        key, "n_shingles", F.coalesce("component_id", key).alias("component_id")
-    )
+    return smallest_keys(nodes, components(links, work), key, work)
 
 
 def verified_links(
