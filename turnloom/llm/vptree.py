@@ -12,10 +12,11 @@ bound so far. At 1 the search is exact; larger values skip more.
 
 Pivots are a sample of bounded size (`PIVOTS` entries by hash order); all vectors are indexed.
 
-Cases: vectors that are NULL or zero, hold NULL or non-finite numbers, or have another length
-than the most frequent one take no part, neither as query nor as candidate. Repeated vectors and
-ids are candidates each. With fewer candidates than k all are returned. Without queries or
-vectors the result is empty.
+Cases: vectors that are NULL or zero or hold NULL or non-finite numbers, and rows without an id,
+take no part, neither as query nor as candidate. A shorter vector counts as one with zeros behind
+its end. Repeated vectors and ids are rows of their own: a query never finds its own row, but it
+finds its twins. With fewer candidates than k all are returned. Without queries or vectors the
+result is empty.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.common import Work
+from turnloom.llm.common import Work, spread
 
 PIVOTS = 128
 SHARD_ROWS = 20_000
@@ -131,42 +132,46 @@ def nearest(
         F.col(vector).cast("array<double>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    lengths = sound.groupBy(F.size("v").alias("n")).count()
-    common = lengths.orderBy(F.desc("count"), "n").first()
+    size = sound.agg(F.max(F.size("v"))).first()[0]
     names = f"query_id bigint, rank int, `{key}` bigint, score double"
-    if common is None:
+    if size is None:
         return spark.createDataFrame([], names)
-    size = common["n"]
     keep = k + 1
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            raw = (flat.astype(np.float64) + 0.0).tobytes()
-            cut = [raw[i : i + 8 * size] for i in range(0, len(raw), 8 * size)]
+            lengths = np.array([len(v) for v in batch.column(1)], np.int64)
+            padded = np.zeros((len(lengths), size))
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            padded[row, spread(np.zeros_like(lengths), lengths)] = flat.astype(np.float64) + 0.0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cut, pa.binary()), batch.column(2)],
+                [batch.column(0), pa.array([v.tobytes() for v in padded], pa.binary()), batch.column(2)],
                 names=["id", "v", "asks"],
             )
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids: dict[bytes, list[int]] = {}
-            for i, v in sorted(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            ids: dict[bytes, list[dict]] = {}
+            for i, r, v in sorted(zip(*(column.to_pylist() for column in batch.columns))):
                 own = ids.setdefault(v, [])
                 if len(own) < keep:
-                    own.append(i)
+                    own.append({"id": i, "rid": r})
+            kind = pa.list_(pa.struct([("id", pa.int64()), ("rid", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(ids), pa.binary()), pa.array(list(ids.values()), pa.list_(pa.int64()))],
+                [pa.array(list(ids), pa.binary()), pa.array(list(ids.values()), kind)],
                 names=["v", "ids"],
             )
 
     rows = work.put(
-        sound.filter(F.size("v") == size).mapInArrow(as_bytes, "id bigint, v binary, asks boolean"),
+        sound.mapInArrow(as_bytes, "id bigint, v binary, asks boolean").withColumn(
+            "rid", F.monotonically_increasing_id()
+        ),
         "vectors",
     )
     smallest = F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, keep)
-    entries = rows.select("id", "v").mapInArrow(reduced, "v binary, ids array<bigint>")
+    members = "v binary, ids array<struct<id:bigint,rid:bigint>>"
+    entries = rows.select("id", "rid", "v").mapInArrow(reduced, members)
     entries = work.put(entries.groupBy("v").agg(smallest.alias("ids")), "entries")
 
     chosen = entries.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(PIVOTS)
@@ -181,7 +186,7 @@ def nearest(
             )
 
     placed = work.put(
-        entries.mapInArrow(to_cells, "v binary, ids array<bigint>, cell int, far double"), "cells"
+        entries.mapInArrow(to_cells, f"{members}, cell int, far double"), "cells"
     )
     shards = F.ceil(F.count(F.lit(1)) / F.lit(SHARD_ROWS)).cast("int")
     cells = placed.groupBy("cell").agg(shards.alias("shards"), F.max("far").alias("radius"))
@@ -206,7 +211,7 @@ def nearest(
     )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        found_q, found_i, found_s = [], [], []
+        found_q, found_i, found_r, found_s = [], [], [], []
         if left.num_rows and right.num_rows:
             queries, points = left.column("v").to_pylist(), right.column("v").to_pylist()
             ids = right.column("ids").to_pylist()
@@ -215,14 +220,16 @@ def nearest(
             for i, row in enumerate(near):
                 row = row[row >= 0]
                 score = cosine(q[i], p[row])
-                best = sorted((-s, x) for s, r in zip(score, row) for x in ids[r])[:keep]
+                best = sorted((-s, x["id"], x["rid"]) for s, r in zip(score, row) for x in ids[r])[:keep]
                 found_q += [queries[i]] * len(best)
-                found_i += [x for _, x in best]
-                found_s += [-s for s, _ in best]
+                found_i += [x for _, x, _ in best]
+                found_r += [x for _, _, x in best]
+                found_s += [-s for s, _, _ in best]
         return pa.table(
             {
                 "v": pa.array(found_q, pa.binary()),
                 "id": pa.array(found_i, pa.int64()),
+                "rid": pa.array(found_r, pa.int64()),
                 "score": pa.array(found_s, pa.float64()),
             }
         )
@@ -242,7 +249,7 @@ def nearest(
         return (
             asking.groupBy(*by)
             .cogroup(standing.groupBy(*by))
-            .applyInArrow(search, "v binary, id bigint, score double")
+            .applyInArrow(search, "v binary, id bigint, rid bigint, score double")
         )
 
     first = work.put(searched(home), "first")
@@ -270,12 +277,12 @@ def nearest(
 
     second = searched(bounds.mapInArrow(other_cells, "v binary, cell int"))
     both = first.unionByName(second)
-    order = F.struct((-F.col("score")).alias("s"), F.col("id"))
+    order = F.struct((-F.col("score")).alias("s"), F.col("id"), F.col("rid"))
     best = both.groupBy("v").agg(
         F.slice(F.sort_array(F.collect_set(order)), 1, keep).alias("found")
     )
-    queries = rows.filter("asks").select(F.col("id").alias("query_id"), "v")
-    own = F.filter("found", lambda c: c["id"] != F.col("query_id"))
+    queries = rows.filter("asks").select(F.col("id").alias("query_id"), F.col("rid").alias("_own"), "v")
+    own = F.filter("found", lambda c: c["rid"] != F.col("_own"))
     ranked = queries.join(best, "v").select("query_id", F.posexplode(F.slice(own, 1, k)).alias("at", "c"))
     return ranked.select(
         "query_id",
