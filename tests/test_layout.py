@@ -149,6 +149,29 @@ def test_sample_of_many_copies(spark):
         assert got == expected_sample(keys, size, 5), size
 
 
+def test_a_sample_reads_its_source_twice(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    for rows, size in ((1000, 10), (1000, 999), (200_000, 90_000)):
+        reads.value = 0
+        source = spark.range(rows).mapInArrow(counted, "id bigint")
+        assert seeded_sample(source, size, 1, "id").count() == size
+        assert reads.value == 2 * rows
+
+
+def test_a_sample_of_repeated_keys_does_not_depend_on_the_layout(spark):
+    rows = spark.range(4000).selectExpr("id % 3 AS key", "cast(id div 3 AS string) AS text")
+    one, two = (
+        {tuple(r) for r in seeded_sample(rows.repartition(n), 1700, 5, "key").collect()} for n in (3, 8)
+    )
+    assert one == two and len(one) == 1700
+
+
 def test_a_sample_sorts_and_moves_no_rows(spark):
     plan = seeded_sample(spark.range(1000), 10, 1, "id")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrdered" not in plan and "Exchange" not in plan and "Sort" not in plan

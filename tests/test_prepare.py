@@ -76,10 +76,26 @@ def test_faulty_messages_stop_the_job(spark):
 
 def test_faults_outside_the_sample(spark):
     many = frame(spark, *([CHAT] * 20), [None])
-    kept = prepare(many, "id", use_chat_template=True, max_samples=3, seed=1)
+    kept = prepare(many, "id", use_chat_template=True, max_samples=3, seed=1, check_all=False)
     assert kept.count() == 3
+    with pytest.raises(ValueError, match="1 rows.*not_object"):
+        prepare(many, "id", use_chat_template=True, max_samples=3, seed=1)
+    with pytest.raises(Exception, match="not_object"):
+        prepare(many, "id", use_chat_template=True, max_samples=99).collect()
+    loose = many.withColumn("messages", F.parse_json(F.to_json("messages")))
+    with pytest.raises(ValueError, match="not_object"):
+        prepare(loose, "id", use_chat_template=True, max_samples=3, formatter=lambda m: F.to_json(m))
+
+
+def test_a_faulty_row_stops_the_job_before_it_writes(spark, folder):
+    chats, out = os.path.join(folder, "chats"), os.path.join(folder, "out")
+    write_jsonl(frame(spark, *([CHAT] * 20), [None]), chats)
+    options = [f"--train={chats}", f"--output={out}", "--use_chat_template=true", "--max_samples=3", "--key=id"]
     with pytest.raises(ValueError, match="not_object"):
-        prepare(many, "id", use_chat_template=True, max_samples=3, seed=1, check_all=True)
+        main(["prepare", *options])
+    assert not os.path.exists(out)
+    main(["prepare", *options, "--check_all=false"])
+    assert os.path.exists(out)
 
 
 def test_text_mode(spark):
@@ -102,6 +118,8 @@ def test_formatter_replaces_the_template(spark):
         frame(spark, CHAT), use_chat_template=True, formatter=lambda m: F.size(m).cast("string")
     )
     assert ready.first().text == "3"
+    with pytest.raises(Exception, match="not_object"):
+        prepare(frame(spark, [None]), use_chat_template=True, formatter=lambda m: F.lit("x")).collect()
 
 
 def test_seed_zero_means_unset(spark):
@@ -125,11 +143,11 @@ def test_only_the_training_split_is_sampled(spark):
 def test_sampled_rows_are_the_ones_rendered(spark):
     many = frame(spark, *([CHAT] * 30))
     ready = prepare(many, "id", use_chat_template=True, max_samples=5)
-    steps = ready._jdf.queryExecution().sparkPlan().toString().split("\n")
+    steps = ready._jdf.queryExecution().sparkPlan().toString().strip().split("\n")
     assert not any(word in step for step in steps for word in ("Exchange", "Sort", "TakeOrdered"))
     rendered = [i for i, step in enumerate(steps) if "im_start" in step]
-    chosen = [i for i, step in enumerate(steps) if "Filter" in step]
-    assert rendered and chosen and min(rendered) < min(chosen)
+    # Only what was sampled and written is read again and rendered.
+    assert rendered and "Scan ExistingRDD" in steps[-1]
     assert ready.count() == 5
 
 
@@ -162,7 +180,7 @@ def test_whole_preparation_from_the_command_line(spark, folder):
     chats, out = os.path.join(folder, "chats"), os.path.join(folder, "out")
     write_jsonl(frame(spark, *([CHAT] * 6)), chats)
     options = {
-        "train": chats, "eval": chats, "output": out, "use_chat_template": "true", "column": "id bigint",
+        "train": chats, "eval": chats, "output": out, "use_chat_template": "true",
         "key": "id", "template": '{"prefix": " ", "infix": " ", "suffix": " "}', "check_all": "true",
         "max_seq_length": "4", "packing": "true", "batch_size": "2", "epochs": "2",
     }
@@ -181,6 +199,22 @@ def test_whole_preparation_from_the_command_line(spark, folder):
         main(["prepare", f"--train={chats}", f"--output={out}", "--packing=true", "--max_seq_length=4"])
 
 
+def test_all_fields_are_kept(spark, folder):
+    path, out = os.path.join(folder, "a.jsonl"), os.path.join(folder, "out")
+    chat = '"messages":[{"role":"user","content":"q"}]'
+    with open(path, "w") as f:
+        f.write('{"id":1,"source":"a",%s}\n{"id":2,"score":0.5,"tags":["x"],%s}\n' % (chat, chat))
+    main(["prepare", f"--train={path}", f"--eval={path}", f"--output={out}", "--use_chat_template=1"])
+    for split in ("train", "eval"):
+        written = load_dataset(spark, os.path.join(out, split)).orderBy("id").collect()
+        assert [(r.id, r.source, r.score, r.tags) for r in written] == [
+            (1, "a", None, None), (2, None, 0.5, ["x"]),
+        ]
+        assert {r.text for r in written} == {"<|im_start|>user\nq<|im_end|>"}
+    main(["prepare", f"--train={path}", f"--output={out}", "--use_chat_template=1", "--column=id bigint"])
+    assert load_dataset(spark, os.path.join(out, "train")).columns == ["id", "text"]
+
+
 def test_variant_field_from_a_file(spark, folder):
     path = os.path.join(folder, "a.jsonl")
     with open(path, "w") as f:

@@ -1,12 +1,15 @@
 import json
 import os
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from turnloom.jobs import main, run_normalise
 from turnloom.sources import jsonl
-from turnloom.sources.jsonl import load_dataset, read_lines, read_numbered_lines, write_jsonl
+from turnloom.sources.jsonl import dataset_schema, load_dataset, read_lines, read_numbered_lines
+from turnloom.sources.jsonl import write_jsonl
 
 
 def write(folder, name, data):
@@ -102,6 +105,37 @@ def test_write_creates_parents_overwrites_and_keeps_unicode(spark, folder):
     assert load_dataset(spark, path).first().text == "né 你好"
 
 
+def test_dataset_columns_have_the_types_of_all_records(spark, folder):
+    path = write(
+        folder,
+        "a.jsonl",
+        '{"id":1,"x":1.5,"s":"t","m":{"k":1,"z-1":[1,2]},"l":[{"a":1},{"b":"x"}]}\n\n'
+        '{"id":2,"x":2,"m":{"k":2.5},"b":true,"w.x":"OBJECT<"}\n{"x":-1e300,"l":[]}\n',
+    )
+    schema = dataset_schema(spark, path)
+    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    found = duckdb.sql(f"DESCRIBE SELECT * FROM read_json('{path}')").fetchall()
+    plain = {name: kind for name, kind, *_ in found if name not in ("m", "l")}
+    assert {f.name: kinds[f.dataType.simpleString()] for f in schema if f.name not in ("m", "l")} == plain
+    assert schema["m"].dataType.simpleString() == "struct<k:double,z-1:array<bigint>>"
+    assert schema["l"].dataType.simpleString() == "array<struct<a:bigint,b:string>>"
+    rows = load_dataset(spark, path).collect()
+    assert [r.x for r in rows] == [1.5, 2.0, -1e300] and rows[0].m.k == 1.0 and rows[1]["w.x"] == "OBJECT<"
+
+
+def test_dataset_columns_of_several_kinds(spark, folder):
+    path = write(folder, "a.jsonl", '{"v":1,"n":null,"big":123456789012345678901}\n{"v":"t","o":{}}\n{"v":[1]}\n')
+    loaded = load_dataset(spark, path, declared={"text": "string"})
+    assert {f.name: f.dataType.simpleString() for f in loaded.schema} == {
+        "big": "decimal(38,0)", "n": "string", "o": "variant", "v": "variant", "text": "string",
+    }
+    assert [r.v for r in loaded.select(F.to_json("v").alias("v")).collect()] == ["1", '"t"', "[1]"]
+    assert load_dataset(spark, write(folder, "none.jsonl", "\n")).columns == []
+    same = write(folder, "same.jsonl", '{"ID":1}\n{"id":2}\n')
+    with pytest.raises(ValueError, match="case only"):
+        load_dataset(spark, same)
+
+
 def test_load_dataset_rejects_malformed_lines(spark, folder):
     path = write(folder, "a.jsonl", '{"text":"x"}\n{"text":\n')
     with pytest.raises(Exception, match="MALFORMED|Malformed"):

@@ -117,6 +117,27 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exploded(load_dataset(spark, path, schema), "conv_id")
 
 
+def dataset_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose further fields differ: the loader finds all of them and their types."""
+    mixed = """CASE turn % 3 WHEN 0 THEN concat(',"mixed":', turn) WHEN 1 THEN ',"mixed":"one"' ELSE '' END"""
+    line = f"""concat('{{"note":null', {mixed}, ',', substr(to_json(named_struct(
+        'conv_id', conv_id, 'turn', turn, 'score', if(turn % 2 = 0, turn / 4, NULL),
+        'a tag', if(turn % 3 = 0, text, NULL),
+        'meta', if(turn % 4 = 0, named_struct('role', role, 'parts', array(turn, conv_id)), NULL))), 2))"""
+    turns = _table(spark, sf_dir, "conversations")
+    path = _write_files(turns.selectExpr("conv_id", "turn", f"{line} AS line"), "conv_id", "turn")
+    return load_dataset(spark, path).select(
+        "conv_id",
+        "turn",
+        "score",
+        F.col("`a tag`").alias("tag"),
+        "meta.role",
+        F.get("meta.parts", F.lit(1)).alias("part"),
+        F.to_json("mixed").alias("mixed"),
+        "note",
+    )
+
+
 # --- shapes --------------------------------------------------------------------------------
 
 
@@ -325,29 +346,42 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(name).alias("split"),
             F.count(F.lit(1)).alias("n"),
             F.sum(F.length("text")).alias("n_chars"),
+            _digest(F.concat_ws(":", "conv_id", "text")).alias("digest"),
         )
 
     return summary(train, "train").unionByName(summary(evaluation, "eval"))
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+def _digest(value: Column) -> Column:
+    """A number of the set of values, whatever their order: the sum of their hashes."""
+    number = F.conv(F.substring(F.md5(value), 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.sum(number).cast("decimal(38,0)").cast("string")
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
     source, target = scratch_path(spark, "chats"), scratch_path(spark, "prepared")
     write_jsonl(_conversations(spark, sf_dir), source)
     report = run_prepare(
-        spark, source, None, target, "conv_id", ["conv_id bigint"], use_chat_template=True, check_all=True
+        spark, source, source, target, "conv_id", use_chat_template=True, max_samples=15, seed=SEED
     )
-    return load_dataset(spark, f"{target}/train", "conv_id bigint, text string"), report
+    return target, report
 
 
 def prepare_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole preparation from files to files, row by row."""
-    return _prepared(spark, sf_dir)[0]
+    """The whole preparation from files to files, row by row: a sample to train, all to evaluate."""
+    target, _ = _prepared(spark, sf_dir)
+    splits = [
+        load_dataset(spark, f"{target}/{name}").select(F.lit(name).alias("split"), "conv_id", "text")
+        for name in ("train", "eval")
+    ]
+    return splits[0].unionByName(splits[1])
 
 
 def profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the job reports, and the profile of what it wrote; the example is one of its rows."""
-    written, report = _prepared(spark, sf_dir)
-    seen = {"job": report["train"], "written": profile(written)}
+    target, report = _prepared(spark, sf_dir)
+    written = load_dataset(spark, f"{target}/eval")
+    seen = {"job": report["eval"], "written": profile(written)}
     rows = [
         (name, n, written.filter(F.col("text") == example["text"]).count() > 0)
         for name, (n, example) in seen.items()
@@ -416,6 +450,7 @@ _QUERIES: dict[str, Query] = {
     "read_lines_numbered": lines_numbered,
     "parse_outcomes": parse_outcomes,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "dataset_columns": dataset_columns,
     "detect_shape": detect_shape,
     **{f"norm_{dialect}": _norm(dialect) for dialect in NORM_DIALECTS},
     "norm_plus_infinity": plus_infinity,

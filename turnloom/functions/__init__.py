@@ -2,6 +2,7 @@
 
 from turnloom.functions.records import (
     last_key_wins,
+    loose_json,
     parse_record,
     require_last_key_wins,
     strict_json,
@@ -27,6 +28,7 @@ __all__ = [
     "is_falsy",
     "last_key_wins",
     "let",
+    "loose_json",
     "not_blank",
     "parse_record",
     "python_float",

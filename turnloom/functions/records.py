@@ -50,6 +50,11 @@ def _foreign_number(line: str) -> str:
     return f"{seen} AND regexp_like({bare}, {_FOREIGN})"
 
 
+def loose_json(line: str) -> str:
+    """Variant of the first JSON value of the line; NULL where there is none."""
+    return f"from_json({line}, 'variant', {_OPTIONS})"
+
+
 def strict_json(line: str) -> str:
     """Variant of the line, NULL where it is not exactly one JSON value.
 

@@ -79,7 +79,7 @@ def run_prepare(
 ) -> dict[str, tuple[int, dict | None]]:
     """Write train and eval text and return the row count and an example of each split.
 
-    Declared columns are written too. With max_seq_length the words of each text are cut, or with
+    All other fields of the records are written too, or only the declared columns. With max_seq_length the words of each text are cut, or with
     `packing` joined and cut, into `train_tokens` and `eval_tokens`; with batch_size the seeded
     order of the training split is written to `batches`. These three need the key, which names
     one row. All of them start from the text as it was written.
@@ -92,12 +92,13 @@ def run_prepare(
     splits = prepare_paths(
         spark, train_path, eval_path, *keys, columns=columns, text_field=text_field, seed=seed, **options
     )
-    kept = [name for name in splits[0].columns if name not in (options.get("messages_field", "messages"), text_field)]
     report = {}
     for name, split in zip(("train", "eval"), splits):
         if split is None:
             continue
         path = f"{output_path.rstrip('/')}/{name}"
+        replaced = (options.get("messages_field", "messages"), text_field)
+        kept = [column for column in split.columns if column not in replaced]
         write_jsonl(split, path, [*kept, text_field])
         written = load_dataset(spark, path, split.select(*kept, text_field).schema)
         report[name] = profile(written)
@@ -142,9 +143,9 @@ def _parser() -> argparse.ArgumentParser:
         type=lambda text: Template(**json.loads(text)),
         help='own template as JSON, like {"prefix": "<", "infix": ":", "suffix": ">"}',
     )
-    prep.add_argument("--column", action="append", default=[], help='column to keep, like "id bigint"')
-    prep.add_argument("--key", help="kept column that names a row and orders samples and packs")
-    prep.add_argument("--check_all", type=truth, default=False, help="check rows outside the sample too")
+    prep.add_argument("--column", action="append", default=[], help='keep only such columns, like "id bigint"; default all')
+    prep.add_argument("--key", help="field that names a row and orders samples and packs")
+    prep.add_argument("--check_all", type=truth, default=True, help="check rows outside the sample too")
     prep.add_argument("--max_seq_length", type=int)
     prep.add_argument("--packing", type=truth, default=False)
     prep.add_argument("--batch_size", type=int)

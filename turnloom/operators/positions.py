@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from turnloom.sources.scratch import pin
 
-# A hash prefix grows by so many hex digits at a time.
-HASH_DIGITS = 3
 # Range totals are broadcast up to this many rows (a few MB), joined by shuffle beyond.
 BROADCAST_TOTALS = 1 << 18
 

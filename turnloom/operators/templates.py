@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,24 +146,38 @@ def violations(df: DataFrame, *keys: str, messages_field: str = "messages") -> D
     return df.select(*keys, F.explode(faults).alias("_fault")).select(*keys, "_fault.*")
 
 
+def observe_faults(df: DataFrame, observation: Observation, messages_field: str = "messages") -> DataFrame:
+    """Count the rows with a faulty message list while another action reads them; one as example."""
+    faults = message_faults(F.col(messages_field), df.schema[messages_field].dataType)
+    faulty = F.size(faults) > 0
+    return df.observe(
+        observation,
+        F.count_if(faulty).alias("rows"),
+        F.min(F.when(faulty, F.to_json(faults))).alias("example"),
+    )
+
+
 def strict_render(
     df: DataFrame,
     template: Template | str | None = None,
     messages_field: str = "messages",
     text_field: str = "text",
     trailing_newline: bool = False,
+    formatter: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Add the rendered text; a faulty message list stops the job."""
+    """Add the text, rendered by the template or the formatter; a faulty message list stops the job."""
     require_field(df, messages_field)
     kind = df.schema[messages_field].dataType
     messages = F.col(messages_field)
     faults = message_faults(messages, kind)
-    if isinstance(kind, T.VariantType):
-        messages = F.try_variant_get(messages, "$", "array<struct<role:string,content:string>>")
+    if formatter is not None:
+        rendered = formatter(messages)
+    else:
+        if isinstance(kind, T.VariantType):
+            messages = F.try_variant_get(messages, "$", "array<struct<role:string,content:string>>")
+        rendered = render_chat(messages, template, trailing_newline)
     report = F.concat(F.lit(f"field {messages_field!r} is not sound: "), F.to_json(faults))
-    text = F.when(F.size(faults) > 0, F.raise_error(report)).otherwise(
-        render_chat(messages, template, trailing_newline)
-    )
+    text = F.when(F.size(faults) > 0, F.raise_error(report)).otherwise(rendered)
     return df.withColumn(text_field, text)
 
 

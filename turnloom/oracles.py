@@ -176,6 +176,12 @@ SELECT epoch, doc_id, pos, pos // 8 AS batch, pos // 32 AS step FROM (
          - 1 AS pos
   FROM documents, (VALUES (0), (1)) AS e(epoch))"""
 
+_SPLITS = f"""
+WITH r AS ({_RENDERED}), splits AS (
+  (SELECT 'train' AS split, * FROM r ORDER BY md5('{SEED}:' || conv_id), conv_id LIMIT 15)
+  UNION ALL SELECT 'eval', * FROM r
+)"""
+
 ORACLES: dict[str, str] = {
     "render_conversations": _RENDERED,
     "read_lines": "SELECT conv_id, turn, text FROM conversations",
@@ -189,6 +195,13 @@ SELECT shard, line_num, conv_id, turn FROM (
 SELECT conv_id, dialect, dialect NOT IN ('trailing_junk', 'truncated', 'plus_infinity') AS ok
 FROM (SELECT DISTINCT conv_id FROM conversations), {_ALL_DIALECTS} WHERE dialect <> 'blank_line'""",
     "jsonl_roundtrip": f"{_GOOD} SELECT conv_id, idx, role, text AS content FROM turns",
+    "dataset_columns": """
+SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN turn / 4 END AS score,
+       CASE WHEN turn % 3 = 0 THEN text END AS tag, CASE WHEN turn % 4 = 0 THEN role END AS role,
+       CASE WHEN turn % 4 = 0 THEN conv_id END AS part,
+       CASE turn % 3 WHEN 0 THEN CAST(turn AS VARCHAR) WHEN 1 THEN '"one"' END AS mixed,
+       CAST(NULL AS VARCHAR) AS note
+FROM conversations""",
     "detect_shape": f"""{_BAD}
 SELECT conv_id, dialect, shape
 FROM firsts, {_values(list(SHAPES.items()), "s", "dialect, shape")}
@@ -254,7 +267,7 @@ WITH holed AS (
   SELECT conv_id, string_agg({_CHATML}, chr(10) ORDER BY turn) AS text FROM holed GROUP BY conv_id
 )
 SELECT conv_id, form, text FROM texts, (VALUES ('typed'), ('variant')) AS f(form)""",
-    "prepare_job": f"SELECT conv_id, text FROM ({_RENDERED})",
+    "prepare_job": f"""{_SPLITS} SELECT split, conv_id, text FROM splits""",
     "profile": """
 SELECT source, n_rows, true AS example_found
 FROM (SELECT count(DISTINCT conv_id) AS n_rows FROM conversations),
@@ -265,12 +278,10 @@ SELECT doc_id, text FROM documents ORDER BY md5('{SEED}:' || doc_id), doc_id LIM
     "sample_train_large": f"""
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 ORDER BY md5('{SEED}:' || l_orderkey || ':' || l_linenumber), l_orderkey, l_linenumber LIMIT 20000""",
-    "prepare_splits": f"""
-WITH r AS ({_RENDERED}), chosen AS (
-  SELECT * FROM r ORDER BY md5('{SEED}:' || conv_id), conv_id LIMIT 15
-)
-SELECT 'train' AS split, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM chosen
-UNION ALL SELECT 'eval', count(*), CAST(sum(length(text)) AS BIGINT) FROM r""",
+    "prepare_splits": f"""{_SPLITS}
+SELECT split, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+       CAST(sum(CAST('0x' || md5(conv_id || ':' || text)[1:15] AS BIGINT)) AS VARCHAR) AS digest
+FROM splits GROUP BY split""",
     "truncate": f"""{_TOKENS}
 SELECT doc_id, least(len(tokens), {MAX_WORDS}) AS n_tokens, len(tokens) > {MAX_WORDS} AS was_truncated,
        array_to_string(tokens[1:{MAX_WORDS}], ' ') AS text

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.operators.sampling import seeded_sample
-from turnloom.operators.templates import Template, require_field, strict_render, text_mode
-from turnloom.operators.templates import violations
+from turnloom.operators.templates import Template, observe_faults, require_field
+from turnloom.operators.templates import strict_render, text_mode
 from turnloom.sources.jsonl import load_dataset
 
 
@@ -25,29 +25,35 @@ def prepare(
     max_samples: int | None = None,
     seed: int = 3407,
     shuffle_seed: int | None = None,
-    check_all: bool = False,
+    check_all: bool = True,
 ) -> DataFrame:
     """One split ready for training, sampled first so that only kept rows are rendered.
 
     use_chat_template is any truthy value, also a template name in a config. `formatter` maps
     the message list to text in place of a template. Keys give the sample its order; without
-    keys the text or the messages do. check_all fails on a faulty row outside the sample too.
+    keys the text or the messages do. A faulty message list stops the job, also that of a row
+    outside the sample unless check_all is off: the check rides on the sample's first read.
     """
     field = messages_field if use_chat_template else text_field
     require_field(df, field)
-    if use_chat_template and check_all:
-        first = violations(df, messages_field=messages_field).first()
-        if first is not None:
-            raise ValueError(f"field {messages_field!r} is not sound: {first.asDict()}")
     if max_samples and not keys:
         df = df.withColumn("_content", F.to_json(F.struct(field)))
         keys = ("_content",)
-    sample = seeded_sample(df, max_samples, shuffle_seed or seed, *keys).drop("_content")
+    faults = Observation("faults")
+
+    def watch(rows: DataFrame) -> DataFrame:
+        return observe_faults(rows, faults, messages_field)
+
+    checked = use_chat_template and check_all and max_samples
+    sample = seeded_sample(
+        df, max_samples, shuffle_seed or seed, *keys, watch=watch if checked else None
+    ).drop("_content")
+    if checked and faults.get["rows"]:
+        found = faults.get
+        raise ValueError(f"field {messages_field!r} is not sound in {found['rows']} rows: {found['example']}")
     if not use_chat_template:
         return text_mode(sample, text_field)
-    if formatter is not None:
-        return sample.withColumn(text_field, formatter(F.col(messages_field)))
-    return strict_render(sample, template, messages_field, text_field)
+    return strict_render(sample, template, messages_field, text_field, formatter=formatter)
 
 
 def prepare_splits(
@@ -70,15 +76,18 @@ def prepare_paths(
 ) -> tuple[DataFrame, DataFrame | None]:
     """prepare_splits over JSONL paths.
 
-    `columns` declares further columns to keep, like "id bigint"; keys have to be among them. The
-    messages are read as VARIANT, which tells a null from an absent key.
+    All fields of the records are kept, with the types their values share. `columns`, like
+    "id bigint", declares the ones to keep instead and saves the pass that finds them; keys
+    have to be among them. The messages are read as VARIANT, which tells a null from an absent key.
     """
     fields = {
         options.get("text_field", "text"): "string",
         options.get("messages_field", "messages"): "variant",
     }
     schema = ", ".join([*columns, *(f"`{name}` {kind}" for name, kind in fields.items())])
-    train, evaluation = (load_dataset(spark, p, schema) for p in (train_path, eval_path))
+    train, evaluation = (
+        load_dataset(spark, p, schema if columns else None, fields) for p in (train_path, eval_path)
+    )
     return prepare_splits(train, evaluation, *keys, **options)
 
 

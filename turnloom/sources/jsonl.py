@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnloom.functions import not_blank, python_strip
+from turnloom.functions import loose_json, not_blank, python_strip
 from turnloom.sources.scratch import pin
 
-MESSAGES_TYPE = T.ArrayType(
-    T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
-)
 # The JSON reader stops at 20 million characters by default.
 LONGEST_TEXT = str((1 << 31) - 1)
 # Offsets have one row of about 100 bytes per scanned block and are broadcast up to this many,
 # 250 TB in blocks of 128 MiB.
 BROADCAST_BLOCKS = 2_000_000
+CASE_SENSITIVE = "spark.sql.caseSensitive"
 
 
 def _stripped(lines: DataFrame) -> DataFrame:
@@ -99,19 +101,72 @@ def write_jsonl_by(df: DataFrame, path: str, value: Column, by: str) -> None:
     rows.write.mode("overwrite").partitionBy(by).text(path)
 
 
+def _spark_type(variant_type: str) -> str:
+    """DDL of the type that schema_of_variant_agg names; quoted field names are left as they are.
+
+    A column that only holds nulls is text. Integers beyond 64 bits keep all their digits, any
+    other number with a fraction is a double. Values of several kinds stay VARIANT.
+    """
+
+    def standard(found: re.Match) -> str:
+        word = found[0]
+        if word == "OBJECT<>":
+            return "VARIANT"
+        if word == "OBJECT<":
+            return "STRUCT<"
+        if word == "VOID":
+            return "STRING"
+        if word.startswith("DECIMAL"):
+            return "DECIMAL(38,0)" if int(found[1]) > 18 and int(found[2]) == 0 else "DOUBLE"
+        return word
+
+    return re.sub(r"`(?:[^`]|``)*`|OBJECT<>?|VOID|DECIMAL\((\d+),(\d+)\)", standard, variant_type)
+
+
+def dataset_schema(
+    spark: SparkSession, path: str | list[str], declared: Mapping[str, str] | None = None
+) -> T.StructType:
+    """Every field of the records below path with the type that all its values share.
+
+    One aggregate over all lines, merged per task first; what reaches the driver is the schema.
+    Declared fields have the type given there, whether a record has them or not.
+    """
+    lines = spark.read.text(path).filter(not_blank("value"))
+    every = lines.agg(F.expr(f"schema_of_variant_agg({loose_json('value')})"))
+    folds = spark.conf.get(CASE_SENSITIVE)
+    spark.conf.set(CASE_SENSITIVE, "true")  # else one of two names that differ in case is lost
+    try:
+        merged = every.first()[0]
+    finally:
+        spark.conf.set(CASE_SENSITIVE, folds)
+    fields = {}
+    if merged.startswith("OBJECT<"):
+        found = T.StructType.fromDDL(_spark_type(merged).removeprefix("STRUCT<").removesuffix(">"))
+        fields = {field.name: field for field in found}
+    for name, kind in (declared or {}).items():
+        fields[name] = T.StructField(name, T.DataType.fromDDL(kind))
+    if str(folds).lower() != "true":
+        folded = Counter(name.lower() for name in fields)
+        same = [name for name in fields if folded[name.lower()] > 1]
+        if same:
+            raise ValueError(f"fields differ in case only: {same}; set {CASE_SENSITIVE} to true")
+    return T.StructType(list(fields.values()))
+
+
 def load_dataset(
-    spark: SparkSession, path: str | None, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str | None,
+    schema: T.StructType | str | None = None,
+    declared: Mapping[str, str] | None = None,
 ) -> DataFrame | None:
     """Typed JSONL; None without a path. A malformed line or a missing path fails.
 
-    The default schema has the messages and the text field. A field declared VARIANT keeps
-    whatever the line holds.
+    Without a schema the records are read once to find all their fields, see dataset_schema. A
+    field declared VARIANT keeps whatever the line holds.
     """
     if path is None:
         return None
     if schema is None:
-        schema = T.StructType(
-            [T.StructField("messages", MESSAGES_TYPE), T.StructField("text", T.StringType())]
-        )
+        schema = dataset_schema(spark, path, declared)
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     return reader.option("maxStringLen", LONGEST_TEXT).json(path)
