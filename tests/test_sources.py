@@ -7,9 +7,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from turnloom.jobs import main, run_normalise
+from turnloom.plans.normalise import accepted, normalise
 from turnloom.sources import jsonl
 from turnloom.sources.jsonl import dataset_schema, load_dataset, read_lines, read_numbered_lines
-from turnloom.sources.jsonl import write_jsonl
+from turnloom.sources.jsonl import lines_in_order, read_placed_lines, write_jsonl
 
 
 def write(folder, name, data):
@@ -182,18 +183,35 @@ def test_normalise_job_in_one_pass_by_outcome(spark, folder):
     assert load_dataset(spark, f"{out}/outcome=processed").first().messages[0].content == "q"
 
 
+def in_order(path):
+    names = [os.path.join(at, n) for at, _, files in os.walk(path) for n in files if n.startswith("part-")]
+    return [json.loads(line) for name in sorted(names) for line in open(name)]
+
+
 def test_normalise_job_keeps_the_order(spark, folder):
-    lines = [f'{{"prompt":"q{i}"}}' for i in range(400)]
-    path = write(folder, "in.jsonl", "\n".join(lines))
+    """Over two files, one of them cut into many blocks, with blanks in a name."""
+    os.mkdir(f"{folder}/in")
+    first = [f'{{"prompt":"q{i}"}}' for i in range(400)]
+    write(f"{folder}/in", "a b.jsonl", "\n".join([*first, "junk", ""]))
+    write(f"{folder}/in", "c.jsonl", "".join(f'{{"prompt":"q{i}"}}\n' for i in range(400, 430)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
-        run_normalise(spark, path, os.path.join(folder, "out"), keep_order=True)
+        counts = run_normalise(spark, f"{folder}/in", f"{folder}/out", keep_order=True)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    parts = sorted(n for n in os.listdir(f"{folder}/out") if n.startswith("part-"))
-    written = [json.loads(line) for n in parts for line in open(f"{folder}/out/{n}")]
-    assert [w["messages"][0]["content"] for w in written] == [f"q{i}" for i in range(400)]
+    written = in_order(f"{folder}/out")
+    assert [w["messages"][0]["content"] for w in written] == [f"q{i}" for i in range(430)]
+    assert counts == {"processed": 430, "error": 1, "dropped": 0}
+    assert len(os.listdir(f"{folder}/out")) > 10
+    assert load_dataset(spark, f"{folder}/out").columns == ["messages"]
+
+
+def test_keeping_the_order_moves_no_text(spark, folder):
+    path = write(folder, "in.jsonl", '{"prompt":"q"}\n')
+    kept = accepted(normalise(read_placed_lines(spark, path)))
+    plan = lines_in_order(kept, ["messages"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and "Sort" in plan
 
 
 def test_command_line_jobs(spark, folder):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnloom.fixtures import DIALECTS, as_messages, ordered_turns, raw_lines
@@ -228,6 +228,23 @@ def normalise_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.groupBy("idx", "role", "content").agg(F.count(F.lit(1)).alias("n"))
 
 
+def normalise_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples at their place among all samples, as the output files in name order hold them."""
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    target = scratch_path(spark, "ordered")
+    run_normalise(spark, source, target, keep_order=True)
+    written = read_numbered_lines(spark, target)
+    sizes = written.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    messages = F.from_json("line", "messages array<struct<role:string,content:string>>").messages
+    return written.join(before, "file_path").select(
+        (F.col("before") + F.col("line_num")).alias("place"),
+        F.size(messages).cast("bigint").alias("n_messages"),
+        F.array_join(F.transform(messages, lambda m: m.content), " ").alias("contents"),
+    )
+
+
 def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass job: every line's fate from the folder of its outcome."""
     source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
@@ -462,6 +479,7 @@ _QUERIES: dict[str, Query] = {
     "rejects_numbered": rejected_lines_numbered,
     "outcome_counts": outcomes,
     "normalise_files": normalise_files,
+    "normalise_in_order": normalise_in_order,
     "normalise_by_outcome": normalise_by_outcome,
     "normalise_counts": normalise_counts,
     "stream_normalise": stream_normalise,

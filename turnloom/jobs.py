@@ -8,7 +8,7 @@ import logging
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.functions import last_key_wins
@@ -17,8 +17,8 @@ from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD
 from turnloom.operators.templates import Template
 from turnloom.plans.normalise import normalise, observe_outcomes, rejects, report_object
 from turnloom.plans.prepare import prepare_paths, profile
-from turnloom.sources.jsonl import load_dataset, read_lines, read_numbered_lines, write_jsonl
-from turnloom.sources.jsonl import write_jsonl_by
+from turnloom.sources.jsonl import load_dataset, read_lines, read_numbered_lines, read_placed_lines
+from turnloom.sources.jsonl import write_jsonl, write_jsonl_by, write_jsonl_in_order
 
 logger = logging.getLogger(__name__)
 
@@ -37,27 +37,29 @@ def run_normalise(
 
     The plain job is one pass without a shuffle. `by_outcome` writes rejects too, in the same
     pass, into folders outcome=processed, outcome=error and outcome=dropped. `rejects_path`
-    keeps them apart from the samples at the price of a second pass. `keep_order` sorts the
-    samples by file and line. All three number the lines, which takes a counting scan first.
+    keeps them apart from the samples at the price of a second pass. Both number the lines, which
+    takes a counting scan first. `keep_order` writes a folder per input block, so that files in name
+    order hold the samples in the order of the input; it takes no further pass and no shuffle.
     """
     if by_outcome and (rejects_path or keep_order):
         raise ValueError("by_outcome writes rejects itself and keeps no order; drop the other option")
     last_key_wins(spark)
-    numbered = bool(rejects_path) or by_outcome or keep_order
-    lines = (read_numbered_lines if numbered else read_lines)(spark, input_path)
-    if keep_order:
-        # The raw lines are sorted, so that parsing and counting happen once, above the sort.
-        lines = lines.orderBy("file_path", "line_num")
-    judged = normalise(lines, "line", input_field, output_field)
+
+    def judged(lines: DataFrame) -> DataFrame:
+        return normalise(lines, "line", input_field, output_field)
+
     outcomes = Observation("outcomes")
-    counted = observe_outcomes(judged, outcomes)
     if by_outcome:
-        write_jsonl_by(counted, output_path, report_object(judged, "line", output_field), "outcome")
+        counted = observe_outcomes(judged(read_numbered_lines(spark, input_path)), outcomes)
+        write_jsonl_by(counted, output_path, report_object(counted, "line", output_field), "outcome")
         return dict(outcomes.get)
-    kept = counted.filter(F.col("outcome") == "processed")
-    write_jsonl(kept, output_path, [F.col("messages").alias(output_field)])
+    lines = (read_placed_lines if keep_order else read_lines)(spark, input_path)
+    kept = observe_outcomes(judged(lines), outcomes).filter(F.col("outcome") == "processed")
+    write = write_jsonl_in_order if keep_order else write_jsonl
+    write(kept, output_path, [F.col("messages").alias(output_field)])
     if rejects_path:
-        write_jsonl(rejects(judged).drop("line"), rejects_path)
+        failed = rejects(judged(read_numbered_lines(spark, input_path)))
+        write_jsonl(failed.drop("line"), rejects_path)
     return dict(outcomes.get)
 
 
@@ -131,7 +133,7 @@ def _parser() -> argparse.ArgumentParser:
     norm.add_argument("--output_field", default=OUTPUT_FIELD)
     norm.add_argument("--rejects", help="also write rejected lines, in a second pass")
     norm.add_argument("--by_outcome", action="store_true", help="one pass, a folder per outcome")
-    norm.add_argument("--keep_order", action="store_true", help="sort samples by file and line")
+    norm.add_argument("--keep_order", action="store_true", help="a folder per input block, in input order")
     prep = jobs.add_parser("prepare", help="messages or text to training text")
     prep.add_argument("--train", required=True)
     prep.add_argument("--eval")

@@ -242,6 +242,10 @@ SELECT mode, outcome, n
 FROM counts, (VALUES ('plain'), ('keep_order'), ('rejects'), ('by_outcome')) AS m(mode)""",
     "normalise_files": f"""{_GOOD}
 SELECT idx, role, content, count(*) AS n FROM good GROUP BY idx, role, content""",
+    "normalise_in_order": f"""{_GOOD}
+SELECT row_number() OVER (ORDER BY CAST({_SHARD} AS VARCHAR), conv_id, dialect) AS place,
+       count(*) AS n_messages, string_agg(content, ' ' ORDER BY idx) AS contents
+FROM good GROUP BY conv_id, dialect""",
     "normalise_by_outcome": f"""{_BAD}, sized AS (
   SELECT conv_id, dialect, count(*) AS n_messages FROM good GROUP BY conv_id, dialect
 )

@@ -18,6 +18,8 @@ LONGEST_TEXT = str((1 << 31) - 1)
 # Offsets have one row of about 100 bytes per scanned block and are broadcast up to this many,
 # 250 TB in blocks of 128 MiB.
 BROADCAST_BLOCKS = 2_000_000
+# Names the folders of an output that keeps the order of its input.
+INPUT_BLOCK = "input_block"
 CASE_SENSITIVE = "spark.sql.caseSensitive"
 
 
@@ -80,19 +82,51 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     return _stripped(numbered)
 
 
-def write_jsonl(
-    df: DataFrame,
-    path: str,
-    columns: list[str | Column] | None = None,
-    order_by: list[str] | None = None,
-) -> None:
-    """One JSON object per row into part files below path; replaces what is there.
+def _one_form(uri: str) -> str:
+    """Local files are listed as file:///x and scanned as file:/x."""
+    return re.sub("^file:/+", "file:/", uri)
 
-    With order_by the rows are range-sorted, so the part files in name order hold that order.
+
+def read_placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Non-blank lines with their place in the input: file_path, input_block, row_id, line.
+
+    input_block is text, the number of the file in path order and where the scanned block begins;
+    row_id grows inside a block. The order is known from the file listing, so nothing is counted.
     """
-    rows = df.orderBy(*order_by) if order_by else df
+    text = spark.read.text(path)
+    files = sorted(map(_one_form, text.inputFiles()))
+    if len(files) > BROADCAST_BLOCKS:
+        raise ValueError("too many files to keep their order; merge files")
+    numbers = spark.createDataFrame(list(enumerate(files)), "number long, file_path string")
+    block = F.format_string("%08d-%015d", "number", "block_start").alias(INPUT_BLOCK)
+    placed = text.select(
+        F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"),
+        "value",
+    ).join(F.broadcast(numbers), "file_path")
+    return _stripped(placed.select("file_path", block, "row_id", "value"))
+
+
+def write_jsonl(df: DataFrame, path: str, columns: list[str | Column] | None = None) -> None:
+    """One JSON object per row into part files below path; replaces what is there."""
     fields = F.struct(*(columns or df.columns))
-    rows.select(F.to_json(fields).alias("value")).write.mode("overwrite").text(path)
+    df.select(F.to_json(fields).alias("value")).write.mode("overwrite").text(path)
+
+
+def lines_in_order(df: DataFrame, columns: list[str | Column]) -> DataFrame:
+    """value and input_block, in input order inside each task.
+
+    `df` comes from read_placed_lines by narrow steps. Every block of the input was read by one
+    task, so rows are sorted there and never moved.
+    """
+    rows = df.select(F.to_json(F.struct(*columns)).alias("value"), INPUT_BLOCK, "row_id")
+    return rows.sortWithinPartitions(INPUT_BLOCK, "row_id").select("value", INPUT_BLOCK)
+
+
+def write_jsonl_in_order(df: DataFrame, path: str, columns: list[str | Column]) -> None:
+    """One JSON object per row, a folder per input block: name order is the order of the input."""
+    lines_in_order(df, columns).write.mode("overwrite").partitionBy(INPUT_BLOCK).text(path)
 
 
 def write_jsonl_by(df: DataFrame, path: str, value: Column, by: str) -> None:
@@ -169,4 +203,6 @@ def load_dataset(
     if schema is None:
         schema = dataset_schema(spark, path, declared)
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    return reader.option("maxStringLen", LONGEST_TEXT).json(path)
+    loaded = reader.option("maxStringLen", LONGEST_TEXT).json(path)
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return loaded if INPUT_BLOCK in fields.fieldNames() else loaded.drop(INPUT_BLOCK)
