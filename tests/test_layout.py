@@ -77,10 +77,31 @@ def test_layout_spreads_a_key_that_holds_most_rows(spark):
     assert sizes.agg(F.count_distinct("start")).first()[0] == 4000
 
 
-def test_packing_tokens_needs_a_row_key(spark):
-    frame = spark.createDataFrame([(1, ["a"]), (1, ["b"])], "id long, tokens array<string>")
-    with pytest.raises(Exception, match="names several rows"):
-        packed_tokens(frame, "id", "tokens", 8).collect()
+def test_packing_tokens_of_repeated_keys(spark):
+    frame = spark.range(2000).selectExpr("if(id % 3 = 0, id, -1) AS id", "array(string(id), 't') AS tokens")
+    packs = packed_tokens(frame.repartition(4), "id", "tokens", 7, partitions=8).orderBy("pack_id").collect()
+    stream = [t for p in packs for t in p.tokens]
+    assert [len(p.tokens) for p in packs] == [7] * (4000 // 7) + [4000 % 7]
+    assert sorted(stream) == sorted([str(i) for i in range(2000)] + ["t"] * 2000)
+    assert all(t == "t" for t in stream[1::2])
+
+
+def test_packing_tokens_of_other_types(spark):
+    rows = [(i, [i, None][: i % 3]) for i in range(20)]
+    frame = spark.createDataFrame(rows, "id long, tokens array<long>")
+    packs = packed_tokens(frame, "id", "tokens", 4, partitions=3).orderBy("pack_id").collect()
+    assert [t for p in packs for t in p.tokens] == [t for _, tokens in rows for t in tokens]
+    assert packed_tokens(frame.filter("id < 0"), "id", "tokens", 4).collect() == []
+    with pytest.raises(Exception, match="is NULL"):
+        packed_tokens(spark.createDataFrame([(1, None)], "id long, tokens array<long>"), "id", "tokens", 4)
+
+
+def test_packing_moves_the_tokens_once(spark):
+    _, frame = docs(spark)
+    plan = packed_tokens(frame, "id", "tokens", 16)._jdf.queryExecution().executedPlan().toString()
+    small = ("BroadcastExchange", "SinglePartition")  # the totals, one row per range
+    moves = [line for line in plan.split("\n") if "Exchange" in line and not any(s in line for s in small)]
+    assert len(moves) == 1 and "pack_id" in moves[0]  # the pieces at the edges of ranges
 
 
 def test_batches_match_brute_force_and_do_not_depend_on_partitions(spark):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.operators.positions import running_starts, seeded_hash
+from turnloom.operators.positions import range_starts, running_starts, seeded_hash
 from turnloom.sources.scratch import pin
 
 # The blanks that separate words.
@@ -69,33 +73,84 @@ def pack_layout(
     )
 
 
+def _cut_lists(size: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Joins the token lists of one range and cuts them at multiples of size in the global order.
+
+    Gives the packs that lie inside the range, or else the pieces at its two ends. Lists are cut by
+    their offsets; single tokens are never looked at.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left = -1, None
+
+        def edge(values: pa.Array) -> pa.RecordBatch:
+            listed = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            numbers = [pa.array([x], pa.int64()) for x in divmod(at, size)]
+            return pa.RecordBatch.from_arrays([*numbers, listed], names=["pack_id", "pack_offset", "tokens"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column(1).flatten()
+            if left is None:
+                at = batch.column(0)[0].as_py()
+            else:
+                values = pa.concat_arrays([left, values])
+            head = -at % size
+            if len(values) < head:
+                left = values
+                continue
+            if head and not whole:
+                yield edge(values[:head])
+            packs, at = (len(values) - head) // size, at + head
+            if packs and whole:
+                ends = pa.array(np.arange(packs + 1, dtype=np.int32) * size)
+                full = pa.ListArray.from_arrays(ends, values[head : head + packs * size])
+                ids = pa.array(at // size + np.arange(packs))
+                yield pa.RecordBatch.from_arrays([ids, full], names=["pack_id", "tokens"])
+            at += packs * size
+            left = values[head + packs * size :]
+        if left is not None and len(left) and not whole:
+            yield edge(left)
+
+    return cut
+
+
 def packed_tokens(
     df: DataFrame, key: str, tokens: str, pack_size: int, partitions: int | None = None
 ) -> DataFrame:
-    """The packs themselves: pack_id and its token list. The key names one row.
+    """The packs themselves: pack_id and its token list of pack_size tokens, the last one shorter.
 
-    The tokens move twice, to meet their layout and to meet their pack. A pack is at most
-    pack_size tokens long.
+    The tokens move once, into ranges of the key, and are written there in order. Ranges know
+    where they start from their totals, so each is cut on its own; only the packs that lie across
+    the edge of a range are put together from their pieces, two per range. Rows of one key stand
+    next to each other, in any order. A NULL list stops the job.
     """
-    size = F.when(F.col(tokens).isNotNull(), F.size(tokens))
-    lengths = df.select(key, size.alias("_size"))
-    layout = pack_layout(lengths, key, "_size", pack_size, partitions)
-    piece = F.slice(
-        F.col(tokens), (F.col("src_offset") + 1).cast("int"), F.col("piece_len").cast("int")
-    )
-    placed = layout.join(df.select(key, tokens), key).select(
-        "pack_id", "pack_offset", "piece_len", piece.alias("piece")
-    )
-    part = F.struct("pack_offset", "piece")
-    packs = placed.groupBy("pack_id").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda p: p.piece)).alias("tokens"),
-        F.max(F.col("pack_offset") + F.col("piece_len")).alias("_end"),
+    if pack_size < 1:
+        raise ValueError("pack_size must be 1 or more")
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = df.schema[tokens].dataType
+    missing = F.raise_error(F.lit(f"{tokens} is NULL")).cast(kind)
+    listed = F.when(F.col(tokens).isNotNull(), F.col(tokens)).otherwise(missing)
+    ranged = pin(
+        df.select(F.col(key).alias("_key"), listed.alias("_tokens"))
+        .withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, "_key", "_tie")
+        .sortWithinPartitions("_key", "_tie")
+        .select(F.spark_partition_id().alias("_range"), "_tokens")
     )
-    repeated = F.raise_error(F.lit(f"key {key} names several rows"))
-    whole = F.when(F.size("tokens") == F.col("_end"), F.col("tokens")).otherwise(
-        repeated.cast(df.schema[tokens].dataType)
+    totals = pin(ranged.groupBy("_range").agg(F.sum(F.size("_tokens").cast("bigint")).alias("_total")))
+    # One row per range, and their number is a parameter.
+    starts = F.broadcast(range_starts(totals, [], "_range"))
+    rows = ranged.join(starts, "_range").select("_start", "_tokens")
+    lists = f"tokens {kind.simpleString()}"
+    inside = rows.mapInArrow(_cut_lists(pack_size, True), f"pack_id bigint, {lists}")
+    pieces = rows.mapInArrow(_cut_lists(pack_size, False), f"pack_id bigint, pack_offset bigint, {lists}")
+    part = F.struct("pack_offset", "tokens")
+    across = pieces.groupBy("pack_id").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda p: p.tokens)).alias("tokens")
     )
-    return packs.select("pack_id", whole.alias("tokens"))
+    return inside.unionByName(across)
 
 
 def assign_batches(

@@ -26,7 +26,8 @@ def seeded_hash(seed: Column | str | int, *keys: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def _starts(totals: DataFrame, group: list[str], bucket: str) -> DataFrame:
+def range_starts(totals: DataFrame, group: list[str], bucket: str) -> DataFrame:
+    """Add `_start`, the sum of `_total` of all buckets before."""
     before = (
         Window.partitionBy(*group)
         .orderBy(bucket)
@@ -59,7 +60,7 @@ def running_starts(
     )
     # One row per range, and one more for each group that begins inside a range.
     totals = pin(ranged.groupBy("_range", *by).agg(F.sum(value).alias("_total")))
-    starts = _starts(totals, by, "_range").drop("_total")
+    starts = range_starts(totals, by, "_range").drop("_total")
     if totals.count() <= BROADCAST_TOTALS:
         starts = F.broadcast(starts)
     inside = (
