@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from turnloom.fixtures import raw_lines
+from turnloom.jobs import main, run_stream, stream_totals
 from turnloom.plans.normalise import normalise, outcome_counts
 from turnloom.sources.jsonl import read_lines
 from turnloom.streaming.normalise import normalise_stream, write_stream
@@ -42,3 +43,33 @@ def test_stream_goes_on_where_it_stopped(spark, folder):
             f.write(f'{{"prompt":"q{n}"}}\n')
         write_stream(normalise_stream(spark, source), target, progress).awaitTermination()
         assert spark.read.parquet(target).count() == n + 1
+
+
+def test_totals_survive_a_restart_and_count_every_line_once(spark, folder):
+    source, out = os.path.join(folder, "in"), os.path.join(folder, "out")
+    os.mkdir(source)
+    for n in range(3):
+        with open(os.path.join(source, f"{n}.jsonl"), "w") as f:
+            f.write('{"prompt":"q"}\n' * (n + 1) + "junk\n\n")
+        main(["stream", f"--input={source}", f"--output={out}", "--files_per_batch=1"])
+        assert stream_totals(spark, out) == {"processed": (n + 1) * (n + 2) // 2, "error": n + 1}
+    main(["stream", f"--input={source}", f"--output={out}"])  # nothing new
+    assert stream_totals(spark, out) == {"processed": 6, "error": 3}
+
+
+def test_a_running_stream_shows_its_progress(spark, folder):
+    source, out = os.path.join(folder, "in"), os.path.join(folder, "out")
+    os.mkdir(source)
+    queries = []
+    try:
+        for n in range(2):
+            with open(os.path.join(source, f"{n}.jsonl"), "w") as f:
+                f.write('{"prompt":"q"}\n' * 5)
+            queries = queries or run_stream(spark, source, out, every="1 second")
+            for _ in range(3):
+                for query in queries:
+                    query.processAllAvailable()
+            assert stream_totals(spark, out) == {"processed": 5 * (n + 1)}
+    finally:
+        for query in queries:
+            query.stop()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from turnloom.fixtures import DIALECTS, as_messages, ordered_turns, raw_lines
 from turnloom.functions import last_key_wins, not_blank, parse_record, python_strip
 from turnloom.functions.values import WHITESPACE
-from turnloom.jobs import run_normalise, run_prepare
+from turnloom.jobs import run_normalise, run_prepare, run_stream
 from turnloom.operators.layout import assign_batches, pack_layout, packed_tokens, train_plan
 from turnloom.operators.layout import truncate, words, write_batches
 from turnloom.operators.messages import normalise_role
@@ -286,6 +286,16 @@ def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exploded(samples, "conv_id", "dialect")
 
 
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a stream that stops after half of the dialects and goes on with the others."""
+    source, target = scratch_path(spark, "arriving"), scratch_path(spark, "running")
+    names = tuple(DIALECTS)
+    for part, dialects in (("one", names[::2]), ("two", names[1::2])):
+        raw_lines(spark, sf_dir, *dialects).select("line").write.text(f"{source}/{part}")
+        run_stream(spark, f"{source}/*", target)
+    return spark.read.schema("outcome string, n bigint").parquet(f"{target}/totals")
+
+
 # --- training sets -------------------------------------------------------------------------
 
 
@@ -483,6 +493,7 @@ _QUERIES: dict[str, Query] = {
     "normalise_by_outcome": normalise_by_outcome,
     "normalise_counts": normalise_counts,
     "stream_normalise": stream_normalise,
+    "stream_totals": stream_totals,
     "strict_violations": strict_violations,
     "render_chatml": render_strict,
     "render_named": render_named,

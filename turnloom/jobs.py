@@ -1,4 +1,4 @@
-"""spark-submit entry points: normalise raw chat lines, prepare training text."""
+"""spark-submit entry points: normalise raw chat lines, also as they arrive; prepare training text."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from turnloom.functions import last_key_wins
 from turnloom.operators.layout import assign_batches, packed_tokens, truncate, words, write_batches
@@ -19,6 +20,7 @@ from turnloom.plans.normalise import normalise, observe_outcomes, rejects, repor
 from turnloom.plans.prepare import prepare_paths, profile
 from turnloom.sources.jsonl import load_dataset, read_lines, read_numbered_lines, read_placed_lines
 from turnloom.sources.jsonl import write_jsonl, write_jsonl_by, write_jsonl_in_order
+from turnloom.streaming.normalise import count_stream, normalise_stream, write_stream
 
 logger = logging.getLogger(__name__)
 
@@ -118,6 +120,39 @@ def run_prepare(
     return report
 
 
+def run_stream(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    input_field: str = INPUT_FIELD,
+    output_field: str = OUTPUT_FIELD,
+    every: str | None = None,
+    **options: str,
+) -> list[StreamingQuery]:
+    """Normalise the files that are new since the last run, and count the outcomes of all runs.
+
+    Verdicts go to `verdicts` below the output, one folder per outcome, and the totals so far to
+    `totals`; what a later run needs to go on is in `progress`. Returns when all files are
+    read, or at once with two running queries where `every` says how often to look for more.
+    """
+    base = output_path.rstrip("/")
+    last_key_wins(spark)
+    judged = normalise_stream(spark, input_path, input_field, output_field, **options)
+    writer = write_stream(judged, f"{base}/verdicts", f"{base}/progress/verdicts", every=every)
+    if every is None:
+        writer.awaitTermination()
+    counter = count_stream(spark, f"{base}/verdicts", f"{base}/totals", f"{base}/progress/totals", every)
+    if every is None:
+        counter.awaitTermination()
+    return [writer, counter]
+
+
+def stream_totals(spark: SparkSession, output_path: str) -> dict[str, int]:
+    """The outcome counts of all runs of run_stream so far."""
+    totals = spark.read.parquet(f"{output_path.rstrip('/')}/totals")
+    return {row["outcome"]: row["n"] for row in totals.collect()}
+
+
 def truth(text: str) -> bool:
     """A flag's value: empty, false, no, off, none, null and 0 are false."""
     return text.strip().lower() not in ("", "false", "no", "off", "none", "null", "0")
@@ -134,6 +169,13 @@ def _parser() -> argparse.ArgumentParser:
     norm.add_argument("--rejects", help="also write rejected lines, in a second pass")
     norm.add_argument("--by_outcome", action="store_true", help="one pass, a folder per outcome")
     norm.add_argument("--keep_order", action="store_true", help="a folder per input block, in input order")
+    live = jobs.add_parser("stream", help="normalise files as they arrive")
+    live.add_argument("--input", required=True)
+    live.add_argument("--output", required=True, help="folder for verdicts, totals and progress")
+    live.add_argument("--input_field", default=INPUT_FIELD)
+    live.add_argument("--output_field", default=OUTPUT_FIELD)
+    live.add_argument("--every", help='go on and look for files this often, like "30 seconds"')
+    live.add_argument("--files_per_batch", help="at most so many files in a micro-batch")
     prep = jobs.add_parser("prepare", help="messages or text to training text")
     prep.add_argument("--train", required=True)
     prep.add_argument("--eval")
@@ -178,6 +220,17 @@ def main(argv: list[str] | None = None) -> None:
         )
         logger.info("outcomes: %s", counts)
         return
+    if args.job == "stream":
+        options = {"maxFilesPerTrigger": args.files_per_batch} if args.files_per_batch else {}
+        queries = run_stream(
+            spark, args.input, args.output, args.input_field, args.output_field, args.every, **options
+        )
+        if args.every:
+            spark.streams.awaitAnyTermination()
+        for query in queries:
+            query.stop()
+        logger.info("outcomes so far: %s", stream_totals(spark, args.output))
+        return
     report = run_prepare(
         spark,
         args.train,

@@ -237,6 +237,7 @@ GROUP BY role_in, role_out""",
 SELECT shard, line_num, outcome, reason, msg_index, detail, keys
 FROM bad JOIN lines USING (conv_id, dialect)""",
     "outcome_counts": f"{_COUNTS} SELECT outcome, n FROM counts",
+    "stream_totals": f"{_COUNTS} SELECT outcome, n FROM counts",
     "normalise_counts": f"""{_COUNTS}
 SELECT mode, outcome, n
 FROM counts, (VALUES ('plain'), ('keep_order'), ('rejects'), ('by_outcome')) AS m(mode)""",
