@@ -209,7 +209,7 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    path = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
     failed = rejects(normalise(read_numbered_lines(spark, path)))
     shard = _shard(F.col("file_path"))
     return _reject_columns(failed.withColumn("shard", shard), "shard", "line_num")
@@ -221,7 +221,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from files to files, then the messages it wrote."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
     target = scratch_path(spark, "normalised")
     run_normalise(spark, source, target)
     written = _exploded(load_dataset(spark, target))
@@ -230,7 +230,7 @@ def normalise_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The samples at their place among all samples, as the output files in name order hold them."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
     target = scratch_path(spark, "ordered")
     run_normalise(spark, source, target, keep_order=True)
     written = read_numbered_lines(spark, target)
@@ -247,7 +247,7 @@ def normalise_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass job: every line's fate from the folder of its outcome."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
     target = scratch_path(spark, "outcomes")
     run_normalise(spark, source, target, by_outcome=True)
     schema = "outcome string, reason string, msg_index bigint, messages array<struct<role:string>>"
@@ -260,7 +260,7 @@ def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome counts that the job returns, however it is run."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
     modes = {
         "plain": {},
         "keep_order": {"keep_order": True},
@@ -276,7 +276,7 @@ def normalise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect")
+    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
     target = scratch_path(spark, "stream")
     judged = normalise_stream(spark, f"{source}/*")
     write_stream(judged, target, scratch_path(spark, "progress")).awaitTermination()

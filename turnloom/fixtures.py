@@ -1,8 +1,9 @@
 """Raw chat lines made from the conversations table: every conversation in every dialect.
 
-A dialect is one way to write a conversation as a JSONL line, valid or defective. The table
-itself is clean, so role variants, outer whitespace and defects come from the dialects. The
-work grows with the table; no conversation is left out of any dialect.
+A dialect is one way to write a conversation as JSONL, valid or defective: as one line, or as one
+line per pair of a question and its answer. The table itself is clean, so role variants, outer
+whitespace and defects come from the dialects. The work grows with the table; no turn is left
+out of any dialect.
 """
 
 from __future__ import annotations
@@ -53,14 +54,14 @@ def _renamed(**names: str) -> str:
     return f"CASE t.role {cases} ELSE t.role END"
 
 
-def _first(role: str) -> str:
-    return f"get(filter(turns, t -> t.role = '{role}'), 0).text"
-
-
 _LAST = "i = size(turns) - 1"
-_USER, _ASSISTANT, _SYSTEM = map(_first, ("user", "assistant", "system"))
+_TEXT = "array_join(transform(turns, t -> t.text), ' ')"
+_SYSTEM = "get(filter(turns, t -> t.role = 'system'), 0).text"
+# Every user turn as p.u, with the assistant's reply to it, if there is one, as p.a.
+_PAIRS = """filter(transform(turns, (t, i) -> named_struct('role', t.role, 'u', t.text, 'a',
+    if(get(turns, i + 1).role = 'assistant', get(turns, i + 1).text, NULL))), p -> p.role = 'user')"""
 _CANONICAL = _record(messages=_items())
-_PROMPT = _record(prompt=_USER, response=_ASSISTANT)
+_PROMPT = _record(prompt="p.u", response="p.a")
 _OUTER = [quoted(side) for side in (OUTER_LEFT, OUTER_RIGHT)]
 
 # The three item forms in turn, then an item of no known form.
@@ -84,12 +85,12 @@ DIALECTS = {
         conversations=_items("speaker", "text", _renamed(user="Human", assistant="ChatGPT"))
     ),
     "mixed": _record(conversations=_MIXED),
-    "instruction": _record(instruction=_USER, input=_SYSTEM, output=_ASSISTANT),
+    "instruction": _record(instruction="p.u", input=_SYSTEM, output="p.a"),
     "prompt": _PROMPT,
-    "question": _record(question=_USER, answer=_ASSISTANT),
+    "question": _record(question="p.u", answer="p.a"),
     "fallback": _record(dialogue="array()", history=_items()),
     # The input field holds text, so only the fallback fields count.
-    "shadowed": _record(conversations=_USER, chat=_items()),
+    "shadowed": _record(conversations=_TEXT, chat=_items()),
     "number_content": _record(messages=_items(text="t.turn + 1000")),
     "repeated_key": f"""concat('{{"prompt":"overwritten",', substr({_PROMPT}, 2))""",
     "not_a_number": f"""concat('{{"score":NaN,"low":-Infinity,"sign":"+Infinity",', substr({_CANONICAL}, 2))""",
@@ -99,15 +100,15 @@ DIALECTS = {
     "trailing_junk": f"concat({_CANONICAL}, ' junk')",
     "truncated": f"left({_CANONICAL}, length({_CANONICAL}) - 1)",
     "not_record": "to_json(transform(turns, t -> t.text))",
-    "no_fields": _record(note=_USER),
+    "no_fields": _record(note=_TEXT),
     "empty_list": _record(messages="array()"),
-    "blocked_prompt": _record(conversations=_USER, prompt=_USER),
+    "blocked_prompt": _record(conversations=_TEXT, prompt=_TEXT),
     "null_item": _record(
         messages=f"concat({_items()}, array(cast(NULL AS struct<role:string,content:string>)))"
     ),
     "missing_key": _record(messages=_items(text=f"if({_LAST}, NULL, t.text)")),
     "bad_role": _record(messages=_items(role=f"if({_LAST}, 'Tool', t.role)")),
-    "null_output": f"""concat(rtrim('}}', {_record(instruction=_USER)}), ',"output":null}}')""",
+    "null_output": f"""concat('{{"output":null,', substr({_record(instruction="p.u")}, 2))""",
     "blank_content": _record(
         messages=_items(text=f"if(i = 0, concat({_OUTER[0]}, {_OUTER[1]}), t.text)")
     ),
@@ -115,12 +116,23 @@ DIALECTS = {
 }
 
 
+# Dialects with a line for every pair.
+PAIRED = ("instruction", "prompt", "question", "repeated_key", "null_output")
+
+
 def raw_lines(spark: SparkSession, sf_dir: str, *dialects: str) -> DataFrame:
-    """conv_id, dialect, line: all conversations in each of the named dialects (default: all)."""
+    """conv_id, dialect, part, line: all conversations in each of the named dialects (default: all).
+
+    `part` numbers the lines of one conversation in one dialect.
+    """
     names = dialects or tuple(DIALECTS)
     grouped = ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     each = ", ".join(map(quoted, names))
-    lines = " ".join(f"WHEN {quoted(name)} THEN {DIALECTS[name]}" for name in names)
+    lines = " ".join(
+        f"WHEN {quoted(name)} THEN "
+        + (f"transform({_PAIRS}, p -> {DIALECTS[name]})" if name in PAIRED else f"array({DIALECTS[name]})")
+        for name in names
+    )
     return grouped.selectExpr("*", f"explode(array({each})) AS dialect").selectExpr(
-        "conv_id", "dialect", f"CASE dialect {lines} END AS line"
+        "conv_id", "dialect", f"posexplode(CASE dialect {lines} END) AS (part, line)"
     )

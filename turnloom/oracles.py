@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from turnloom.catalog import (
     MAX_WORDS,
     NORM_DIALECTS,
@@ -10,6 +12,7 @@ from turnloom.catalog import (
     SEED,
     SHARDS,
 )
+from turnloom.fixtures import PAIRED
 
 LIST_DIALECTS = (
     "canonical padded role_content from_value speaker_text mixed fallback shadowed number_content"
@@ -54,47 +57,53 @@ def _values(rows: list[tuple[str | None, ...]], name: str, columns: str) -> str:
     return f"(VALUES {body}) AS {name}({columns})"
 
 
-_NAMES = {
-    kind: _values([(d,) for d in dialects], "d", "dialect")
-    for kind, dialects in (("list", LIST_DIALECTS), ("pair", PAIR_DIALECTS))
-}
+def _names(dialects: Iterable[str]) -> str:
+    return _values([(d,) for d in dialects], "d", "dialect")
+
+
+_SINGLE = [d for d in (*LIST_DIALECTS, *DEFECTS, "blank_line") if d not in PAIRED]
 
+# good: the messages of lines that give a sample. units: all lines, the blank ones included.
 _GOOD = f"""
 WITH turns AS (
   SELECT conv_id, turn, role, text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS idx
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS idx,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
   FROM conversations
 ), firsts AS (
-  SELECT conv_id, count(*) AS n_turns,
-         arg_min(text, turn) FILTER (WHERE role = 'user') AS u,
-         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS a,
-         arg_min(text, turn) FILTER (WHERE role = 'system') AS s
+  SELECT conv_id, count(*) AS n_turns, arg_min(text, turn) FILTER (WHERE role = 'system') AS s
   FROM conversations GROUP BY conv_id
+), pairs AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS part, text AS u, s,
+         CASE WHEN next_role = 'assistant' THEN next_text END AS a
+  FROM turns JOIN firsts USING (conv_id) WHERE role = 'user'
+), units AS (
+  SELECT conv_id, dialect, 0 AS part FROM firsts, {_names(_SINGLE)}
+  UNION ALL SELECT conv_id, dialect, part FROM pairs, {_names(PAIRED)}
 ), good AS (
-  SELECT conv_id, dialect, idx, role,
+  SELECT conv_id, dialect, 0 AS part, idx, role,
          CASE WHEN dialect = 'number_content' THEN CAST(turn + 1000 AS VARCHAR) ELSE text END AS content
-  FROM turns, {_NAMES["list"]}
+  FROM turns, {_names(LIST_DIALECTS)}
   UNION ALL
-  SELECT conv_id, dialect, 1, 'user',
+  SELECT conv_id, dialect, part, 1, 'user',
          CASE WHEN dialect = 'instruction' AND s IS NOT NULL THEN u || chr(10) || s ELSE u END
-  FROM firsts, {_NAMES["pair"]}
+  FROM pairs, {_names(PAIR_DIALECTS)}
   UNION ALL
-  SELECT conv_id, dialect, 2, 'assistant', a FROM firsts, {_NAMES["pair"]} WHERE a IS NOT NULL
+  SELECT conv_id, dialect, part, 2, 'assistant', a FROM pairs, {_names(PAIR_DIALECTS)} WHERE a IS NOT NULL
 )"""
 
 _BAD = f"""{_GOOD}, bad AS (
-  SELECT conv_id, dialect, outcome, reason, shape, keys,
+  SELECT conv_id, dialect, part, outcome, reason, shape, keys,
          CASE dialect WHEN 'null_item' THEN n_turns + 1
                       WHEN 'missing_key' THEN n_turns WHEN 'bad_role' THEN n_turns
                       WHEN 'null_output' THEN 2 WHEN 'blank_content' THEN 1 END AS msg_index,
          CASE WHEN dialect = 'bad_role' THEN 'Tool' END AS detail
-  FROM firsts, {_values([(k, *v) for k, v in DEFECTS.items()], "d", "dialect, outcome, reason, shape, keys")}
+  FROM units JOIN firsts USING (conv_id)
+  JOIN {_values([(k, *v) for k, v in DEFECTS.items()], "d", "dialect, outcome, reason, shape, keys")}
+    USING (dialect)
 )"""
 
-_ALL_DIALECTS = _values(
-    [(d,) for d in (*LIST_DIALECTS, *PAIR_DIALECTS, *DEFECTS, "blank_line")], "d", "dialect"
-)
-
 # A document's tokens; the blanks are those of the library's word splitter.
 _TOKENS = r"""
 WITH docs AS (
@@ -164,8 +173,8 @@ _STRICT_REASON = {"null_item": "not_object", "missing_key": "missing_key", "no_f
 
 _COUNTS = f"""{_BAD}, counts AS (
   SELECT outcome, count(*) AS n FROM (
-    SELECT DISTINCT conv_id, dialect, 'processed' AS outcome FROM good
-    UNION ALL SELECT conv_id, dialect, outcome FROM bad
+    SELECT DISTINCT conv_id, dialect, part, 'processed' AS outcome FROM good
+    UNION ALL SELECT conv_id, dialect, part, outcome FROM bad
   ) GROUP BY outcome
 )"""
 
@@ -191,9 +200,9 @@ SELECT shard, line_num, conv_id, turn FROM (
          CAST(sum(CASE WHEN turn = 0 THEN 2 ELSE 1 END)
               OVER (PARTITION BY {_SHARD} ORDER BY conv_id, turn) AS BIGINT) AS line_num
   FROM conversations)""",
-    "parse_outcomes": f"""
+    "parse_outcomes": f"""{_GOOD}
 SELECT conv_id, dialect, dialect NOT IN ('trailing_junk', 'truncated', 'plus_infinity') AS ok
-FROM (SELECT DISTINCT conv_id FROM conversations), {_ALL_DIALECTS} WHERE dialect <> 'blank_line'""",
+FROM units WHERE dialect <> 'blank_line'""",
     "jsonl_roundtrip": f"{_GOOD} SELECT conv_id, idx, role, text AS content FROM turns",
     "dataset_columns": """
 SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN turn / 4 END AS score,
@@ -204,7 +213,7 @@ SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN turn / 4 END AS score,
 FROM conversations""",
     "detect_shape": f"""{_BAD}
 SELECT conv_id, dialect, shape
-FROM firsts, {_values(list(SHAPES.items()), "s", "dialect, shape")}
+FROM units JOIN {_values(list(SHAPES.items()), "s", "dialect, shape")} USING (dialect)
 UNION ALL SELECT conv_id, dialect, shape FROM bad""",
     **{
         f"norm_{dialect}": f"{_GOOD} SELECT conv_id, idx, role, content FROM good WHERE dialect = '{dialect}'"
@@ -230,12 +239,12 @@ GROUP BY role_in, role_out""",
     "accepted_samples": f"{_GOOD} SELECT conv_id, dialect, idx, role, content FROM good",
     "rejects": f"{_BAD} SELECT conv_id, dialect, outcome, reason, msg_index, detail, keys FROM bad",
     "rejects_numbered": f"""{_BAD}, lines AS (
-  SELECT conv_id, dialect, {_SHARD} AS shard,
-         row_number() OVER (PARTITION BY {_SHARD} ORDER BY conv_id, dialect) AS line_num
-  FROM firsts, {_ALL_DIALECTS}
+  SELECT conv_id, dialect, part, {_SHARD} AS shard,
+         row_number() OVER (PARTITION BY {_SHARD} ORDER BY conv_id, dialect, part) AS line_num
+  FROM units
 )
 SELECT shard, line_num, outcome, reason, msg_index, detail, keys
-FROM bad JOIN lines USING (conv_id, dialect)""",
+FROM bad JOIN lines USING (conv_id, dialect, part)""",
     "outcome_counts": f"{_COUNTS} SELECT outcome, n FROM counts",
     "stream_totals": f"{_COUNTS} SELECT outcome, n FROM counts",
     "normalise_counts": f"""{_COUNTS}
@@ -244,11 +253,11 @@ FROM counts, (VALUES ('plain'), ('keep_order'), ('rejects'), ('by_outcome')) AS
     "normalise_files": f"""{_GOOD}
 SELECT idx, role, content, count(*) AS n FROM good GROUP BY idx, role, content""",
     "normalise_in_order": f"""{_GOOD}
-SELECT row_number() OVER (ORDER BY CAST({_SHARD} AS VARCHAR), conv_id, dialect) AS place,
+SELECT row_number() OVER (ORDER BY CAST({_SHARD} AS VARCHAR), conv_id, dialect, part) AS place,
        count(*) AS n_messages, string_agg(content, ' ' ORDER BY idx) AS contents
-FROM good GROUP BY conv_id, dialect""",
+FROM good GROUP BY conv_id, dialect, part""",
     "normalise_by_outcome": f"""{_BAD}, sized AS (
-  SELECT conv_id, dialect, count(*) AS n_messages FROM good GROUP BY conv_id, dialect
+  SELECT conv_id, dialect, part, count(*) AS n_messages FROM good GROUP BY conv_id, dialect, part
 )
 SELECT 'processed' AS outcome, NULL AS reason, CAST(NULL AS BIGINT) AS msg_index, n_messages, count(*) AS n
 FROM sized GROUP BY n_messages
