@@ -194,3 +194,14 @@ def test_a_line_is_parsed_once_without_python(spark, pick):
 def test_normalising_does_not_shuffle(spark):
     lines = spark.range(10).selectExpr("id", "'{}' AS line")
     assert "Exchange" not in plan_of(accepted(normalise(lines)))
+
+
+def test_a_field_name_beyond_the_reader_is_reported_as_too_large(spark):
+    chat = '"messages":[{"role":"user","content":"q"}]'
+    lines = [f'{{"{"k" * n}":1,{chat}}}' for n in (50_000, 50_001, 60_000)]
+    lines += [f'{{"x":"{"v" * 60_000}",{chat}', "{" + " " * 60_000 + "junk"]
+    judged = normalise(spark.createDataFrame([(x,) for x in lines], "line string"))
+    assert [(r.outcome, r.reason) for r in judged.select("outcome", "reason").collect()] == [
+        ("processed", None), ("error", "too_large"), ("error", "too_large"),
+        ("error", "malformed"), ("error", "malformed"),
+    ]

@@ -38,8 +38,10 @@ def check_messages(raw: str) -> str:
     return f"transform({steps}, (c, i) -> {judged})"
 
 
-# A VARIANT holds at most 128 MiB, so a line beyond this may be sound and still not fit.
-LARGEST_LINE = 128 * 1024 * 1024
+# A VARIANT holds at most 128 MiB, and the JSON reader takes field names of at most 50,000
+# characters. A line beyond either may be sound and still not fit.
+LARGEST_LINE, LONGEST_NAME = 128 * 1024 * 1024, 50_000
+_LONG_NAME = quoted(rf'"[^"]{{{LONGEST_NAME + 1},}}"\s*:')
 
 
 def verdict(line: str, record: str, env: str, picked: str, checked: str) -> str:
@@ -50,6 +52,8 @@ def verdict(line: str, record: str, env: str, picked: str, checked: str) -> str:
     """
     failure = f"""CASE
       WHEN {record} IS NULL AND octet_length({line}) >= {LARGEST_LINE} THEN 'too_large'
+      WHEN {record} IS NULL AND octet_length({line}) > {LONGEST_NAME}
+        AND regexp_like({line}, {_LONG_NAME}) THEN 'too_large'
       WHEN {record} IS NULL THEN 'malformed'
       WHEN {env}.known IS NULL THEN 'not_object'
       WHEN {picked}.messages IS NULL OR size({picked}.messages) = 0 THEN 'no_messages' END"""
