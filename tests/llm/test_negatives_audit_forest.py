@@ -1,6 +1,7 @@
 """Hard negatives, the filter audit and the LSH forest against plain versions."""
 
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from brute import components
 from pyspark.sql import functions as F
 
-from turnloom.llm import filter_audit, hard_negatives, lsh_forest, queries, vptree
+from turnloom.llm import filter_audit, hard_negatives, lsh_forest, queries, toxicity, vptree
 from turnloom.llm.common import Work
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -220,3 +221,12 @@ def test_min_hashes_estimate_similarity():
     a, b = (np.concatenate([common, draw.integers(0, 2**63, 100).astype(np.uint64)]) for _ in range(2))
     signatures = lsh_forest.min_hashes(np.concatenate([a, b]), np.array([900, 900]))
     assert abs((signatures[0] == signatures[1]).mean() - 0.8) < 0.12
+
+
+def test_toxicity_learns_one_text_per_id(spark):
+    docs = spark.range(400).selectExpr("if(id < 300, 7, id) AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(400).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    rows = toxicity.training_rows(docs, labels, "doc_id", "text")
+    ids = [i for i in {7, *range(300, 400)} if zlib.crc32(str(i).encode()) % 5]
+    assert len(rows) == len(ids)
+    assert sum(r["toxic"] for r in rows) == sum(i % 2 for i in ids)
