@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +79,18 @@ def give_back() -> None:
         pass
 
 
+def lean(body: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The body of a mapInArrow that gives memory back when its task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from body(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def text_chunks(
     batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

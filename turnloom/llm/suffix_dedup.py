@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.common import (
     Work,
     group_starts,
+    lean,
     mixed,
     pack_arrays,
     parallelism,
@@ -52,7 +53,9 @@ from turnloom.llm.words import join_texts, prefix_hash, range_hash
 
 LENGTH = 50
 GRAM = 20
-BYTES_PER_BUCKET = 256 << 20
+BYTES_PER_BUCKET = 64 << 20
+# Arrays over positions and contexts are made for so many at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 18, 1 << 13
 SAMPLE_EVERY = 4096
 LAST = np.iinfo(np.int64).max
 U = np.uint64
@@ -72,20 +75,28 @@ def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
 def anchors(
     data: np.ndarray, offset: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Position, document and hash of the anchors of all texts."""
+    """Position, document and hash of the anchors of all texts, found in slices of the data."""
     width = length - GRAM + 1
-    none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none, none, none.astype(np.uint64)
-    first = np.arange(len(data) - GRAM + 1)
-    hashes = range_hash(prefix_hash(data), first, first + GRAM)
-    least = _sliding(hashes, width, np.minimum)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    grams = len(data) - GRAM + 1 if len(data) >= length else 0
     pad = np.zeros(width - 1, np.uint64)
-    chosen = hashes == _sliding(np.concatenate([pad, least, pad]), width, np.maximum)
-    at = np.flatnonzero(chosen)
+    for begin in range(0, grams, SLICE_BYTES):
+        end = min(grams, begin + SLICE_BYTES)
+        # All windows that hold a gram of the slice lie between low and high.
+        low, high = max(0, begin - width + 1), min(grams, end + width - 1)
+        first = np.arange(high - low)
+        hashes = range_hash(prefix_hash(data[low : high + GRAM - 1]), first, first + GRAM)
+        least = _sliding(hashes, width, np.minimum)
+        chosen = hashes == _sliding(np.concatenate([pad, least, pad]), width, np.maximum)
+        at = begin - low + np.flatnonzero(chosen[begin - low : end - low])
+        found.append((low + at, hashes[at]))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64)
+    at, hashes = (np.concatenate(x) for x in zip(*found))
     doc = np.searchsorted(offset, at, "right") - 1
     inside = at + GRAM <= offset[doc + 1] - 1
-    return at[inside], doc[inside], hashes[at[inside]]
+    return at[inside], doc[inside], hashes[inside]
 
 
 class Block:
@@ -130,19 +141,33 @@ class Block:
         left = np.minimum(self.at - self.offset[self.doc], before)
         right = np.minimum(self.offset[self.doc + 1] - 1 - self.at, self.length)
         steps = np.concatenate([-1 - np.arange(before), np.arange(self.length)])
-        reach = self.at[:, None] + steps
-        rows = self.data[np.clip(reach, 0, len(self.data) - 1)]
-        rows[:, :before][np.arange(before) >= left[:, None]] = 0
-        rows[:, before:][np.arange(self.length) >= right[:, None]] = 0
         width = self.length + before + 2
-        full = np.empty((len(rows), width), np.uint8)
-        full[:, 0], full[:, 1], full[:, 2:] = left, right, rows
-        _, first, place = np.unique(
-            full.view(f"V{width}").ravel(), return_index=True, return_inverse=True
-        )
+        parts, firsts, places, total = [np.zeros((0, width), np.uint8)], [], [], 0
+        for begin in range(0, len(self.at), SLICE_ROWS):
+            some = slice(begin, begin + SLICE_ROWS)
+            rows = self.data[np.clip(self.at[some, None] + steps, 0, len(self.data) - 1)]
+            rows[:, :before][np.arange(before) >= left[some, None]] = 0
+            rows[:, before:][np.arange(self.length) >= right[some, None]] = 0
+            full = np.empty((len(rows), width), np.uint8)
+            full[:, 0], full[:, 1], full[:, 2:] = left[some], right[some], rows
+            first, place = _distinct(full)
+            parts.append(full[first])
+            firsts.append(begin + first)
+            places.append(total + place)
+            total += len(first)
+        full = np.concatenate(parts)
+        first, place = _distinct(full)
+        every, none = np.concatenate([*places, []]).astype(np.int64), np.zeros(0, np.int64)
+        place = place[every]
         smallest = np.full(len(first), LAST)
         np.minimum.at(smallest, place, self.ids[self.doc])
-        return full[first], self.hash[first], smallest, place
+        return full[first], self.hash[np.concatenate([none, *firsts])[first]], smallest, place
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct row occurs first, in the order of their bytes, and each row's number."""
+    values = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel()
+    return np.unique(values, return_index=True, return_inverse=True)[1:]
 
 
 def leading(rows: np.ndarray) -> np.ndarray:
@@ -293,14 +318,14 @@ def remove_repeats(
 
     def send_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                value, bucket, twice, _ = Block(payload, length).hashes(buckets)
+            for name, payload in zip(batch.column(0), batch.column(1)):
+                value, bucket, twice, _ = Block(payload.as_py(), length).hashes(buckets)
                 starts = group_starts(bucket)
                 parts = np.split(np.arange(len(value)), starts[1:]) if len(value) else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(bucket[starts], pa.int32()),
-                        pa.array([name] * len(parts), pa.int64()),
+                        pa.array([name.as_py()] * len(parts), pa.int64()),
                         pa.array([_hash_payload(value[p], twice[p]) for p in parts], pa.binary()),
                     ],
                     names=["bucket", "block", "payload"],
@@ -320,7 +345,7 @@ def remove_repeats(
 
     masks = work.put(
         blocks.select("block", "payload")
-        .mapInArrow(send_hashes, "bucket int, block bigint, payload binary")
+        .mapInArrow(lean(send_hashes), "bucket int, block bigint, payload binary")
         .groupBy("bucket")
         .applyInArrow(answer_hashes, "bucket int, block bigint, mask binary")
         .groupBy("block")
@@ -330,7 +355,8 @@ def remove_repeats(
     known = blocks.select("block", "payload").join(masks, "block", "left")
 
     def opened(batch: pa.RecordBatch) -> Iterator[tuple[Block, dict]]:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
             block = Block(row["payload"], length)
             got = [(m["bucket"], m["mask"]) for m in row["masks"] or []]
             block.keep_shared(buckets, got)
@@ -370,7 +396,7 @@ def remove_repeats(
         )
 
     answers = work.put(
-        known.mapInArrow(send_suffixes, "bucket int, block bigint, payload binary")
+        known.mapInArrow(lean(send_suffixes), "bucket int, block bigint, payload binary")
         .groupBy("bucket")
         .applyInArrow(sort_suffixes, "bucket int, block bigint, answer binary")
         .groupBy("block")
@@ -388,7 +414,7 @@ def remove_repeats(
     schema = (
         f"`{key}` bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"
     )
-    result = known.join(answers, "block", "left").mapInArrow(cut, schema)
+    result = known.join(answers, "block", "left").mapInArrow(lean(cut), schema)
     return result.withColumn(key, F.col(key).cast(key_type))
 
 
