@@ -54,7 +54,7 @@ from turnloom.llm.common import (
 from turnloom.llm.graph import components, smallest_keys
 from turnloom.llm.words import split_words
 
-SIGNATURES_PER_ROW = 1 << 22
+SIGNATURES_PER_ROW = 1 << 21
 SHINGLES_PER_BUCKET = 20_000_000
 SHINGLES_PER_CHUNK = 1_000_000
 U = np.uint64
