@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,9 @@ from pyspark.sql import functions as F
 from turnloom.sources.scratch import scratch_path
 
 # Just below a power of two, which sizes the tables of the rolling hash.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
+# What clears the tables that a task keeps between batches.
+CLEARED_AFTER_TASKS: list[Callable[[], None]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +76,9 @@ def slices(sizes: Iterable[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int
 
 def give_back() -> None:
     """Return what a task no longer uses: workers live on and their next task starts lean."""
+    for clear in CLEARED_AFTER_TASKS:
+        clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -100,9 +107,10 @@ def text_chunks(
             if not batch.num_rows:
                 continue
             column = batch.column(batch.schema.get_field_index(text))
-            texts = [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
-            for first, end in slices(map(len, texts), limit):
-                yield batch.slice(first, end - first), texts[first:end]
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for first, end in slices(sizes, limit):
+                some = column.slice(first, end - first).cast(pa.large_binary()).to_pylist()
+                yield batch.slice(first, end - first), [t or b"" for t in some]
     finally:
         give_back()
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnloom.llm.common import Work, spread, text_chunks
+from turnloom.llm.common import CLEARED_AFTER_TASKS, Work, spread, text_chunks
 from turnloom.llm.words import LOWER, join_texts, prefix_hash, range_hash
 
 CAPACITY = 4096
@@ -171,6 +171,9 @@ def piece_ids(path: str) -> PieceIds:
     return PieceIds(path)
 
 
+CLEARED_AFTER_TASKS.append(piece_ids.cache_clear)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 

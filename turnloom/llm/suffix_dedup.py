@@ -53,7 +53,7 @@ from turnloom.llm.words import join_texts, prefix_hash, range_hash
 
 LENGTH = 50
 GRAM = 20
-BYTES_PER_BUCKET = 64 << 20
+BYTES_PER_BUCKET, BLOCK_BYTES = 64 << 20, 2_000_000
 # Arrays over positions and contexts are made for so many at a time.
 SLICE_BYTES, SLICE_ROWS = 1 << 18, 1 << 13
 SAMPLE_EVERY = 4096
@@ -290,7 +290,7 @@ def remove_repeats(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, count = TaskContext.get().partitionId() << 32, 0
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "_text", BLOCK_BYTES):
             ids = batch.column(0).cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             data, _ = join_texts(texts)

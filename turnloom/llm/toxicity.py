@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.common import text_chunks, text_or_empty
+from turnloom.llm.common import CLEARED_AFTER_TASKS, text_chunks, text_or_empty
 
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 2_000, 4_000, 20_000
 LEAST_ROWS = 20
@@ -80,6 +80,9 @@ def _pair(toxic: bytes, ordinary: bytes) -> tuple:
     return _compressor(toxic).compress, _compressor(ordinary).compress
 
 
+CLEARED_AFTER_TASKS.append(_pair.cache_clear)
+
+
 @dataclass(frozen=True)
 class Model:
     toxic: bytes

@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from turnloom.llm.common import mixed
+from turnloom.llm.common import CLEARED_AFTER_TASKS, mixed
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -25,6 +25,9 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+CLEARED_AFTER_TASKS.append(_powers.cache_clear)
+
+
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE^i and BASE^-i modulo 2^64 for i from 0 to size at least."""
     return _powers(max(20, int(size).bit_length()))
