@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from turnloom.functions import last_key_wins
 from turnloom.operators.layout import assign_batches, packed_tokens, truncate, words, write_batches
 from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD
+from turnloom.operators.template_text import is_template_text
 from turnloom.operators.templates import Template
 from turnloom.plans.normalise import normalise, observe_outcomes, rejects, report_object
 from turnloom.plans.prepare import prepare_paths, profile
@@ -184,8 +185,8 @@ def _parser() -> argparse.ArgumentParser:
     prep.add_argument("--chat_template_name")
     prep.add_argument(
         "--template",
-        type=lambda text: Template(**json.loads(text)),
-        help='own template as JSON, like {"prefix": "<", "infix": ":", "suffix": ">"}',
+        type=lambda text: text if is_template_text(text) else Template(**json.loads(text)),
+        help='own template: its text with {{ }} and {%% %%}, or JSON like {"prefix": "<", "infix": ":", "suffix": ">"}',
     )
     prep.add_argument("--column", action="append", default=[], help='keep only such columns, like "id bigint"; default all')
     prep.add_argument("--key", help="field that names a row and orders samples and packs")

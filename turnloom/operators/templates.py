@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.operators.shapes import MESSAGES
+from turnloom.operators.template_text import is_template_text, render_text
 
 logger = logging.getLogger(__name__)
 
@@ -30,29 +31,39 @@ class Template:
     system_glue: str | None = None
 
 
-# Published chat formats.
+# Published chat formats, as template texts.
 TEMPLATES = {
-    "chatml": Template("<|im_start|>", "\n", "<|im_end|>", separator="\n"),
-    "qwen": Template("<|im_start|>", "\n", "<|im_end|>", separator="\n", end="\n"),
-    "llama-3": Template(
-        "<|start_header_id|>", "<|end_header_id|>\n\n", "<|eot_id|>", start="<|begin_of_text|>"
+    "chatml": (
+        "{% for message in messages %}{% if not loop.first %}{{ '\\n' }}{% endif %}"
+        "{{ '<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' }}{% endfor %}"
     ),
-    "gemma-3": Template(
-        "<start_of_turn>",
-        "\n",
-        "<end_of_turn>",
-        separator="\n",
-        start="<bos>",
-        end="\n",
-        role_names={"assistant": "model"},
-        system_glue="\n\n",
+    "qwen": (
+        "{% for message in messages %}"
+        "{{ '<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' + '\\n' }}{% endfor %}"
+    ),
+    "llama-3": (
+        "{{ '<|begin_of_text|>' }}{% for message in messages %}"
+        "{{ '<|start_header_id|>' + message['role'] + '<|end_header_id|>\\n\\n' + message['content']"
+        " + '<|eot_id|>' }}{% endfor %}"
+    ),
+    "gemma-3": (
+        "{{ '<bos>' }}"
+        "{% if messages[0]['role'] == 'system' %}"
+        "{% set opening = messages[0]['content'] + '\\n\\n' %}{% set turns = messages[1:] %}"
+        "{% else %}{% set opening = '' %}{% set turns = messages %}{% endif %}"
+        "{% for message in turns %}"
+        "{% set role = 'model' if message['role'] == 'assistant' else message['role'] %}"
+        "{{ '<start_of_turn>' + role + '\\n' + (opening if loop.first else '') + message['content']"
+        " + '<end_of_turn>\\n' }}{% endfor %}"
     ),
 }
 DEFAULT_TEMPLATE = "chatml"
 
 
-def choose_template(name: str | None) -> Template:
-    """The named template; the default, with a warning, for a name that is not known."""
+def choose_template(name: str | None) -> str:
+    """The template's text; the default, with a warning, for a name that is not known."""
+    if name is not None and is_template_text(name):
+        return name
     if name is not None and name not in TEMPLATES:
         logger.warning(
             "unknown chat template %r, using %r; known: %s",
@@ -87,9 +98,13 @@ def render_chat(
 ) -> Column:
     """Text of a message list, without a generation prompt.
 
-    A NULL role or content is written as empty text, so that no turn is lost.
+    The template is a name, a template's own text or a Template. A NULL role or content is
+    written as empty text, so that no turn is lost.
     """
-    chosen = template if isinstance(template, Template) else choose_template(template)
+    if not isinstance(template, Template):
+        text = render_text(choose_template(template), messages)
+        return F.concat(text, F.when(F.endswith(text, F.lit("\n")), "").otherwise("\n")) if trailing_newline else text
+    chosen = template
 
     def role_name(role: Column) -> Column:
         named = F
