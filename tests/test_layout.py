@@ -11,6 +11,8 @@ from turnloom.operators.layout import (
     truncate,
     words,
     write_batches,
+    write_bucketed,
+    write_steps,
 )
 from turnloom.operators.positions import running_starts
 from turnloom.operators.sampling import seeded_sample
@@ -201,3 +203,22 @@ def test_a_sample_sorts_and_moves_no_rows(spark):
 def test_unset_sample_size_keeps_all(spark):
     for size in (None, 0):
         assert seeded_sample(spark.range(10), size, 1, "id").count() == 10
+
+
+def test_stored_samples_join_their_batches_where_they_lie(spark, folder):
+    rows = spark.range(500).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    tag = folder.rsplit("-", 1)[1].replace("_", "x")
+    samples = write_bucketed(rows, f"samples_{tag}", f"{folder}/samples", ["id"], ["id"], 4)
+    numbered = assign_batches(rows, "id", 5, batch_size=8, epochs=2)
+    batches = write_bucketed(numbered, f"batches_{tag}", f"{folder}/batches", ["id"], ["id"], 4)
+    steps = write_steps(samples, batches, "id", f"steps_{tag}", f"{folder}/steps", 4)
+    joined = batches.hint("merge").join(samples, "id")
+    sums = steps.groupBy("epoch", "step").agg(F.count("*").alias("n"))
+    for frame in (joined, sums):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    expected = {(r.epoch, r.pos, r.step, r.id) for r in numbered.collect()}
+    assert {(r.epoch, r.pos, r.step, r.id) for r in steps.collect()} == expected
+    assert steps.filter("text <> concat('text ', id)").count() == 0
+    assert sums.filter("n <> if(step = 62, 4, 8)").count() == 0
+    with pytest.raises(ValueError, match="pos"):
+        write_steps(rows.withColumn("pos", F.lit(1)), batches, "id", "never", f"{folder}/never", 4)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,7 +13,7 @@ from turnloom.functions import last_key_wins, not_blank, parse_record, python_st
 from turnloom.functions.values import WHITESPACE
 from turnloom.jobs import run_normalise, run_prepare, run_stream
 from turnloom.operators.layout import assign_batches, pack_layout, packed_tokens, train_plan
-from turnloom.operators.layout import truncate, words, write_batches
+from turnloom.operators.layout import truncate, words, write_batches, write_bucketed, write_steps
 from turnloom.operators.messages import normalise_role
 from turnloom.operators.sampling import seeded_sample
 from turnloom.operators.templates import TEMPLATES, render_chat, strict_render, text_mode
@@ -334,6 +335,27 @@ def render_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversations(spark, sf_dir).select("conv_id", F.inline(texts))
 
 
+# Blocks, a name set under a condition, filters, slices and stripped blanks in one template.
+OWN_TEMPLATE = """{#- system text goes into a heading -#}
+{% if messages[0].role == 'system' %}
+  {% set heading = messages[0].content | trim %}
+{% endif %}
+{{ heading }}|{{ messages | length }}
+{% for message in (messages[1:] if messages[0].role == 'system' else messages) -%}
+  {% if message['role'] == 'user' and not loop.last %}
+[{{ loop.index }}] {{ message['content'] | trim }}
+  {% elif message['role'] not in 'user,assistant' or loop.index0 % 2 == 0 %}
+({{ message.role ~ loop.index0 }}) {{ message['content'] }}
+  {%- else %}
+{{- '>' + message['content'] -}}
+  {% endif %}
+{% endfor %}"""
+
+
+def render_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strict_render(_conversations(spark, sf_dir), OWN_TEMPLATE).select("conv_id", "text")
+
+
 def render_null_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third turn has a null content: it stays, as empty text, in typed and VARIANT lists."""
 
@@ -453,6 +475,22 @@ def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("doc_id bigint, pos bigint, batch bigint, step bigint, epoch int").parquet(path)
 
 
+def batch_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of every step, read back from storage by step."""
+    tag = uuid.uuid4().hex
+
+    def place(name: str) -> tuple[str, str]:
+        return f"turnloom_{name}_{tag}", scratch_path(spark, name)
+
+    texts = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    samples = write_bucketed(texts, *place("samples"), ["doc_id"], ["doc_id"], SHARDS)
+    numbered = write_bucketed(batches(spark, sf_dir), *place("batches"), ["doc_id"], ["doc_id"], SHARDS)
+    steps = write_steps(samples, numbered, "doc_id", *place("steps"), SHARDS)
+    shown = F.struct("pos", F.md5("text").alias("digest"))
+    in_order = F.transform(F.array_sort(F.collect_list(shown)), lambda s: s.digest)
+    return steps.groupBy("epoch", "step").agg(F.md5(F.array_join(in_order, ",")).alias("digest"))
+
+
 def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return train_plan(documents, batch_size=8, epochs=3, accumulation=55)
@@ -497,6 +535,7 @@ _QUERIES: dict[str, Query] = {
     "strict_violations": strict_violations,
     "render_chatml": render_strict,
     "render_named": render_named,
+    "render_template_text": render_template_text,
     "render_null_content": render_null_content,
     "text_mode": text_field,
     "sample_train": sample_train,
@@ -509,6 +548,7 @@ _QUERIES: dict[str, Query] = {
     "pack_tokens": pack_tokens,
     "assign_batches": batches,
     "write_batches": batch_files,
+    "batch_texts": batch_texts,
     "train_plan": plan_summary,
 }
 QUERIES = {name: _in_session(query) for name, query in _QUERIES.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +196,46 @@ def write_batches(batches: DataFrame, path: str) -> None:
     )
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, by: Sequence[str], order: Sequence[str], buckets: int
+) -> DataFrame:
+    """Store the rows as a table of one file per bucket of `by`, sorted by `order`; gives the table.
+
+    Tables with the same buckets join and group by them where they lie, without a shuffle. The
+    number of buckets should grow with the data: a bucket is read by one task.
+    """
+    if buckets < 1:
+        raise ValueError("buckets must be 1 or more")
+    (
+        df.repartition(buckets, *by)
+        .sortWithinPartitions(*order)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, *by)
+        .sortBy(*order)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
+def write_steps(
+    samples: DataFrame, batches: DataFrame, key: str, table: str, path: str, buckets: int
+) -> DataFrame:
+    """The samples of every batch, stored by epoch and step in the order of training.
+
+    Samples and batches stored by `write_bucketed` with the same buckets of the key are joined
+    without a shuffle; then each sample moves once per epoch, into the bucket of its step. Keys
+    name samples: a key that several samples share gives each of them at each of its places.
+    """
+    clash = sorted({"epoch", "pos", "batch", "step"} & set(samples.columns))
+    if clash:
+        raise ValueError(f"samples have columns that batches need: {', '.join(clash)}")
+    # A merge join reads the buckets as they are; sides of any size fit.
+    joined = batches.hint("merge").join(samples, key)
+    return write_bucketed(joined, table, path, ["epoch", "step"], ["epoch", "step", "pos"], buckets)
+
+
 def train_plan(
     df: DataFrame, batch_size: int, epochs: int = 1, accumulation: int = 1, devices: int = 1
 ) -> DataFrame:

@@ -272,6 +272,24 @@ SELECT outcome, reason, msg_index, 0, count(*) FROM bad GROUP BY outcome, reason
     ),
     "render_chatml": f"SELECT conv_id, text FROM ({_RENDERED})",
     "render_named": _NAMED,
+    "render_template_text": """
+WITH turns AS (
+  SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n,
+         first_value(role) OVER w = 'system' AS headed, first_value(text) OVER w AS head
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+), shown AS (
+  SELECT *, place - headed::int AS i, n - headed::int AS m,
+         trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS bare
+  FROM turns
+)
+SELECT conv_id, max(CASE WHEN headed THEN trim(head, ' ' || chr(9) || chr(10) || chr(13)) ELSE '' END)
+    || '|' || max(n) || chr(10)
+    || coalesce(string_agg(
+         CASE WHEN role = 'user' AND i < m THEN '[' || i || '] ' || bare || chr(10)
+              WHEN NOT contains('user,assistant', role) OR (i - 1) % 2 = 0
+                THEN '(' || role || (i - 1) || ') ' || text
+              ELSE '>' || text END, '' ORDER BY turn) FILTER (WHERE i > 0), '') AS text
+FROM shown GROUP BY conv_id""",
     "render_null_content": f"""
 WITH holed AS (
   SELECT conv_id, turn, role,
@@ -315,6 +333,9 @@ SELECT place // {PACK_SIZE} AS pack_id, count(*) AS n_tokens, string_agg(token,
 FROM flat GROUP BY place // {PACK_SIZE}""",
     "assign_batches": _BATCHES,
     "write_batches": _BATCHES,
+    "batch_texts": f"""
+SELECT epoch, step, md5(string_agg(md5(text), ',' ORDER BY pos)) AS digest
+FROM ({_BATCHES}) JOIN documents USING (doc_id) GROUP BY epoch, step""",
     "train_plan": _plan("documents", 8, 55, 3),
 }
 
