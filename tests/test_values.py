@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from turnloom.functions import clean_text, is_falsy, last_key_wins, let, parse_record, python_str
-from turnloom.functions import python_strip, typed
+from turnloom.functions import python_literal, python_strip, typed
 from turnloom.functions.values import WHITESPACE
 
 VALUES = """1 0 1.0 1.5 1e22 1e-5 0.0001 0.00012 123456789.125 1e7 1e15 1e16 12345678901234567
@@ -98,3 +98,16 @@ def test_a_line_is_judged_alike_at_any_length(spark):
     )
     rows = parse_record(lines).selectExpr("id", "try_variant_get(record, '$.meta.a', 'int') AS a").collect()
     assert sorted(map(tuple, rows)) == [(0, 2), (1, 2), (2, None), (3, None)]
+
+
+def test_nested_values_print_as_in_python(spark):
+    texts = ["", "it's", 'say "x"', "'\"", "a\\b", "\\", "\n\t\r\x00\x1f\x7f", "\x85\xa0\xad", "é\u0301", "\u200b\u2028\ufeff"]
+    texts += ["\U0001f600", "\ue000", "\U000e0001", "x" * 100_000, "\\\"" * 5_000, "[1, {\"a\": 2}]", "\u3000 "]
+    values = [[t, {t: t}] for t in texts]
+    values += [{"b": 1, "a": [True, False, None, [], {}]}, [1.0, -0.0, 1e22, 1e-7, 123456.789], [10**60, -(10**40)]]
+    values += [[[[["deep"] * 3]]], [float("nan"), float("inf"), float("-inf")]]
+    lines = [json.dumps(v, ensure_ascii=bool(i % 2), indent=2 if i % 3 == 0 else None) for i, v in enumerate(values)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, raw string")
+    got = {r.i: r.t for r in rows.selectExpr("i", f"{python_literal('raw')} AS t").collect()}
+    for i, value in enumerate(values):
+        assert got[i] == str(json.loads(lines[i])), lines[i][:80]

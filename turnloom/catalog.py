@@ -352,6 +352,23 @@ OWN_TEMPLATE = """{#- system text goes into a heading -#}
 {% endfor %}"""
 
 
+def norm_nested_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents that are lists of parts, in three record shapes, with blanks and a long integer."""
+    text = "to_json(array(t.text))"
+    part = f"""concat('[{{"type": "text", "text": ', substr({text}, 2, length({text}) - 2), ', "n": ', t.turn,
+      ', "part": ', t.turn / 4, ', "ok": ', if(t.turn % 2 = 0, 'true', 'false'), '}}, null, 1', repeat('0', 45), ', []]')"""
+
+    def record(field: str, role: str, content: str) -> str:
+        item = f"""concat('{{"{role}": "', t.role, '", "{content}": ', {part}, '}}')"""
+        return f"""concat('{{"{field}": [', array_join(transform(turns, t -> {item}), ', '), ']}}')"""
+
+    line = f"""CASE conv_id % 3 WHEN 0 THEN {record("messages", "role", "content")}
+      WHEN 1 THEN {record("conversations", "from", "value")} ELSE {record("history", "role", "content")} END"""
+    lines = ordered_turns(_table(spark, sf_dir, "conversations")).selectExpr("conv_id", f"{line} AS line")
+    last_key_wins(spark)
+    return _exploded(accepted(normalise(lines)), "conv_id")
+
+
 def render_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strict_render(_conversations(spark, sf_dir), OWN_TEMPLATE).select("conv_id", "text")
 
@@ -536,6 +553,7 @@ _QUERIES: dict[str, Query] = {
     "render_chatml": render_strict,
     "render_named": render_named,
     "render_template_text": render_template_text,
+    "norm_nested_content": norm_nested_content,
     "render_null_content": render_null_content,
     "text_mode": text_field,
     "sample_train": sample_train,

@@ -55,6 +55,17 @@ def loose_json(line: str) -> str:
     return f"from_json({line}, 'variant', {_OPTIONS})"
 
 
+def raw_fields(text: str, *names: str) -> str:
+    """Struct of the named fields of a JSON object, each as it stands in the text; texts decoded."""
+    fields = ",".join(f"{column(name)} string" for name in dict.fromkeys(names))
+    return f"from_json({text}, {quoted(f'struct<{fields}>')}, {_OPTIONS})"
+
+
+def raw_items(text: str) -> str:
+    """The items of a JSON list, each as it stands in the text; texts decoded."""
+    return f"from_json({text}, 'array<string>', {_OPTIONS})"
+
+
 def strict_json(line: str) -> str:
     """Variant of the line, NULL where it is not exactly one JSON value.
 

@@ -101,7 +101,10 @@ def python_float(number: str) -> str:
 
 
 def python_str(v: str) -> str:
-    """str() of a JSON value given as a typed() struct. Lists and objects become JSON text."""
+    """str() of a JSON value given as a typed() struct. Lists and objects become JSON text.
+
+    A VARIANT has no order of keys and no digits beyond its types; python_literal has both.
+    """
     return f"""CASE
       WHEN {v}.kind = 'STRING' THEN {v}.text
       WHEN {v}.kind = 'VOID' THEN 'None'
@@ -111,6 +114,51 @@ def python_str(v: str) -> str:
       ELSE {v}.text END"""
 
 
+# Characters that repr() of a text does not show as they are: all but letters, marks, digits,
+# signs and the plain blank.
+_UNSHOWN = r"[\p{C}\p{Z}&&[^ ]]"
+
+
+def python_repr(text: str) -> str:
+    """repr() of a text given as a column, field or let name."""
+    escaped = (
+        rf"replace(replace(replace(replace({text}, '\\', '\\\\'), '\n', '\\n'), '\r', '\\r'), '\t', '\\t')"
+    )
+    double = f"""(contains({text}, "'") AND NOT contains({text}, '"'))"""
+    inner = f"""if({double}, {escaped}, replace({escaped}, "'", {quoted("\\'")}))"""
+    code = """CASE WHEN ascii(c) < 256 THEN concat('\\\\x', lpad(lower(hex(ascii(c))), 2, '0'))
+      WHEN ascii(c) < 65536 THEN concat('\\\\u', lpad(lower(hex(ascii(c))), 4, '0'))
+      ELSE concat('\\\\U', lpad(lower(hex(ascii(c))), 8, '0')) END"""
+    unshown = quoted(_UNSHOWN)
+    each = f"transform(regexp_extract_all(inside, '(?s).', 0), c -> if(regexp_like(c, {unshown}), {code}, c))"
+    shown = f"if(regexp_like(inside, {unshown}), array_join({each}, ''), inside)"
+    mark = f"""if({double}, '"', "'")"""
+    return let("inside", inner, f"concat({mark}, {shown}, {mark})")
+
+
+def python_literal(raw: str) -> str:
+    """str() of what json.loads() makes of the raw text of a JSON list or object, at any depth.
+
+    Works on the tokens of the text, so order, repeated keys and numbers are as they were written.
+    """
+    # Backslashes come in pairs or open an escape; after this no text holds a bare quote.
+    plain = rf"""replace(replace({raw}, '\\\\', '\\u005c'), '\\"', '\\u0022')"""
+    tokens = f"""regexp_extract_all({plain}, {quoted(r'"[^"]*"|[-+.\w]+|[\[\]{},:]')}, 0)"""
+    text = let("decoded", "from_json(concat('[', t, ']'), 'array<string>')[0]", python_repr("decoded"))
+    number = let("number", "cast(t AS double)", python_float("number"))
+    shown = f"""CASE
+      WHEN startswith(t, '"') THEN {text}
+      WHEN t = ',' THEN ', ' WHEN t = ':' THEN ': '
+      WHEN t IN ('[', ']', '{{', '}}') THEN t
+      WHEN t = 'true' THEN 'True' WHEN t = 'false' THEN 'False' WHEN t = 'null' THEN 'None'
+      WHEN t = 'NaN' THEN 'nan' WHEN t = 'Infinity' THEN 'inf' WHEN t = '-Infinity' THEN '-inf'
+      WHEN t = '-0' THEN '0'
+      WHEN regexp_like(t, '^-?[0-9]+$') THEN t
+      WHEN startswith(t, '-') AND cast(t AS double) = 0 THEN '-0.0'
+      ELSE {number} END"""
+    return f"array_join(transform({tokens}, t -> {shown}), '')"
+
+
 def is_falsy(v: str) -> str:
     """Python's `not value` for a JSON value given as a typed() struct."""
     return f"""CASE
@@ -121,6 +169,21 @@ def is_falsy(v: str) -> str:
       ELSE {v}.text IN ('[]', '{{}}') END"""
 
 
+def needs_raw(v: str) -> str:
+    """Whether str() of a typed() value takes its raw text: lists, objects and very long integers."""
+    return (
+        f"(startswith({v}.kind, 'ARRAY') OR startswith({v}.kind, 'OBJECT')"
+        f" OR ({v}.kind = 'DOUBLE' AND abs({_double(v)}) >= 1e38))"
+    )
+
+
+def raw_text(v: str, raw: str) -> str:
+    """Stripped str() of a typed() value that needs_raw, from its raw JSON text."""
+    return f"""CASE WHEN {v}.text IN ('[]', '{{}}') THEN ''
+      WHEN {v}.kind <> 'DOUBLE' OR regexp_like({raw}, '^-?[0-9]+$') THEN {python_literal(raw)}
+      ELSE {clean_text(v)} END"""
+
+
 def clean_text(v: str) -> str:
     """Stripped str() of a typed() value, or the empty string where the value is falsy."""
     shown = f"CASE WHEN {is_falsy(v)} THEN '' ELSE {python_str(v)} END"

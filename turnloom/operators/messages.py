@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnloom.functions import clean_text, let, quoted, typed_fields
+from turnloom.functions import clean_text, let, needs_raw, quoted, raw_text, typed_fields
 
 # Accepted role names, lower case, by the role they stand for.
 ROLE_NAMES = {
@@ -22,20 +22,27 @@ def normalise_role(role: str) -> str:
     return f"coalesce(try_element_at({table}, {role}), try_element_at({table}, lower({role})))"
 
 
-def check_messages(raw: str) -> str:
-    """Per message: the first rule it breaks (NULL if none), 1-based index, role and content."""
+def check_messages(raw: str, contents: str) -> str:
+    """Per message: the first rule it breaks (NULL if none), 1-based index, role and content.
+
+    `contents` gives the raw JSON text of all contents. It is used only where a content is a list,
+    an object or a very long integer, which a VARIANT does not hold as it was written.
+    """
     read = f"""struct(m IS NULL AS foreign, m.role IS NULL OR m.content IS NULL AS incomplete,
       try_variant_get(m.role, '$', 'string') AS role_in, {typed_fields("m.content")})"""
+    text = f"""CASE WHEN raws IS NOT NULL AND {needs_raw("r")} AND get(raws, at) IS NOT NULL
+      THEN {let("raw", "get(raws, at)", raw_text("r", "raw"))} ELSE {clean_text("r")} END"""
     cleaned = f"""struct(r.foreign, r.incomplete, r.role_in,
-      {normalise_role("r.role_in")} AS role, {clean_text("r")} AS content)"""
+      {normalise_role("r.role_in")} AS role, {text} AS content)"""
     judged = """struct(
       CASE WHEN c.foreign THEN 'not_object'
            WHEN c.incomplete THEN 'missing_key'
            WHEN c.role IS NULL THEN 'bad_role'
            WHEN c.content = '' THEN 'empty_content' END AS reason,
       i + 1 AS msg_index, c.role_in, c.role, c.content)"""
-    steps = f"transform(transform({raw}, m -> {read}), r -> {cleaned})"
-    return f"transform({steps}, (c, i) -> {judged})"
+    raws = f"if(exists(seen, r -> {needs_raw('r')}), {contents}, NULL)"
+    steps = let("raws", raws, f"transform(seen, (r, at) -> {cleaned})")
+    return let("seen", f"transform({raw}, m -> {read})", f"transform({steps}, (c, i) -> {judged})")
 
 
 # A VARIANT holds at most 128 MiB, and the JSON reader takes field names of at most 50,000

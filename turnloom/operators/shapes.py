@@ -7,7 +7,8 @@ that is no JSON object is a NULL struct. The variant cast keeps all of this apar
 
 from __future__ import annotations
 
-from turnloom.functions import is_falsy, let, python_str, typed, variant_path
+from turnloom.functions import column, is_falsy, let, python_str, quoted, raw_fields, raw_items
+from turnloom.functions import typed, variant_path
 
 # Field names of the supported record shapes.
 INPUT_FIELD = "conversations"
@@ -129,3 +130,65 @@ def extract_messages(env: str) -> str:
       WHEN {env}.has_input THEN {searched}
       {later}
       ELSE {searched} END"""
+
+
+def raw_contents(
+    line: str,
+    record: str,
+    env: str,
+    shape: str,
+    input_field: str = INPUT_FIELD,
+    output_field: str = OUTPUT_FIELD,
+) -> str:
+    """The raw JSON text of each message's content, in the order of extract_messages.
+
+    It reads the line again and is meant for the few records with nested contents. A list under a
+    shape is read as text items, and the same items are left out as there. An instruction that
+    was joined with an input is text already and gives NULL.
+    """
+    known = f"{env}.known"
+    fixed = [name for pair in PAIRS for name in pair]
+    top = raw_fields(
+        line, input_field, output_field, STANDARD_FIELD, *INSTRUCTION, *fixed, *FALLBACK_FIELDS
+    )
+    content = ITEM_FORMS[0][1]
+    canonical = f"top.{column(STANDARD_FIELD)}"
+    if output_field != STANDARD_FIELD:
+        own = f"try_variant_get({record}, {variant_path(output_field)}, '{MESSAGES}')"
+        canonical = f"if({own} IS NOT NULL, top.{column(output_field)}, {canonical})"
+    listed = f"transform({raw_items(canonical)}, x -> {raw_fields('x', content)}.{content})"
+
+    def kept(items: str, forms: tuple, name: str) -> str:
+        cases = " ".join(
+            f"WHEN {_has_both('item', form)} THEN struct(i AS at, '{form[1]}' AS field, {quoted(name)} AS list)"
+            for form in forms
+        )
+        return f"filter(transform({items}, (item, i) -> CASE {cases} END), k -> k IS NOT NULL)"
+
+    def chosen(items: str, places: str) -> str:
+        texts = [form[1] for form in ITEM_FORMS]
+        by_field = " ".join(f"WHEN '{t}' THEN own.{t}" for t in texts)
+        own = let("own", raw_fields("get(raws_of, k.at)", *texts), f"CASE k.field {by_field} END")
+        return let("raws_of", raw_items(items), f"transform({places}, k -> {own})")
+
+    conversation = chosen(f"top.{column(input_field)}", kept(f"{env}.listed", ITEM_FORMS, input_field))
+    lists = ", ".join(kept(f"{known}.{name}", ITEM_FORMS[:1], name) for name in FALLBACK_FIELDS)
+    names = " ".join(f"WHEN '{name}' THEN top.{name}" for name in FALLBACK_FIELDS)
+    fallback = let(
+        "places",
+        f"get(filter(array({lists}), ks -> size(ks) > 0), 0)",
+        chosen(f"CASE places[0].list {names} END", "places"),
+    )
+    instruction, extra, reply = INSTRUCTION
+    joined = let("x", typed(f"{known}.{extra}"), is_falsy("x"))
+    user = f"if({known}.{extra} IS NULL OR {joined}, top.{instruction}, NULL)"
+    pairs = " ".join(f"WHEN '{q}' THEN array(top.{q}, top.{a})" for q, a in PAIRS)
+    return let(
+        "top",
+        top,
+        f"""CASE {shape} WHEN 'canonical' THEN {listed}
+          WHEN 'conversation' THEN {conversation}
+          WHEN 'fallback' THEN {fallback}
+          WHEN '{instruction}' THEN array({user}, top.{reply})
+          {pairs} END""",
+    )

@@ -272,6 +272,19 @@ SELECT outcome, reason, msg_index, 0, count(*) FROM bad GROUP BY outcome, reason
     ),
     "render_chatml": f"SELECT conv_id, text FROM ({_RENDERED})",
     "render_named": _NAMED,
+    "norm_nested_content": r"""
+WITH escaped AS (
+  SELECT *, replace(replace(replace(replace(text, '\', '\\'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') AS e
+  FROM conversations
+)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS idx, role,
+    '[{''type'': ''text'', ''text'': '
+    || CASE WHEN contains(text, '''') AND NOT contains(text, '"') THEN '"' || e || '"'
+            ELSE '''' || replace(e, '''', '\''') || '''' END
+    || ', ''n'': ' || turn || ', ''part'': ' || CAST(CAST(turn / 4.0 AS DOUBLE) AS VARCHAR)
+    || ', ''ok'': ' || CASE WHEN turn % 2 = 0 THEN 'True' ELSE 'False' END
+    || '}, None, 1' || repeat('0', 45) || ', []]' AS content
+FROM escaped""",
     "render_template_text": """
 WITH turns AS (
   SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from turnloom.functions import column, let, require_last_key_wins, strict_json
 from turnloom.operators.messages import check_messages, verdict
 from turnloom.operators.shapes import INPUT_FIELD, OUTPUT_FIELD, envelope, extract_messages
+from turnloom.operators.shapes import raw_contents
 
 OUTCOMES = ("processed", "error", "dropped")
 KEYS_SHOWN = 5
@@ -29,7 +30,8 @@ def normalise(
     they would otherwise bring their own copy of the parse along.
     """
     outcome = verdict(column(line), "rec", "env", "picked", "checked")
-    checked = let("checked", check_messages("picked.messages"), outcome)
+    raws = raw_contents(column(line), "rec", "env", "picked.shape", input_field, output_field)
+    checked = let("checked", check_messages("picked.messages", raws), outcome)
     picked = let("picked", extract_messages("env"), checked)
     env = let("env", envelope("rec", input_field, output_field), picked)
     judged = let("rec", strict_json(column(line)), env)
