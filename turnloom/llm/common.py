@@ -18,6 +18,8 @@ from turnloom.sources.scratch import scratch_path
 
 # Just below a power of two, which sizes the tables of the rolling hash.
 CHUNK_BYTES = 1_000_000
+# Rows go to Python in batches of about this size; Spark's own 64 MB are held several times per task.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 # What clears the tables that a task keeps between batches.
 CLEARED_AFTER_TASKS: list[Callable[[], None]] = []
 
@@ -30,6 +32,15 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand rows to Python in small batches; results do not depend on it.
+
+    A size that the session has chosen itself stays.
+    """
+    if spark.conf.get(BATCH_SETTING) == f"{64 << 20}b":  # Spark's default
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 class Work:
     """Tables written to the shared folder, so that lost executors cannot change them.
 
@@ -38,6 +49,7 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession) -> None:
+        small_batches(spark)
         self.spark = spark
         self.paths: list[str] = []
 

@@ -4,11 +4,14 @@ A page is a sequence of leaf blocks, the text between two block-level tags. Each
 as hashed vectors of its tag path (element names, class and id words, parent and child) and of
 its words, with its length, link share, punctuation and place. The network runs over the whole
 page in both directions, so every block is judged in the context of all others; blocks with a
-probability of a half or more are the main text.
-
-It is trained on a bounded sample, TRAIN_PAGES pages of PAGE_BYTES at most by hash order. Weak
-labels come from pages whose markup says what is what (article or main, against nav, aside,
-footer, ads, forms, comments). Each such page is also shown in changed forms: boilerplate from
+probability of a half or more are the main text, and headings right before such a block in the
+same element.
+
+It is trained on a bounded sample, TRAIN_PAGES different pages of PAGE_BYTES at most by hash order;
+the hashes are ordered first, so that only the chosen pages leave their tasks. Weak labels come from
+pages whose markup says what is what (article or main, against nav, aside, footer, ads, forms,
+comments). A class or id says so as a whole: `share-buttons` is made of names of page parts only,
+`share-prices` and `login-story` are not. An article's own header element is a header. Each such page is also shown in changed forms: boilerplate from
 other pages added around and inside, and the telling elements replaced by divisions with the
 usual class names, so that the network does not depend on one template.
 
@@ -35,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.common import text_chunks, text_or_empty
+from turnloom.llm.common import small_batches, text_chunks, text_or_empty
 from turnloom.llm.words import split_words
 
 TRAIN_PAGES, PAGE_BYTES = 240, 50_000
-PATH_SIZE, WORD_SIZE, PLAIN_SIZE, HIDDEN = 96, 48, 6, 16
+PATH_SIZE, WORD_SIZE, PLAIN_SIZE, HIDDEN = 256, 96, 6, 16
 INPUT = PATH_SIZE + WORD_SIZE + PLAIN_SIZE
 EPOCHS, RATE, BATCH = 10, 0.02, 40
 
@@ -77,6 +80,20 @@ ASIDE_WORDS = set(
     "cookie cookies notice consent newsletter subscribe comment comments respond related share "
     "social breadcrumb pagination toc widget form login search".split()
 )
+# What such names are combined with: `site-header`, `nav-list`, `related-posts`.
+PLACE_WORDS = set(
+    "site page top bottom left right main inner outer list item items box bar block area slot unit section "
+    "wrap wrapper container content body text title links link buttons button icons posts articles signup "
+    "popup modal overlay results thread reply replies".split()
+)
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+
+
+@lru_cache(maxsize=20_000)
+def names_aside(word: str) -> bool:
+    """Whether a class or id names a part of the page beside the article."""
+    parts = [p for p in word.split("-") if p and not p.isdigit()]
+    return bool(set(parts) & ASIDE_WORDS) and set(parts) <= ASIDE_WORDS | PLACE_WORDS
 
 
 @dataclass
@@ -154,7 +171,9 @@ def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
     for depth, mark in enumerate(path):
         words = mark.split(".")
         names += [f"{words[0]}."] if depth else []
-        names += [f".{part}" for w in words[1:] for part in {w, *w.split("-")}]
+        # Parts of a name count as such only in names of page parts.
+        names += [f".{part}" for w in words[1:] for part in ({w, *w.split("-")} if names_aside(w) else {w})]
+        names += ["aside name" for w in words[1:] if names_aside(w)]
         names += [f".{w}" for w in words[:1] if w in MAIN | ASIDE]
     if path:
         names.append("leaf " + path[-1].split(".")[0])
@@ -319,8 +338,7 @@ def marked_main(path: tuple[str, ...]) -> bool:
     """What the markup says of a block: the innermost telling element decides."""
     for mark in reversed(path):
         tag, *words = mark.split(".")
-        parts = {p for w in words for p in (w, *w.split("-"))}
-        if tag in ASIDE or parts & ASIDE_WORDS:
+        if tag in ASIDE or any(map(names_aside, words)):
             return False
         if tag in MAIN or set(words) & MAIN_WORDS:
             return True
@@ -370,7 +388,10 @@ def changed_page(
                 some.append(BlockText(text, (*around, mark, *([leaf] if leaf else [])), linked))
         return some
 
-    own = [BlockText(b.text, (*outer, *content, b.path[-1].split(".")[0]), b.linked)
+    # A name that says nothing, made of words of a page.
+    plain = "-".join(re.findall("[a-z]+", texts[draw.integers(len(texts))].lower())[:2])
+    inner = (f"div.{plain}",) if plain and draw.random() < 0.3 and not names_aside(plain) else ()
+    own = [BlockText(b.text, (*outer, *content, *inner, b.path[-1].split(".")[0]), b.linked)
            for b, m in zip(blocks, main) if m]
     rows, flags = [], []
 
@@ -394,6 +415,16 @@ def changed_page(
     return rows, np.array(flags, bool)
 
 
+def with_headings(blocks: list[BlockText], main: np.ndarray) -> np.ndarray:
+    """The main blocks and the headings that stand before one of them in the same element."""
+    main = main.copy()
+    for i in range(len(blocks) - 2, -1, -1):
+        path, following = blocks[i].path, blocks[i + 1].path
+        if main[i + 1] and not main[i] and path and path[-1].split(".")[0] in HEADINGS:
+            main[i] = path[:-1] == following[:-1] and not any(map(names_aside, path[-1].split(".")[1:]))
+    return main
+
+
 def train(pages: list[str]) -> Labeller | None:
     known = [blocks_of(p) for p in pages]
     known = [(b, np.array([marked_main(x.path) for x in b])) for b in known if b]
@@ -408,14 +439,21 @@ def train(pages: list[str]) -> Labeller | None:
     return labeller
 
 
+def training_pages(pages: DataFrame, html: str) -> list[str]:
+    """TRAIN_PAGES different pages by hash; tasks send hashes first, then only what is chosen."""
+    sized = pages.filter(F.octet_length(text_or_empty(html)).between(1, PAGE_BYTES))
+    hashed = sized.select(F.xxhash64(html).alias("h"), F.col(html).alias("page"))
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(TRAIN_PAGES).collect()]
+    chosen = hashed.filter(F.col("h").isin(least)).groupBy("h").agg(F.min("page").alias("page"))
+    return [r["page"] for r in chosen.orderBy("h").collect()]
+
+
 def extract_main_text(
     pages: DataFrame, html: str = "html", keys: tuple[str, ...] = ("page_id", "url")
 ) -> DataFrame:
     """The key columns, text (main blocks joined by an empty line) and n_chars (code points)."""
-    sized = pages.filter(F.octet_length(text_or_empty(html)).between(1, PAGE_BYTES))
-    order = F.xxhash64(html)
-    sample = [r[0] for r in sized.select(html).orderBy(order, html).limit(TRAIN_PAGES).collect()]
-    labeller = train(sample)
+    small_batches(pages.sparkSession)
+    labeller = train(training_pages(pages, html))
     kept = [k for k in keys if k not in ("text", "n_chars")]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,6 +463,7 @@ def extract_main_text(
                 main = [np.array([marked_main(b.path) for b in page], bool) for page in known]
             else:
                 main = labeller.label(known)
+            main = [with_headings(page, flags) for page, flags in zip(known, main)]
             texts = [
                 "\n\n".join(b.text for b, m in zip(page, flags) if m)
                 for page, flags in zip(known, main)

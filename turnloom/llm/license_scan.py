@@ -1,19 +1,29 @@
 """Licence texts and notices by Dice coefficient over word bigrams.
 
 Text is normalised: A-Z lower-cased, every ASCII character but letters and digits a separator.
-Units of four levels are compared with the templates: sentences, lines, paragraphs and the whole
-text. The coefficient is 2 x shared bigrams / (bigrams of both), counting repeats. To reach the
-threshold t, a unit of n bigrams needs a template of n t / (2 - t) to n (2 - t) / t bigrams;
+Units of five levels are compared with the templates: sentences, lines, paragraphs, the whole text
+and windows. The coefficient is 2 x shared bigrams / (bigrams of both), counting repeats. To reach
+the threshold t, a unit of n bigrams needs a template of n t / (2 - t) to n (2 - t) / t bigrams;
 other templates are pruned by size, and units with too few bigrams of any template before that.
 
-Cases: NULL and empty texts match nothing; units of one word have no bigram. Equal scores of one
-licence give the earliest unit, then the finest level. Repeated rows are reported each. An empty
-table gives an empty result. Other columns than the key are left out.
+A window is as long as its template (WINDOW_BIGRAMS or more), starts at a bigram of the template
+and may cross paragraphs, so a licence is found with a title before it and code behind it. A
+window beyond the end of the text counts in full length. Windows with too few bigrams of the template are
+pruned by a count over positions; of neighbouring starts the one that shares most is kept.
+A template of fewer than WHOLE_BIGRAMS bigrams has to be there whole.
+
+Licences quote each other, so units compete: the one with the most evidence (score x shared
+bigrams) is taken first, and what overlaps it is left out. Reported is the first unit per licence.
+
+Cases: NULL and empty texts match nothing; units of one word have no bigram. Equal evidence gives
+the earliest unit, then the finest level, then the licence by name. Repeated rows are reported
+each. An empty table gives an empty result. Other columns than the key are left out.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +31,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.common import group_starts, mixed, text_chunks, text_or_empty
+from turnloom.llm.common import group_starts, mixed, small_batches, text_chunks, text_or_empty
 from turnloom.llm.words import LOWER, Words, join_texts
 
 THRESHOLD = 0.8
-LEVELS = ("sentence", "line", "paragraph", "text")
+LEVELS = ("sentence", "line", "paragraph", "text", "window")
+WINDOW_BIGRAMS, WHOLE_BIGRAMS = 16, 4
+# Bounds that prune leave room for rounding; the coefficient decides.
+ROUNDING = 1e-6
 
 # Public licence notices and texts.
+_GPL_GRANT = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "{name} Public License as published by the Free Software Foundation, either {version}, or (at your "
+    "option) any later version."
+)
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission."
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR "
+    "ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF "
+    "ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
@@ -85,8 +124,58 @@ TEMPLATES = {
     "BSD-3-Clause": [
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE "
         "file.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted "
-        "provided that the following conditions are met:",
+        f"{_BSD_START} {_BSD_NAMES} {_BSD_END}",
+    ],
+    "BSD-2-Clause": [f"{_BSD_START} {_BSD_END}"],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted, provided that the above copyright notice and this permission notice "
+        "appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES "
+        "WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN "
+        "NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES "
+        "OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+        "modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+        "authors be held liable for any damages arising from the use of this software. Permission is "
+        "granted to anyone to use this software for any purpose, including commercial applications, and "
+        "to alter it and redistribute it freely, subject to the following restrictions:",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file "
+        "LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
+    "CC0-1.0": [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide. This software is "
+        "distributed without any warranty.",
+    ],
+    "GPL-2.0": [
+        "Licensed under the GNU General Public License, version 2.",
+        _GPL_GRANT.format(name="General", version="version 2 of the License"),
+    ],
+    "LGPL-2.1": [
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        _GPL_GRANT.replace("program", "library").format(name="Lesser General", version="version 2.1 of the License"),
+    ],
+    "LGPL-3.0": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        _GPL_GRANT.format(name="Lesser General", version="version 3 of the License"),
+    ],
+    "AGPL-3.0": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        _GPL_GRANT.format(name="Affero General", version="version 3 of the License"),
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
@@ -95,6 +184,9 @@ TEMPLATES = {
     ],
 }
 
+for _name, _texts in TEMPLATES.items():
+    _texts.append(f"SPDX-License-Identifier: {_name}")
+
 _WORD = np.ones(256, bool)
 _WORD[:128] = False
 for _low, _high in ((48, 58), (65, 91), (97, 123)):
@@ -140,18 +232,60 @@ def template_counts(templates: dict[str, list[str]]) -> list[tuple[str, Counter,
     return found
 
 
+def _enough(shared: int, size: int, template: int, threshold: float) -> bool:
+    whole = template >= WHOLE_BIGRAMS or shared == template
+    return whole and 2 * shared >= threshold * (size + template)
+
+
+def _windows(
+    at: np.ndarray, ids: list[int], counts: dict[int, int], size: int, threshold: float
+) -> Iterator[tuple[int, int, int]]:
+    """Shared bigrams, first and last bigram of the best windows in one text.
+
+    `at` are the places of the template's bigrams `ids`; a window starts at each of them.
+    """
+    seen: Counter[int] = Counter()
+    shared = end = 0
+    before = None  # the window at the start before, and whether it may still be kept
+    for first, start in enumerate(at.tolist()):
+        while end < len(at) and at[end] < start + size:
+            seen[ids[end]] += 1
+            shared += seen[ids[end]] <= counts[ids[end]]
+            end += 1
+        if before and before[0] < shared:
+            before = None
+        elif before and before[3]:
+            yield before[:3]
+        rising = before is None or before[0] < shared
+        if _enough(shared, size, size, threshold):
+            before = (shared, start, int(at[end - 1]), rising)
+        else:
+            before = None
+        shared -= seen[ids[first]] <= counts[ids[first]]
+        seen[ids[first]] -= 1
+    if before and before[3]:
+        yield before[:3]
+
+
 def matches(
     texts: list[bytes], templates: list[tuple[str, Counter, int]], threshold: float
 ) -> Iterator[tuple[int, str, float, str, int, int]]:
-    """Per text and licence the best unit: text, licence, score, level, first byte, end byte."""
+    """Per text and licence the first unit taken: text, licence, score, level, first byte, end byte."""
     words, units = normalised_words(texts)
     if len(words.first) < 2 or not templates:
         return
     pairs = bigrams(words.hashes())
     known = np.unique(np.array([b for _, c, _ in templates for b in c], np.uint64))
-    hit = known[np.minimum(np.searchsorted(known, pairs), len(known) - 1)] == pairs
-    best: dict[tuple[int, str], tuple] = {}
-    for rank, level in enumerate(LEVELS):
+    number = np.minimum(np.searchsorted(known, pairs), len(known) - 1)
+    hit = known[number] == pairs
+    found: dict[int, list[tuple]] = defaultdict(list)
+
+    def add(text: int, first: int, last: int, rank: int, name: str, score: float, shared: int) -> None:
+        begin, end = int(words.first[first] - words.offset[text]), int(words.end[last] - words.offset[text])
+        found[text].append((-score * shared, begin, rank, name, end, score))
+
+    shortest = min(m for _, _, m in templates)
+    for rank, level in enumerate(LEVELS[:-1]):
         unit = units[level]
         starts = group_starts(unit)
         ends = np.append(starts[1:], len(unit))
@@ -159,21 +293,48 @@ def matches(
         size = ends - starts - 1
         shared = hits[ends - 1] - hits[starts]
         # 2 shared / (size + template) >= t and shared <= template
-        for i in np.flatnonzero((size > 0) & (shared * (2 - threshold) >= threshold * size)):
+        likely = (size * (2 - threshold) >= threshold * shortest - ROUNDING) & (
+            shared * (2 - threshold) >= threshold * size - ROUNDING
+        )
+        for i in np.flatnonzero((size > 0) & likely):
             own = Counter(pairs[starts[i] : ends[i] - 1].tolist())
             n = int(size[i])
             for name, counts, m in templates:
-                if not threshold * n <= (2 - threshold) * m or not threshold * m <= (2 - threshold) * n:
-                    continue
-                score = 2 * sum((own & counts).values()) / (n + m)
-                if score < threshold:
+                if threshold * max(n, m) > (2 - threshold) * min(n, m) + ROUNDING:
                     continue
-                text = int(words.text[starts[i]])
-                begin = int(words.first[starts[i]] - words.offset[text])
-                value = (-score, begin, rank, int(words.end[ends[i] - 1] - words.offset[text]))
-                best[text, name] = min(best.get((text, name), value), value)
-    for (text, name), (score, begin, rank, end) in sorted(best.items()):
-        yield text, name, -score, LEVELS[rank], begin, end
+                both = sum((own & counts).values())
+                if _enough(both, n, m, threshold):
+                    add(int(words.text[starts[i]]), starts[i], ends[i] - 1, rank, name, 2 * both / (n + m), both)
+
+    places = np.flatnonzero(hit & (words.text[1:] == words.text[:-1]))
+    numbers, owner = number[places], words.text[places]
+    limit = np.searchsorted(owner, owner, "right")
+    for name, counts, m in templates:
+        if m < WINDOW_BIGRAMS or not len(places):
+            continue
+        wanted = np.isin(known, np.array(list(counts), np.uint64))[numbers]
+        some = np.flatnonzero(wanted)
+        at, text = places[some], owner[some]
+        last = np.minimum(np.searchsorted(at, at + m), np.searchsorted(some, limit[some]))
+        dense = last - np.arange(len(at)) >= threshold * m - ROUNDING
+        by_number = {int(np.searchsorted(known, np.uint64(b))): c for b, c in counts.items()}
+        for one in np.unique(text[dense]):
+            first, end = np.searchsorted(text, [one, one + 1])
+            ids = numbers[some[first:end]].tolist()
+            for both, a, b in _windows(at[first:end], ids, by_number, m, threshold):
+                add(int(one), a, b + 1, len(LEVELS) - 1, name, both / m, both)
+
+    for text in sorted(found):
+        taken: list[tuple[int, int]] = []
+        best: dict[str, tuple] = {}
+        for _, begin, rank, name, end, score in sorted(found[text]):
+            i = bisect_left(taken, (begin, begin))
+            if (i and taken[i - 1][1] > begin) or (i < len(taken) and taken[i][0] < end):
+                continue
+            taken.insert(i, (begin, end))
+            best.setdefault(name, (score, LEVELS[rank], begin, end))
+        for name in sorted(best):
+            yield text, name, *best[name]
 
 
 def scan_licenses(
@@ -183,9 +344,10 @@ def scan_licenses(
     templates: dict[str, list[str]] | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """key, license, score, level, start, end (bytes): the best unit per document and licence."""
+    """key, license, score, level, start, end (bytes): the first unit taken per document and licence."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
+    small_batches(docs.sparkSession)
     counted = template_counts(TEMPLATES if templates is None else templates)
     names = [key, "license", "score", "level", "start", "end"]
 

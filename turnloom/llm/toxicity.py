@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.common import CLEARED_AFTER_TASKS, text_chunks, text_or_empty
+from turnloom.llm.common import CLEARED_AFTER_TASKS, small_batches, text_chunks, text_or_empty
 
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 2_000, 4_000, 20_000
 LEAST_ROWS = 20
@@ -214,6 +214,7 @@ def held_out(key: str) -> Column:
 
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Add score (0 to 1) and predicted (score >= 0.5) to every row."""
+    small_batches(docs.sparkSession)
     sample = sorted((bool(r["toxic"]), (r[text] or "").encode()) for r in training_rows(docs, labels, key, text))
     order = np.random.default_rng(7).permutation(len(sample))
     toxic = [sample[i][1] for i in order if sample[i][0]]
