@@ -12,6 +12,7 @@ import corpus_pipeline
 from turnloom.llm import decontaminate, html_blocks, license_scan, ngram_join, packing, queries
 from turnloom.llm import sharding, suffix_dedup, toxicity, url_filter, vptree
 from turnloom.llm.common import Work
+from turnloom.llm.words import split_words
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -308,6 +309,41 @@ def test_toxicity(spark):
     assert len(few) == 1
 
 
+def test_decontamination_space_is_fitted_on_every_passage(spark):
+    """Statistics by brute force; the squares of all passages, copies too, add up to one each way."""
+    draw = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = [" ".join(draw.choices(vocabulary, k=16)) for _ in range(600)]
+    texts += [texts[0]] * 500
+    docs = spark.createDataFrame([(t,) for t in [*texts, "", None]], "_text string").repartition(6)
+    space = decontaminate.fit_space(docs)
+    terms = [decontaminate.terms_of(split_words([t.encode()]).hashes()) for t in texts]
+    tf = np.array([np.bincount(t, minlength=decontaminate.TERMS) for t in terms], float)
+    idf, mean, count = decontaminate.term_statistics(docs)
+    assert count == len(texts)
+    np.testing.assert_allclose(mean, tf.mean(axis=0))
+    np.testing.assert_allclose(idf, np.log((count + 1) / ((tf > 0).sum(axis=0) + 1)))
+    latent = tf @ space.basis
+    np.testing.assert_allclose(latent.sum(axis=0), 0, atol=0.05)
+    np.testing.assert_allclose(latent.T @ latent, np.eye(decontaminate.RANK), atol=0.01)
+
+
+def test_decontamination_adds_up_by_passage_and_term():
+    draw = random.Random(4)
+    texts = [" ".join(draw.choices("abcdefghij", k=n)).encode() for n in (0, 1, 16, 17, 33, 9_000, 40)]
+    words = split_words(texts)
+    terms, (first, text) = decontaminate.terms_of(words.hashes()), decontaminate.step_starts(words)
+    tf, ends = np.zeros((len(first), decontaminate.TERMS)), np.cumsum(words.per_text())
+    for i, (a, t) in enumerate(zip(first, text)):
+        tf[i] = np.bincount(terms[a : min(a + 32, ends[t])], minlength=decontaminate.TERMS)
+    rows = np.random.default_rng(1).standard_normal((decontaminate.TERMS, 3))
+    got = decontaminate.term_rows(terms, first, text, rows)
+    np.testing.assert_allclose(got, tf @ rows)
+    total = np.zeros_like(rows)
+    decontaminate.add_to_terms(total, terms, first, text, got)
+    np.testing.assert_allclose(total, tf.T @ got, atol=1e-9)
+
+
 def test_decontamination(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()

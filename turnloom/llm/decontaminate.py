@@ -1,13 +1,13 @@
 """Benchmark items in documents by latent semantic retrieval and alignment.
 
 1. Words are hashed to TERMS terms. How many 16-word steps hold each term is counted over all
-   documents and gives the inverse document frequencies.
+   documents and gives the inverse document frequencies; the mean passage is added up with it.
 2. The latent space is the span of the leading right singular vectors of the passages' TF-IDF
    matrix A, found by a randomised subspace iteration: every task adds up its part of
    A'(A W) for a random W, the parts are added term by term, and the orthonormal basis of the
    sum is rotated and scaled with the small matrix (AQ)'(AQ), added up likewise. Passages are
-   centred and scaled by the singular values. It is fitted on FIT_PASSAGES different passages,
-   the first by a hash of their words; every passage is indexed and searched.
+   centred and scaled by the singular values. A has every passage of every document, copies
+   included; it is never built: rows of W are added up by passage, and the results by term.
 3. Passages of all documents, 32 words every 16, are compared with the passages of all items.
    A pair with a cosine of COSINE or more is a candidate; less is asked, down to LEAST_COSINE,
    for an item's passage that is shorter than the document's.
@@ -36,12 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.common import Work, mixed, parallelism, text_chunks, text_or_empty
-from turnloom.llm.words import Words, prefix_hash, range_hash, split_words
+from turnloom.llm.common import Work, group_starts, mixed, text_chunks, text_or_empty
+from turnloom.llm.words import Words, split_words
 
 TERMS, RANK, SPARE_RANK = 4096, 64, 8
 STEP, PASSAGE = 16, 32
-FIT_PASSAGES = 40_000
 # Tasks' arrays are added this many at a time.
 TREE = 256
 COSINE, PART_COSINE, LEAST_COSINE = 0.5, 0.6, 0.36
@@ -50,8 +49,8 @@ ITEMS_PER_PASS = 5_000
 ROW_TERMS = 64
 
 
-def terms_of(words: Words) -> np.ndarray:
-    return (mixed(words.hashes()) % np.uint64(TERMS)).astype(np.int64)
+def terms_of(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes) % np.uint64(TERMS)).astype(np.int64)
 
 
 def step_starts(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -71,25 +70,58 @@ def passage_sums(values: np.ndarray, text: np.ndarray) -> np.ndarray:
     return result
 
 
+def run_sums(rows: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of rows[index] over runs of at most STEP entries, which begin at `first`."""
+    place = np.full((len(first), STEP), len(rows))
+    place[np.arange(STEP) < np.diff(np.append(first, len(index)))[:, None]] = index
+    rows = np.concatenate([rows, np.zeros_like(rows, shape=(1, rows.shape[1]))])
+    total = np.zeros((len(first), rows.shape[1]), rows.dtype)
+    # a few hundred runs at a time stay in the processor's cache
+    some = np.empty((512, rows.shape[1]), rows.dtype)
+    for at in range(0, len(first), 512):
+        part, of_part = total[at : at + 512], place[at : at + 512]
+        for i in range(STEP):
+            part += np.take(rows, of_part[:, i], axis=0, out=some[: len(part)], mode="clip")
+    return total
+
+
+def term_rows(terms: np.ndarray, first: np.ndarray, text: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each passage's terms."""
+    return passage_sums(run_sums(rows, terms, first), text)
+
+
+def add_to_terms(
+    total: np.ndarray, terms: np.ndarray, first: np.ndarray, text: np.ndarray, values: np.ndarray
+) -> None:
+    """Adds each passage's row of values to the row of each of its terms."""
+    if not len(terms):
+        return
+    # a step is in its own passage and in the one before
+    each = values.copy()
+    same = np.flatnonzero(text[1:] == text[:-1])
+    each[same + 1] += values[same]
+    order = np.argsort(terms.astype(np.uint16), kind="stable")
+    step = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(terms))))[order]
+    starts = group_starts(terms[order])
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    begins = np.flatnonzero(place % STEP == 0)
+    owner = terms[order[begins]]
+    of_term = group_starts(owner)
+    total[owner[of_term]] += np.add.reduceat(run_sums(each, step, begins), of_term, axis=0)
+
+
 @dataclass(frozen=True)
 class Space:
     """idf-weighted, centred and scaled basis: a row per term."""
 
     basis: np.ndarray
 
-    def passages(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def passages(
+        self, words: Words, hashes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Unit latent vectors of all passages, their first words and texts."""
         first, text = step_starts(words)
-        if not len(first):
-            return np.zeros((0, RANK), np.float32), first, text
-        # a few thousand steps at a time keep the gathered rows small
-        terms, sums = terms_of(words), []
-        for at in range(0, len(first), 512):
-            low = first[at]
-            high = first[at + 512] if at + 512 < len(first) else len(terms)
-            rows = self.basis[terms[low:high]]
-            sums.append(np.add.reduceat(rows, first[at : at + 512] - low, axis=0))
-        latent = passage_sums(np.concatenate(sums), text)
+        latent = term_rows(terms_of(hashes), first, text, self.basis)
         norm = np.sqrt((latent * latent).sum(axis=1, keepdims=True))
         return latent / np.maximum(norm, 1e-9), first, text
 
@@ -132,96 +164,74 @@ def steps_with_term(terms: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.bincount(term[new], minlength=TERMS)
 
 
-def inverse_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """idf of every term over all steps of all documents, and the number of steps."""
+def term_statistics(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """idf of every term over all steps of all documents, its mean number in a passage, passages.
+
+    A passage starts with every step, so there are as many of both.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TERMS + 1)
+        total = np.zeros((3, TERMS))
         for _, chunk in text_chunks(batches, "_text"):
             words = split_words(chunk)
-            first, _ = step_starts(words)
-            total[:TERMS] += steps_with_term(terms_of(words), first)
-            total[TERMS] += len(first)
+            terms, (first, text) = terms_of(words.hashes()), step_starts(words)
+            total[0] += steps_with_term(terms, first)
+            # a step is in its own passage and, but for a text's first one, in the one before
+            times = np.ones(len(first))
+            times[1:] += text[1:] == text[:-1]
+            each = np.repeat(times, np.diff(np.append(first, len(terms))))
+            total[1] += np.bincount(terms, each, TERMS)
+            total[2, 0] += len(first)
         yield _pieces(total, 1)
 
     total = _sum_rows(texts.mapInArrow(count, PIECES))
     if not len(total):
-        return np.zeros(TERMS), 0
-    return np.log((total[TERMS] + 1) / (total[:TERMS] + 1)), int(total[TERMS])
+        return np.zeros(TERMS), np.zeros(TERMS), 0
+    within, times, (passages, *_) = total.reshape(3, TERMS)
+    return np.log((passages + 1) / (within + 1)), times / max(1.0, passages), int(passages)
 
 
-def fit_space(texts: DataFrame, work: Work) -> Space | None:
-    idf, steps = inverse_frequencies(texts)
-    if not steps:
+def fit_space(texts: DataFrame) -> Space | None:
+    idf, mean, count = term_statistics(texts)
+    if not count:
         return None
-    # Equal passages count once, so a few more than FIT_PASSAGES are asked for.
-    share = min(1.0, 2 * FIT_PASSAGES / steps)
+    centre = idf * mean
+    width = RANK + SPARE_RANK
+    start = np.random.default_rng(17).standard_normal((TERMS, width))
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Terms of the passages with the smallest hashes."""
+    def projected(
+        batches: Iterator[pa.RecordBatch], rows: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Terms, steps and texts of each chunk, and its centred passages times the rows."""
+        weighted, shift = (idf[:, None] * rows).astype(np.float32), (centre @ rows).astype(np.float32)
         for _, chunk in text_chunks(batches, "_text"):
             words = split_words(chunk)
-            terms, (first, text) = terms_of(words), step_starts(words)
-            ends = np.cumsum(words.per_text())[text] if len(first) else first
-            last = np.minimum(first + PASSAGE, ends) - 1
-            luck = range_hash(prefix_hash(words.data), words.first[first], words.end[last]) / 2.0**64
-            some = np.flatnonzero(luck < share)
-            rows = [terms[a : min(a + PASSAGE, e)].astype("<u2").tobytes() for a, e in zip(first[some], ends[some])]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["terms"])
-
-    different = texts.mapInArrow(choose, "terms binary").distinct()
-    ordered = different.orderBy(F.xxhash64("terms"), "terms").limit(FIT_PASSAGES)
-    passages = work.put(ordered.repartition(parallelism(texts.sparkSession)), "passages")
-
-    def matrix(values: list[bytes]) -> np.ndarray:
-        a = np.zeros((len(values), TERMS), np.float32)
-        for i, value in enumerate(values):
-            np.add.at(a[i], np.frombuffer(value, "<u2"), 1)
-        return a * idf.astype(np.float32)
-
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in batches:
-            values = batch.column(0).to_pylist()
-            for at in range(0, len(values), 500):
-                yield matrix(values[at : at + 500])
-
-    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TERMS + 1)
-        for a in chunks(batches):
-            total[:TERMS] += a.sum(axis=0)
-            total[TERMS] += (a > 0).any(axis=1).sum()
-        yield _pieces(total, 1)
-
-    added = _sum_rows(passages.mapInArrow(mean, PIECES))
-    rows = max(1.0, added[TERMS])
-    centre = (added[:TERMS] / rows).astype(np.float32)
-    width = RANK + SPARE_RANK
-    start = np.random.default_rng(17).standard_normal((TERMS, width)).astype(np.float32)
+            terms, (first, text) = terms_of(words.hashes()), step_starts(words)
+            yield terms, first, text, term_rows(terms, first, text, weighted) - shift
 
     def iterate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((TERMS, width))
-        for a in chunks(batches):
-            a -= centre
-            total += a.T @ (a @ start)
-        yield _pieces(total, TERMS // ROW_TERMS)
+        total, summed = np.zeros((TERMS, width)), np.zeros(width)
+        for terms, first, text, y in projected(batches, start):
+            add_to_terms(total, terms, first, text, y)
+            summed += y.sum(axis=0, dtype=np.float64)
+        yield _pieces(idf[:, None] * total - np.outer(centre, summed), TERMS // ROW_TERMS)
 
-    spread_ = _sum_rows(passages.mapInArrow(iterate, PIECES)).reshape(TERMS, width)
-    basis = np.linalg.qr(spread_)[0].astype(np.float32)
+    spread_ = _sum_rows(texts.mapInArrow(iterate, PIECES)).reshape(TERMS, width)
+    basis = np.linalg.qr(spread_)[0]
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
-        for a in chunks(batches):
-            y = (a - centre) @ basis
+        for *_, y in projected(batches, basis):
             total += y.T @ y
         yield _pieces(total, 1)
 
-    small = _sum_rows(passages.mapInArrow(project, PIECES)).reshape(width, width)
+    small = _sum_rows(texts.mapInArrow(project, PIECES)).reshape(width, width)
     value, vector = np.linalg.eigh(small)
     best = np.argsort(value)[::-1][:RANK]
     scale = 1 / np.sqrt(np.maximum(value[best], 1e-6 * max(value.max(), 1e-12)))
     rotated = basis @ vector[:, best] * scale
     # A passage's centre follows its number of words: the mean per word is taken from each term.
-    words = max(1.0, float((centre[idf > 0] / idf[idf > 0]).sum()))
+    words = max(1.0, float(mean[idf > 0].sum()))
     weighted = idf[:, None] * rotated - (centre @ rotated / words)[None, :]
     return Space(weighted.astype(np.float32))
 
@@ -258,19 +268,19 @@ class Items:
     least: np.ndarray
 
 
-def _hashed(texts: list[bytes]) -> list[list[int]]:
-    words = split_words(texts)
+def _hashed(words: Words, hashes: np.ndarray) -> list[list[int]]:
     ends = np.cumsum(words.per_text())
-    hashed = words.hashes().tolist()
+    hashed = hashes.tolist()
     return [hashed[e - n : e] for e, n in zip(ends, words.per_text())]
 
 
 def prepare_items(texts: list[str], answers: list[str | None], space: Space) -> Items:
-    raw = [t.encode() for t in texts]
+    split = split_words([t.encode() for t in texts])
+    hashes = split.hashes()
     last = [re.split(r"(?<=[.!?])\s+|\n+", t.strip())[-1] for t in texts]
-    given = [(a if a is not None else s).encode() for a, s in zip(answers, last)]
-    latent, first, owner = space.passages(split_words(raw))
-    words = _hashed(raw)
+    given = split_words([(a if a is not None else s).encode() for a, s in zip(answers, last)])
+    latent, first, owner = space.passages(split, hashes)
+    words = _hashed(split, hashes)
     ends = np.cumsum([len(w) for w in words])
     # The end of an item is in its last full passage too. An item shorter than a passage fills
     # only a part of any passage that holds it.
@@ -279,7 +289,7 @@ def prepare_items(texts: list[str], answers: list[str | None], space: Space) ->
     kept = starts | (filled == 1)
     latent, owner, filled = latent[kept], owner[kept], filled[kept]
     least = np.where(filled == 1, COSINE, np.maximum(LEAST_COSINE, PART_COSINE * np.sqrt(filled)))
-    return Items(words, _hashed(given), latent, owner, [frozenset(w) for w in words], least.astype(np.float32))
+    return Items(words, _hashed(given, given.hashes()), latent, owner, [frozenset(w) for w in words], least.astype(np.float32))
 
 
 def align(item: list[int], answer: list[int], near: list[int]) -> tuple[float, bool]:
@@ -292,10 +302,10 @@ def found_items(
 ) -> Iterator[tuple[int, int, float, float, bool, int]]:
     """Text, item, cosine, shared part, answer found, first word of the passage; best per pair."""
     words = split_words(texts)
-    latent, first, text = space.passages(words)
+    hashed = words.hashes()
+    latent, first, text = space.passages(words, hashed)
     if not len(first):
         return
-    hashed = words.hashes()
     ends = np.cumsum(words.per_text())
     starts = ends - words.per_text()
     best: dict[tuple[int, int], tuple] = {}
@@ -337,7 +347,7 @@ def find_benchmark_items(
         f"`{item}` {benchmark.schema[item].dataType.simpleString()}, "
         "cosine double, shared double, answer_found boolean, first_word bigint"
     )
-    space = fit_space(narrow.select("_text"), work)
+    space = fit_space(narrow.select("_text"))
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None).cast("string")
     listed = benchmark.select(item, F.col(item_text).alias("_item"), answer.alias("_answer"))
     listed = work.put(
