@@ -148,6 +148,23 @@ def test_piece_ids_equal_the_tokenizer():
         assert ids[end - n : end].tolist() == own
 
 
+def test_piece_ids_are_remembered_within_the_bytes_allowed(monkeypatch):
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{k:x}" for k in range(2500)).encode() for i in range(80)]
+    encoder, asked = packing.PieceIds(packing.tokenizer_path()), []
+    plain = encoder._ids_of
+    monkeypatch.setattr(encoder, "_ids_of", lambda pieces: asked.append(len(pieces)) or plain(pieces))
+    texts = [text.translate(bytes.maketrans(b"0123456789", b"ghijklmnop")) for text in texts]
+    first = [encoder.encode(texts[at : at + 10])[0] for at in range(0, 80, 10)]
+    assert sum(asked) == 200_000
+    again = [encoder.encode(texts[at : at + 10])[0] for at in range(0, 80, 10)]
+    assert sum(asked) == 200_000  # all are known: before, room for 147,000 pieces at most
+    monkeypatch.setattr(packing, "MEMO_BYTES", 1 << 20)
+    less = [encoder.encode(texts[at : at + 10])[0] for at in range(0, 80, 10)]
+    assert sum(asked) > 200_000
+    for a, b, c in zip(first, again, less):
+        assert a.tobytes() == b.tobytes() == c.tobytes()
+
+
 def test_plan_pairs_large_items_and_fills_gaps():
     bins = packing.plan_bins({70: 2, 40: 3, 30: 2, 10: 1}, 100)
     used = [sum(n * t for n, t in entries) for count, entries in bins for _ in range(count)]

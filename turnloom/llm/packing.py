@@ -30,8 +30,8 @@ from turnloom.llm.words import LOWER, join_texts, prefix_hash, range_hash
 
 CAPACITY = 4096
 CLOSING_ID = 1
-# Remembered pieces per worker; an entry takes about ENTRY_BYTES beside its ids.
-MEMO_BYTES, ENTRY_BYTES = 24 << 20, 160
+# Remembered pieces per worker; an entry takes ENTRY_BYTES beside its ids.
+MEMO_BYTES, ENTRY_BYTES = 24 << 20, 16
 # More text at a time repeats more pieces, which are looked up once each; the arrays over the
 # pieces take some 60 bytes per byte of text.
 TOKENIZED_BYTES = 1_000_000
@@ -100,39 +100,50 @@ class PieceIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, bytes] = {}
-        self.size = 0
+        self._forget()
 
     def _forget(self) -> None:
-        """Before the ids of a chunk are looked up: all of its pieces have to stay known."""
-        if self.size > MEMO_BYTES:
-            self.known, self.size = {}, 0
-
-    def _learn(self, new: list[tuple[int, str]]) -> None:
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            text = " ".join(piece for _, piece in some)
-            found = self.tokenizer.encode(text, add_special_tokens=False)
-            raw = np.array(found.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))).tolist()
-            for (key, _), first, end in zip(some, cuts, cuts[1:]):
-                self.known[key] = raw[first:end]
-                self.size += ENTRY_BYTES + end - first
+        # hashes of pieces, sorted, and where the ids of each lie in the pool
+        self.known = np.zeros(0, np.uint64)
+        self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, "<u4")
+
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has."""
+        ids, counts = [], []
+        for at in range(0, len(pieces), 2000):
+            some = pieces[at : at + 2000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids.append(np.array(found.ids, "<u4"))
+            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(counts).astype(np.int32)
+
+    def _learn(self, at: np.ndarray, keys: np.ndarray, pieces: list[str]) -> None:
+        """Remember new pieces, whose hashes belong before the known ones `at`."""
+        ids, count = self._ids_of(pieces)
+        first = (len(self.pool) + np.cumsum(count) - count).astype(np.int32)
+        self.known = np.insert(self.known, at, keys)
+        self.first, self.count = np.insert(self.first, at, first), np.insert(self.count, at, count)
+        self.pool = np.concatenate([self.pool, ids])
 
     def _plain_ids(self, data: np.ndarray, kind: np.ndarray, offset: np.ndarray) -> tuple:
         first, end = piece_bounds(data, kind)
         hashes = range_hash(prefix_hash(data), first, end)
         keys, sample, each = np.unique(hashes, return_index=True, return_inverse=True)
-        self._forget()
-        names, known = keys.tolist(), self.known
-        if any(k not in known for k in names):
-            raw, a, b = data.tobytes(), first[sample].tolist(), end[sample].tolist()
-            self._learn([(k, raw[x:y].decode()) for k, x, y in zip(names, a, b) if k not in known])
-        values = [known[k] for k in names]
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        pool = np.frombuffer(b"".join(values), "<u4")
+        # Only before a chunk is looked up: all of its pieces have to stay known.
+        if ENTRY_BYTES * len(self.known) + self.pool.nbytes > MEMO_BYTES:
+            self._forget()
+        at = np.searchsorted(self.known, keys)
+        new = at == len(self.known)
+        new[~new] = self.known[at[~new]] != keys[~new]
+        if new.any():
+            raw, some = data.tobytes(), sample[new]
+            bounds = zip(first[some].tolist(), end[some].tolist())
+            self._learn(at[new], keys[new], [raw[x:y].decode() for x, y in bounds])
+            at = np.searchsorted(self.known, keys)
+        lengths = self.count[at].astype(np.int64)
         of_piece = lengths[each]
-        ids = pool[spread((np.cumsum(lengths) - lengths)[each], of_piece)]
+        ids = self.pool[spread(self.first[at].astype(np.int64)[each], of_piece)]
         text = np.searchsorted(offset, first, "right") - 1
         return ids, np.bincount(text, of_piece, len(offset) - 1).astype(np.int64)
 
