@@ -163,6 +163,23 @@ def test_normalise_job_from_file_to_file(spark, folder):
     ]
 
 
+def test_normalise_job_writes_compressed_files(spark, folder):
+    path = write(folder, "in.jsonl", '{"prompt":"q","response":"r"}\n{"foo":1}\n' * 50)
+    bad = os.path.join(folder, "bad")
+    for name, options in (
+        ("plain", {"rejects_path": bad}),
+        ("ordered", {"keep_order": True}),
+        ("fates", {"by_outcome": True}),
+    ):
+        out = os.path.join(folder, name)
+        counts = run_normalise(spark, path, out, compression="gzip", **options)
+        assert counts == {"processed": 50, "error": 50, "dropped": 0}
+        assert spark.read.text(out).count() == (100 if name == "fates" else 50)
+    assert spark.read.json(bad).count() == 50
+    written = [f for _, _, files in os.walk(folder) for f in files if f.startswith("part-")]
+    assert len(written) >= 5 and all(f.endswith(".gz") for f in written)
+
+
 def test_normalise_job_in_one_pass_by_outcome(spark, folder):
     path = write(
         folder, "in.jsonl", '{"prompt":"q"}\n\n{"foo":1,"bar":2}\n{"messages":[{"role":"x","content":"y"}]}\n'

@@ -30,6 +30,8 @@ SEED = 3407
 PACK_SIZE = 512
 MAX_WORDS = 128
 SHARDS = 16
+# Of written samples and rejects, which hold each conversation once per dialect.
+PACKED = "gzip"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +75,13 @@ def _write_files(lines: DataFrame, *order: str) -> str:
     return path
 
 
+def _line_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write all raw lines as their tasks make them; only the turns are shuffled before."""
+    path = scratch_path(spark, "lines")
+    raw_lines(spark, sf_dir).select("line").write.text(path)
+    return path
+
+
 def _turn_files(spark: SparkSession, sf_dir: str) -> str:
     """Every turn as a JSON line, with a blank line before each conversation."""
     turns = _table(spark, sf_dir, "conversations")
@@ -222,9 +231,9 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from files to files, then the messages it wrote."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
+    source = _line_files(spark, sf_dir)
     target = scratch_path(spark, "normalised")
-    run_normalise(spark, source, target)
+    run_normalise(spark, source, target, compression=PACKED)
     written = _exploded(load_dataset(spark, target))
     return written.groupBy("idx", "role", "content").agg(F.count(F.lit(1)).alias("n"))
 
@@ -248,9 +257,9 @@ def normalise_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass job: every line's fate from the folder of its outcome."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
+    source = _line_files(spark, sf_dir)
     target = scratch_path(spark, "outcomes")
-    run_normalise(spark, source, target, by_outcome=True)
+    run_normalise(spark, source, target, by_outcome=True, compression=PACKED)
     schema = "outcome string, reason string, msg_index bigint, messages array<struct<role:string>>"
     written = load_dataset(spark, target, schema)
     n_messages = F.coalesce(F.size("messages"), F.lit(0)).cast("bigint")
@@ -261,7 +270,7 @@ def normalise_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome counts that the job returns, however it is run."""
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
+    source = _line_files(spark, sf_dir)
     modes = {
         "plain": {},
         "keep_order": {"keep_order": True},
@@ -271,15 +280,17 @@ def normalise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [
         (mode, outcome, n)
         for mode, options in modes.items()
-        for outcome, n in run_normalise(spark, source, scratch_path(spark, mode), **options).items()
+        for outcome, n in run_normalise(
+            spark, source, scratch_path(spark, mode), compression=PACKED, **options
+        ).items()
     ]
     return spark.createDataFrame(rows, "mode string, outcome string, n bigint")
 
 
 def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _write_files(raw_lines(spark, sf_dir), "conv_id", "dialect", "part")
+    source = _line_files(spark, sf_dir)
     target = scratch_path(spark, "stream")
-    judged = normalise_stream(spark, f"{source}/*")
+    judged = normalise_stream(spark, source)
     write_stream(judged, target, scratch_path(spark, "progress")).awaitTermination()
     written = spark.read.schema(judged.schema).parquet(target)
     origin = F.from_json("line", "conv_id bigint, dialect string").alias("o")

@@ -108,10 +108,15 @@ def read_placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _stripped(placed.select("file_path", block, "row_id", "value"))
 
 
-def write_jsonl(df: DataFrame, path: str, columns: list[str | Column] | None = None) -> None:
+def write_jsonl(
+    df: DataFrame,
+    path: str,
+    columns: list[str | Column] | None = None,
+    compression: str | None = None,
+) -> None:
     """One JSON object per row into part files below path; replaces what is there."""
     fields = F.struct(*(columns or df.columns))
-    df.select(F.to_json(fields).alias("value")).write.mode("overwrite").text(path)
+    df.select(F.to_json(fields).alias("value")).write.mode("overwrite").text(path, compression)
 
 
 def lines_in_order(df: DataFrame, columns: list[str | Column]) -> DataFrame:
@@ -124,15 +129,20 @@ def lines_in_order(df: DataFrame, columns: list[str | Column]) -> DataFrame:
     return rows.sortWithinPartitions(INPUT_BLOCK, "row_id").select("value", INPUT_BLOCK)
 
 
-def write_jsonl_in_order(df: DataFrame, path: str, columns: list[str | Column]) -> None:
+def write_jsonl_in_order(
+    df: DataFrame, path: str, columns: list[str | Column], compression: str | None = None
+) -> None:
     """One JSON object per row, a folder per input block: name order is the order of the input."""
-    lines_in_order(df, columns).write.mode("overwrite").partitionBy(INPUT_BLOCK).text(path)
+    ordered = lines_in_order(df, columns).write.mode("overwrite").partitionBy(INPUT_BLOCK)
+    ordered.text(path, compression)
 
 
-def write_jsonl_by(df: DataFrame, path: str, value: Column, by: str) -> None:
+def write_jsonl_by(
+    df: DataFrame, path: str, value: Column, by: str, compression: str | None = None
+) -> None:
     """One JSON object per row, one folder per value of `by`, all in a single pass."""
     rows = df.select(F.to_json(value).alias("value"), by)
-    rows.write.mode("overwrite").partitionBy(by).text(path)
+    rows.write.mode("overwrite").partitionBy(by).text(path, compression)
 
 
 def _spark_type(variant_type: str) -> str:
