@@ -1,8 +1,10 @@
+import glob
 import random
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from brute import components, repeats, words
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from turnloom.llm import decontaminate, html_blocks, license_scan, ngram_join, packing, queries
 from turnloom.llm import sharding, suffix_dedup, toxicity, url_filter, vptree
-from turnloom.llm.common import Work
+from turnloom.llm.common import SCAN_ROWS, SCAN_SETTING, Work
 from turnloom.llm.words import split_words
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -148,6 +150,16 @@ def test_piece_ids_equal_the_tokenizer():
         assert ids[end - n : end].tolist() == own
 
 
+def test_tables_are_read_and_written_in_small_portions(spark):
+    work = Work(spark)
+    assert int(spark.conf.get(SCAN_SETTING)) == SCAN_ROWS
+    rows = spark.range(400, numPartitions=1).select(F.expr("randstr(100000, 7)").alias("v"))
+    written = work.put(rows, "wide")
+    assert written.count() == 400
+    [path] = glob.glob(f"{work.paths[-1]}/*.parquet")
+    assert pq.ParquetFile(path).num_row_groups > 1
+
+
 def test_piece_ids_are_remembered_within_the_bytes_allowed(monkeypatch):
     texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{k:x}" for k in range(2500)).encode() for i in range(80)]
     encoder, asked = packing.PieceIds(packing.tokenizer_path()), []

@@ -20,6 +20,10 @@ from turnloom.sources.scratch import scratch_path
 CHUNK_BYTES = 1_000_000
 # Rows go to Python in batches of about this size; Spark's own 64 MB are held several times per task.
 BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+# Rows that a scan decodes at a time; Spark's own 4096 texts are arrays of many MB in each task.
+SCAN_ROWS, SCAN_SETTING = 512, "spark.sql.parquet.columnarReaderBatchSize"
+# Written tables are gathered in memory by row groups of this size; Parquet's own is 128 MB.
+ROW_GROUP_BYTES = 16 << 20
 # What clears the tables that a task keeps between batches.
 CLEARED_AFTER_TASKS: list[Callable[[], None]] = []
 
@@ -33,10 +37,12 @@ def text_or_empty(column: str) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let the session hand rows to Python in small batches; results do not depend on it.
+    """Let the session read rows and hand them to Python in small batches; results stay the same.
 
     A size that the session has chosen itself stays.
     """
+    if spark.conf.get(SCAN_SETTING) == "4096":  # Spark's default
+        spark.conf.set(SCAN_SETTING, str(SCAN_ROWS))
     if spark.conf.get(BATCH_SETTING) == f"{64 << 20}b":  # Spark's default
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
@@ -55,7 +61,7 @@ class Work:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -31,7 +31,7 @@ from turnloom.llm.words import LOWER, join_texts, prefix_hash, range_hash
 CAPACITY = 4096
 CLOSING_ID = 1
 # Remembered pieces per worker; an entry takes ENTRY_BYTES beside its ids.
-MEMO_BYTES, ENTRY_BYTES = 24 << 20, 16
+MEMO_BYTES, ENTRY_BYTES = 12 << 20, 16
 # More text at a time repeats more pieces, which are looked up once each; the arrays over the
 # pieces take some 60 bytes per byte of text.
 TOKENIZED_BYTES = 1_000_000
