@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from turnloom.llm import decontaminate, html_blocks, license_scan, ngram_join, packing, queries
 from turnloom.llm import sharding, suffix_dedup, toxicity, url_filter, vptree
-from turnloom.llm.common import SCAN_ROWS, SCAN_SETTING, Work
+from turnloom.llm.common import SCAN_ROWS, SCAN_SETTING, Work, mixed
 from turnloom.llm.words import split_words
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -357,6 +357,23 @@ def test_decontamination_space_is_fitted_on_every_passage(spark):
     np.testing.assert_allclose(latent.T @ latent, np.eye(decontaminate.RANK), atol=0.01)
 
 
+def test_pipeline_space_is_fitted_beyond_forty_thousand_passages(spark, sf_dir, monkeypatch):
+    """All 50,000 passages of a stage's input, all of them different, whatever partitions they lie in."""
+    spaces, fit = [], decontaminate.fit_space
+    monkeypatch.setattr(decontaminate, "fit_space", lambda *given: spaces.append(fit(*given)) or spaces[-1])
+    chosen = "transform(sequence(1, 16), i -> concat('w', pmod(xxhash64(id, i), 300)))"
+    docs = spark.range(50_000).selectExpr("id AS doc_id", f"concat_ws(' ', {chosen}) AS text")
+    texts = [r["text"].encode() for r in docs.select("text").collect()]
+    words = split_words(texts)
+    hashes, number = np.unique(words.hashes(), return_inverse=True)
+    tf = np.bincount(words.text * len(hashes) + number, minlength=len(texts) * len(hashes))
+    tf = tf.reshape(len(texts), len(hashes)).astype(float)
+    for parts in (1, 7):
+        corpus_pipeline.decontamination(spark, docs.repartition(parts), sf_dir)
+        latent = tf @ spaces[-1].basis[(mixed(hashes) % np.uint64(decontaminate.TERMS)).astype(int)]
+        np.testing.assert_allclose(latent.T @ latent, np.eye(decontaminate.RANK), atol=0.02)
+
+
 def test_decontamination_adds_up_by_passage_and_term():
     draw = random.Random(4)
     texts = [" ".join(draw.choices("abcdefghij", k=n)).encode() for n in (0, 1, 16, 17, 33, 9_000, 40)]
