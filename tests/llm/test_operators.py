@@ -1,5 +1,7 @@
 import glob
+import os
 import random
+import time
 import zlib
 
 import duckdb
@@ -13,8 +15,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from turnloom.llm import decontaminate, html_blocks, license_scan, ngram_join, packing, queries
 from turnloom.llm import sharding, suffix_dedup, toxicity, url_filter, vptree
-from turnloom.llm.common import SCAN_ROWS, SCAN_SETTING, Work, mixed
+from turnloom.llm.common import CLEANUP_SETTING, SCAN_ROWS, SCAN_SETTING, Work, mixed
 from turnloom.llm.words import split_words
+from turnloom.sources.scratch import checkpoint_base
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -505,3 +508,48 @@ def test_pipeline_stages_on_odd_rows(spark, odd_docs, sf_dir):
         for name, stage in corpus_pipeline.STAGES:
             docs = Work(spark).put(stage(spark, docs, sf_dir), name)
         docs.count()
+
+
+def written_tables(spark):
+    """Paths of the written tables that exist."""
+    return set(glob.glob(f"{checkpoint_base(spark).removeprefix('file:')}/turnloom/*"))
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = (glob.glob(f"{d}/*/shuffle_*") for d in disk.localDirs())
+    return {os.path.basename(f) for some in found for f in some}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    work, before, setting = Work(spark), shuffle_files(spark), spark.conf.get(CLEANUP_SETTING)
+    rows = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    table = work.put(rows, "counted")
+    end = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(CLEANUP_SETTING) == setting
+    assert sorted(table.collect()) == sorted(rows.collect()) == sorted(rows.collect())
+
+
+def test_ngram_join_deletes_what_no_result_reads(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SHINGLES_PER_CHUNK", 200)
+    before = written_tables(spark)
+    linked = ngram_join.link_documents(odd_docs, "doc_id", "text", Work(spark), 3, 90, 100)
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in written_tables(spark) - before}
+    assert left == {"nodes", "roots", "placed", "least", "known"}
+    assert {r[0]: (r[1], r[2]) for r in linked.collect()} == components(pairs(odd_docs), 3, 90, 100)
+
+
+def test_pipeline_leaves_its_result_only(spark, odd_docs, folder, monkeypatch):
+    stages = [s for s in corpus_pipeline.STAGES if s[0] in ("ngram_join", "suffix_dedup")]
+    odd_docs.write.parquet(f"{folder}/documents.parquet")
+    docs = odd_docs
+    for _, stage in stages:
+        docs = stage(spark, docs, folder)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    before = written_tables(spark)
+    result = corpus_pipeline.run(spark, folder)
+    assert {os.path.basename(p).rsplit("-", 1)[0] for p in written_tables(spark) - before} == {"suffix_dedup"}
+    assert sorted(pairs(result)) == sorted(pairs(docs))

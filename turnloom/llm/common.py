@@ -6,6 +6,7 @@ import ctypes
 import gc
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatc
 SCAN_ROWS, SCAN_SETTING = 512, "spark.sql.parquet.columnarReaderBatchSize"
 # Written tables are gathered in memory by row groups of this size; Parquet's own is 128 MB.
 ROW_GROUP_BYTES = 16 << 20
+# Lets an execution's shuffle files go when it ends; else they wait for the driver's garbage collection.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # What clears the tables that a task keeps between batches.
 CLEARED_AFTER_TASKS: list[Callable[[], None]] = []
 
@@ -47,11 +50,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
+@contextmanager
+def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind; the session's setting stays."""
+    before = spark.conf.get(CLEANUP_SETTING, "false")
+    if before == "true":
+        yield
+        return
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
+
+
 class Work:
     """Tables written to the shared folder, so that lost executors cannot change them.
 
     Every step that a later one reads twice, or whose rows depend on sampled ranges, is written
-    here and read again. `clear` deletes what no returned frame needs any more.
+    here and read again. A written table needs its shuffle files no more, so they go with the
+    write. `clear` deletes what no returned frame needs any more, `passing` what only the steps
+    inside it read.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -61,8 +80,9 @@ class Work:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
-        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         self.paths.append(path)
+        with shuffles_cleaned(self.spark):
+            df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self, keep: int = 0) -> None:
@@ -75,6 +95,15 @@ class Work:
             path.getFileSystem(conf).delete(path, True)
         self.paths = self.paths[len(gone) :]
 
+    @contextmanager
+    def passing(self) -> Iterator[Work]:
+        """Tables that are deleted at the end; frames that read them must be written before."""
+        steps = Work(self.spark)
+        try:
+            yield steps
+        finally:
+            steps.clear()
+
 
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

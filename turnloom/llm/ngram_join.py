@@ -24,6 +24,9 @@ the other chunks. Links are joined to components over the whole table.
 Documents with equal sets share a node, so copies never meet each other; segments are reduced to
 one row per task before they are shuffled. Shingles are 64-bit hashes, nodes 128-bit.
 
+Signatures, groups and the sets' shingles are deleted as soon as the step that reads them is
+written; the result reads a few numbers per document.
+
 Cases: NULL or empty text has no shingles and links with nothing. Fewer words than n make one
 shingle. Repeated rows and repeated or NULL ids are each kept. An empty table gives an empty
 result. Columns of the input with the name of a result column are replaced.
@@ -346,21 +349,30 @@ def link_documents(
     row = nodes.agg(F.max("n_shingles").alias("m"), F.sum("n_shingles").alias("s")).first()
     scheme = Scheme.of(part, whole, int(row["m"] or 1))
     buckets = max(parallelism(spark), math.ceil((row["s"] or 0) / SHINGLES_PER_BUCKET))
-    emit, meet = candidate_tasks(n, scheme, buckets)
-    found = work.put(
-        docs.select(text_or_empty(text).alias("_text")).mapInArrow(emit, FOUND), "signatures"
-    )
-    met = (
-        found.filter("bucket IS NOT NULL")
-        .select("bucket", "payload")
-        .groupBy("bucket")
-        .applyInArrow(meet, "a bigint, b bigint")
-    )
-    own = found.filter("bucket IS NULL").select("a", "b")
-    groups = components(own.union(met), work)
+    with work.passing() as steps:
+        groups = candidate_groups(docs, text, n, scheme, buckets, steps)
+        links = verified_links(docs, key, text, n, nodes, groups, part, whole, steps)
+        roots = work.put(components(links, steps), "roots")
+    return smallest_keys(nodes, roots, key, work)
+
 
-    links = verified_links(docs, key, text, n, nodes, groups, part, whole, work)
-    return smallest_keys(nodes, components(links, work), key, work)
+def candidate_groups(
+    docs: DataFrame, text: str, n: int, scheme: Scheme, buckets: int, work: Work
+) -> DataFrame:
+    """(node, root) of the short nodes that signatures connect; the signatures go at the end."""
+    emit, meet = candidate_tasks(n, scheme, buckets)
+    with work.passing() as steps:
+        found = steps.put(
+            docs.select(text_or_empty(text).alias("_text")).mapInArrow(emit, FOUND), "signatures"
+        )
+        met = (
+            found.filter("bucket IS NOT NULL")
+            .select("bucket", "payload")
+            .groupBy("bucket")
+            .applyInArrow(meet, "a bigint, b bigint")
+        )
+        own = found.filter("bucket IS NULL").select("a", "b")
+        return work.put(components(own.union(met), steps), "groups")
 
 
 def verified_links(
