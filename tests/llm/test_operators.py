@@ -2,7 +2,9 @@ import glob
 import os
 import random
 import time
+import uuid
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -64,6 +66,48 @@ def test_ngram_join_over_many_chunks(spark, odd_docs, monkeypatch):
     assert {r[0]: (r[1], r[2]) for r in linked.collect()} == components(pairs(odd_docs), 3, 97, 100)
 
 
+def test_a_common_line_does_not_send_sets_to_all_chunks(spark, folder, monkeypatch):
+    rng, line = random.Random(5), " ".join(f"common{i}" for i in range(12))
+    rows = []
+    for i in range(400):
+        own = [f"w{rng.randrange(100_000)}" for _ in range(30)]
+        rows.append((2 * i, f"{' '.join(own[:15])} {line} {' '.join(own[15:])}"))
+        if i % 10 == 0:  # a near copy
+            rows.append((2 * i + 1, f"{rows[-1][1]} more"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    visited = ngram_join._visited
+
+    def noted(group, part, whole):
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+            file.write(str(group.num_rows))
+        return visited(group, part, whole)
+
+    monkeypatch.setattr(ngram_join, "SHINGLES_PER_CHUNK", 1000)
+    monkeypatch.setattr(ngram_join, "_visited", noted)
+    linked = ngram_join.link_documents(docs, "doc_id", "text", Work(spark), 3, 80, 100)
+    assert {r[0]: (r[1], r[2]) for r in linked.collect()} == components(rows, 3, 80, 100)
+    sent = sum(int(Path(f).read_text()) for f in glob.glob(f"{folder}/*"))
+    assert sent < len(rows)
+
+
+def test_prefixes_of_large_groups_lose_no_link(spark, monkeypatch):
+    rng, rows = random.Random(7), []
+    lines = [[f"l{k}x{i}" for i in range(9)] for k in range(6)]
+    for i in range(300):
+        if i % 3:
+            words = [w for w in rows[rng.randrange(len(rows))][1].split() if rng.random() > 0.03]
+        else:
+            words = [w for k in rng.sample(range(6), 3) for w in lines[k]]
+            words += [f"w{rng.randrange(300)}" for _ in range(rng.randrange(25))]
+        rows.append((i, " ".join(words)))
+    rows += [(5, rows[5][1]), (300, rows[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(ngram_join, "SHINGLES_PER_CHUNK", 150)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 30)
+    linked = ngram_join.link_documents(docs, "doc_id", "text", Work(spark), 2, 80, 100)
+    assert {r[0]: (r[1], r[2]) for r in linked.collect()} == components(rows, 2, 80, 100)
+
+
 def test_ngram_join_on_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r[0]: (r[1], r[2]) for r in queries.op9_ngram_join(spark, sf_dir).collect()}

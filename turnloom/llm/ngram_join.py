@@ -16,16 +16,22 @@ A pair is found as soon as one of the two is long enough at a level both use, so
 lost. `allocation` chooses the segment width and `least` from the expected number of kept
 segments per shingle.
 
-Sets that meet in a segment only decide which sets are verified together. Each chunk of such a
-candidate group is compared by exact intersection sizes, until it is one cluster or all is
-compared; the chunks share the group's first set, and only sets not connected to it are sent to
-the other chunks. Links are joined to components over the whole table.
+Sets that meet in a segment only decide which sets are verified together. A common line may
+connect any share of the table so, hence a group beyond one chunk is formed anew by prefixes: with
+the shingles ordered from rare to frequent, two sets that link share one of their first
+s - ceil(s * part / whole) + 1. The FREQUENT most frequent shingles come last in that order, the
+others by hash; the order is the same for all sets, so no link is lost.
+
+Each chunk of a candidate group is compared by exact intersection sizes, until it is one cluster
+or all is compared; the chunks share the group's first set, and only sets not connected to it are
+sent to the other chunks. Links are joined to components over the whole table.
 
 Documents with equal sets share a node, so copies never meet each other; segments are reduced to
 one row per task before they are shuffled. Shingles are 64-bit hashes, nodes 128-bit.
 
-Signatures, groups and the sets' shingles are deleted as soon as the step that reads them is
-written; the result reads a few numbers per document.
+Signatures go from the task that makes them to the bucket where they meet and are not written as
+a table. Groups and the sets' shingles are deleted as soon as the step that reads them is written;
+the result reads a few numbers per document.
 
 Cases: NULL or empty text has no shingles and links with nothing. Fewer words than n make one
 shingle. Repeated rows and repeated or NULL ids are each kept. An empty table gives an empty
@@ -54,12 +60,14 @@ from turnloom.llm.common import (
     text_or_empty,
     unpack_arrays,
 )
-from turnloom.llm.graph import components, smallest_keys
+from turnloom.llm.graph import components, skew_join, smallest_keys
 from turnloom.llm.words import split_words
 
 SIGNATURES_PER_ROW = 1 << 21
 SHINGLES_PER_BUCKET = 20_000_000
 SHINGLES_PER_CHUNK = 1_000_000
+# Shingles of large groups with so many sets count as frequent, and so many of them are sent to all tasks.
+LEAST_FREQUENT, FREQUENT = 16, 1 << 18
 U = np.uint64
 
 
@@ -232,7 +240,7 @@ def _stars(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 # --- the plan --------------------------------------------------------------------------------
 
 NODES = "n_shingles bigint, node binary, short bigint"
-FOUND = "bucket int, a bigint, b bigint, payload binary"
+FOUND, LINKS_PER_ROW = "bucket int, payload binary", 1 << 16
 
 
 def _bytes(values: np.ndarray) -> list[bytes]:
@@ -270,42 +278,48 @@ def document_nodes(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return docs.select(F.col(key), text_or_empty(text).alias("_text")).mapInArrow(nodes, schema)
 
 
-def candidate_tasks(n: int, scheme: Scheme, buckets: int) -> tuple[Callable, Callable]:
-    """The two steps that find links (a, b) between short nodes of sets sharing a signature.
+def _reduced(sig: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """By bucket one entry for each of a task's signatures, and the links of its own nodes."""
+    sig, node, links = _stars(sig, node)
+    bucket = (mixed(sig) % U(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    starts = group_starts(bucket)
+    to, payloads = bucket[starts].tolist(), []
+    for part in np.split(order, starts[1:]):
+        own, at = np.unique(node[part], return_inverse=True)
+        index = at.astype(np.uint16 if len(own) < 1 << 16 else np.uint32)
+        head = (sig[part] >> U(32)).astype(np.uint32)
+        tail = (sig[part] >> U(16)).astype(np.uint16)
+        payloads.append(pack_arrays(head, tail, index, own))
+    for first in range(0, len(links), LINKS_PER_ROW):  # these may meet anywhere
+        some = links[first : first + LINKS_PER_ROW]
+        to.append(int(mixed(some[:1, 0])[0] % U(buckets)))
+        payloads.append(pack_arrays(some[:, 0], some[:, 1]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(to, pa.int32()), pa.array(payloads, pa.binary())], names=["bucket", "payload"]
+    )
 
-    A task first reduces its own signatures to one entry each. Those go, by hash, to a bucket;
-    only there are they compared with the entries of other tasks.
-    """
-    names = ["bucket", "a", "b", "payload"]
 
-    def rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        none = pa.nulls(len(a), pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [none, pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.nulls(len(a), pa.binary())],
-            names=names,
-        )
+def _meet(group: pa.Table) -> pa.Table:
+    sent = [unpack_arrays(p) for p in group.column("payload").to_pylist()]
+    found = [
+        ((head.astype(np.uint64) << U(16)) | tail.astype(np.uint64), own[index])
+        for head, tail, index, own in (x for x in sent if len(x) == 4)
+    ]
+    links = [np.stack(x, axis=1) for x in sent if len(x) == 2]
+    if found:
+        links.append(_stars(*(np.concatenate(x) for x in zip(*found)))[2])
+    a, b = (np.concatenate([x[:, i] for x in links]).view(np.int64) for i in (0, 1))
+    return pa.table({"a": a, "b": b})
 
-    def reduced(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
-        sig, node, links = _stars(sig, node)
-        if len(links):
-            yield rows(links[:, 0].copy(), links[:, 1].copy())
-        bucket = (mixed(sig) % U(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bucket = bucket[order]
-        starts = group_starts(bucket)
-        payloads = []
-        for part in np.split(order, starts[1:]):
-            own, at = np.unique(node[part], return_inverse=True)
-            index = at.astype(np.uint16 if len(own) < 1 << 16 else np.uint32)
-            head = (sig[part] >> U(32)).astype(np.uint32)
-            tail = (sig[part] >> U(16)).astype(np.uint16)
-            payloads.append(pack_arrays(head, tail, index, own))
-        if payloads:
-            none = pa.nulls(len(payloads), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts]), none, none, pa.array(payloads, pa.binary())],
-                names=names,
-            )
+
+def candidate_task(n: int, scheme: Scheme, buckets: int) -> Callable:
+    """The step that sends the signatures of sets, by hash, to a bucket.
+
+    A task first reduces its own signatures to one entry each; only in a bucket, by `_meet`, are
+    they compared with the entries of other tasks.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
@@ -316,22 +330,12 @@ def candidate_tasks(n: int, scheme: Scheme, buckets: int) -> tuple[Callable, Cal
             waiting.append((sig, set_nodes(tokens, counts)[:, 0][owner]))
             total += len(sig)
             if total >= SIGNATURES_PER_ROW:
-                yield from reduced(*(np.concatenate(x) for x in zip(*waiting)))
+                yield _reduced(*(np.concatenate(x) for x in zip(*waiting)), buckets)
                 waiting, total = [], 0
         if total:
-            yield from reduced(*(np.concatenate(x) for x in zip(*waiting)))
+            yield _reduced(*(np.concatenate(x) for x in zip(*waiting)), buckets)
 
-    def meet(group: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for payload in group.column("payload").to_pylist():
-            head, tail, index, own = unpack_arrays(payload)
-            sig = (head.astype(np.uint64) << U(16)) | tail.astype(np.uint64)
-            found.append((sig, own[index]))
-        _, _, links = _stars(*(np.concatenate(x) for x in zip(*found)))
-        a, b = (links[:, i].copy().view(np.int64) for i in (0, 1))
-        return pa.table({"a": a, "b": b})
-
-    return emit, meet
+    return emit
 
 
 def link_documents(
@@ -359,20 +363,117 @@ def link_documents(
 def candidate_groups(
     docs: DataFrame, text: str, n: int, scheme: Scheme, buckets: int, work: Work
 ) -> DataFrame:
-    """(node, root) of the short nodes that signatures connect; the signatures go at the end."""
-    emit, meet = candidate_tasks(n, scheme, buckets)
+    """(node, root) of the short nodes that signatures connect."""
+    texts = docs.select(text_or_empty(text).alias("_text"))
+    found = texts.mapInArrow(candidate_task(n, scheme, buckets), FOUND)
     with work.passing() as steps:
-        found = steps.put(
-            docs.select(text_or_empty(text).alias("_text")).mapInArrow(emit, FOUND), "signatures"
-        )
-        met = (
-            found.filter("bucket IS NOT NULL")
-            .select("bucket", "payload")
-            .groupBy("bucket")
-            .applyInArrow(meet, "a bigint, b bigint")
-        )
-        own = found.filter("bucket IS NULL").select("a", "b")
-        return work.put(components(own.union(met), steps), "groups")
+        return work.put(_closed(found, steps), "groups")
+
+
+def _closed(found: DataFrame, work: Work) -> DataFrame:
+    """(node, root) of the nodes whose entries meet in buckets; what is found is read once."""
+    return components(found.groupBy("bucket").applyInArrow(_meet, "a bigint, b bigint"), work)
+
+
+def _sets_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a batch's sets in one array, and their counts."""
+    raw = batch.column("tokens").to_pylist()
+    counts = np.array([len(t) // 8 for t in raw], np.int64)
+    return np.frombuffer(b"".join(raw), np.uint64), counts
+
+
+def frequent_shingles(members: DataFrame, buckets: int, work: Work) -> np.ndarray:
+    """The most frequent shingles of the sets, at most FREQUENT, from rare to frequent."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+        total = 0
+
+        def sent() -> pa.RecordBatch:
+            value, n = np.unique(np.concatenate(waiting), return_counts=True)
+            bucket = (mixed(value) % U(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            starts = group_starts(bucket[order])
+            parts = np.split(order, starts[1:])
+            payloads = [pack_arrays(value[p], n[p].astype(np.uint32)) for p in parts]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[order][starts]), pa.array(payloads, pa.binary())],
+                names=["bucket", "payload"],
+            )
+
+        for batch in batches:
+            waiting.append(_sets_of(batch)[0])
+            total += len(waiting[-1])
+            if total >= SIGNATURES_PER_ROW:
+                yield sent()
+                waiting, total = [], 0
+        if total:
+            yield sent()
+
+    def add(group: pa.Table) -> pa.Table:
+        parts = [unpack_arrays(p) for p in group.column("payload").to_pylist()]
+        value, n = (np.concatenate(x) for x in zip(*parts))
+        value, place = np.unique(value, return_inverse=True)
+        total = np.bincount(place, n).astype(np.int64)
+        some = total >= LEAST_FREQUENT
+        return pa.table({"value": value[some].view(np.int64), "n": total[some]})
+
+    counted = work.put(
+        members.select("tokens")
+        .mapInArrow(count, "bucket int, payload binary")
+        .groupBy("bucket")
+        .applyInArrow(add, "value bigint, n bigint"),
+        "frequent",
+    )
+    band = F.floor(8 * F.log2("n")).alias("band")
+    least, total = None, 0
+    for row in sorted(counted.groupBy(band).count().collect(), reverse=True):
+        total += row["count"]
+        if total > FREQUENT:
+            break
+        least = row["band"]
+    chosen = counted.filter(F.lit(False) if least is None else band >= least).toArrow()
+    value, n = (chosen.column(c).to_numpy() for c in ("value", "n"))
+    return value.view(np.uint64)[np.lexsort((value, n))]
+
+
+def prefix_groups(
+    members: DataFrame, part: int, whole: int, buckets: int, work: Work
+) -> DataFrame:
+    """(node, root) of the short nodes of sets (short, root, tokens) whose prefixes connect them."""
+    frequent = frequent_shingles(members, buckets, work)
+    rank = np.argsort(frequent).astype(np.uint32)  # of the values in their own order
+    frequent = frequent[rank]
+
+    def prefixes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        tokens, counts = _sets_of(batch)
+        owner = np.repeat(np.arange(len(counts)), counts)
+        place = np.zeros(len(tokens), np.int64)
+        if len(frequent):
+            at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+            place = np.where(frequent[at] == tokens, rank[at].astype(np.int64) + 1, 0)
+        tokens = tokens[np.lexsort((tokens, place, owner))]
+        first = counts - -(-counts * part // whole) + 1
+        chosen = spread(np.cumsum(counts) - counts, first)
+        owner = owner[chosen]
+        root, node = (batch.column(c).to_numpy().view(np.uint64) for c in ("root", "short"))
+        return mixed(tokens[chosen] ^ mixed(root)[owner]), node[owner]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting.append(prefixes(batch))
+            total += len(waiting[-1][0])
+            if total >= SIGNATURES_PER_ROW:
+                yield _reduced(*(np.concatenate(x) for x in zip(*waiting)), buckets)
+                waiting, total = [], 0
+        if total:
+            yield _reduced(*(np.concatenate(x) for x in zip(*waiting)), buckets)
+
+    return _closed(members.select("short", "root", "tokens").mapInArrow(emit, FOUND), work)
 
 
 def verified_links(
@@ -393,15 +494,12 @@ def verified_links(
         .agg(F.min(key).alias(key))
         .join(groups.withColumnRenamed("node", "short"), "short")
     )
-    chunks = firsts.groupBy("root").agg(
-        F.greatest(
-            F.lit(1), F.ceil(F.sum("n_shingles") / F.lit(SHINGLES_PER_CHUNK)).cast("int")
-        ).alias("chunks"),
-        F.min("node").alias("hub"),
+    sizes = firsts.groupBy("root").agg(
         F.count(F.lit(1)).alias("sets"),
+        (F.sum("n_shingles") > SHINGLES_PER_CHUNK).alias("large"),
     )
-    chosen = firsts.join(chunks.filter("sets > 1"), "root").select(
-        key, "node", "root", "chunks", "hub"
+    chosen = firsts.join(sizes.filter("sets > 1"), "root").select(
+        key, "node", "short", "root", "large"
     )
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,15 +515,25 @@ def verified_links(
             yield kept.filter(pa.array(same.astype(bool)))
 
     texts = docs.select(F.col(key), text_or_empty(text).alias("_text"))
-    members = work.put(
+    found = work.put(
         texts.join(chosen, key)
         .drop(key)
         .mapInArrow(
-            tokens_of, "node binary, root bigint, chunks int, hub binary, tokens binary"
-        )
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")),
+            tokens_of, "node binary, short bigint, root bigint, large boolean, tokens binary"
+        ),
         "sets",
     )
+    members = found.filter("NOT large").select(
+        "node",
+        "root",
+        F.lit(1).alias("chunks"),
+        F.lit(None).cast("binary").alias("hub"),
+        "tokens",
+        F.lit(0).alias("chunk"),
+    )
+    large = found.filter("large")
+    if not large.isEmpty():
+        members = members.unionByName(_regrouped(large, part, whole, work))
     every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     hubs = members.filter("node = hub AND chunks > 1").withColumn("chunk", every)
     shared = members.unionByName(hubs)
@@ -471,6 +579,30 @@ def verified_links(
     return first.select(F.col("node").alias("a"), F.col("label").alias("b")).union(second)
 
 
+def _regrouped(large: DataFrame, part: int, whole: int, work: Work) -> DataFrame:
+    """The sets of large groups in the smaller groups that their prefixes form, dealt to chunks."""
+    buckets = max(
+        parallelism(large.sparkSession),
+        math.ceil(large.agg(F.sum(F.octet_length("tokens"))).first()[0] / (8 * SHINGLES_PER_BUCKET)),
+    )
+    with work.passing() as steps:
+        smaller = prefix_groups(large, part, whole, buckets, steps)
+        groups = work.put(smaller.withColumnRenamed("node", "short"), "regrouped")
+    sizes = large.groupBy("node", "short").agg(F.max(F.octet_length("tokens")).alias("bytes"))
+    named = work.put(sizes.join(groups, "short").select("node", "root", "bytes"), "named")
+    chunks = F.ceil(F.sum("bytes") / F.lit(8 * SHINGLES_PER_CHUNK)).cast("int")
+    hubs = named.groupBy("root").agg(chunks.alias("chunks"), F.min("node").alias("hub"))
+    dealt = skew_join(named.drop("bytes"), work.put(hubs, "hubs"), "root").withColumn(
+        "chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    )
+    return work.put(
+        large.select("node", "tokens")
+        .join(dealt, "node")
+        .select("node", "root", "chunks", "hub", "tokens", "chunk"),
+        "placed",
+    )
+
+
 class _Sets:
     """Exact intersection sizes of one set with all sets of a group, by an inverted list."""
 
